@@ -9,7 +9,7 @@ from ..functions.text import sql_strip, strip, strip_or_null
 from ..plans.problems import SQL_NEWEST, newest_molecules
 from ..plans.tables import read
 from ..session import materialize
-from . import termfreq, topn
+from . import mixing, termfreq, tokenize, topn
 
 # ------------------------------------------------------- 2: top items of every group
 
@@ -77,11 +77,47 @@ counts AS (
     CASE WHEN count(DISTINCT gene) < 3 THEN 'rare' WHEN count(DISTINCT gene) * 4 > (SELECT count(DISTINCT gene) FROM m) THEN 'common' END
   FROM m GROUP BY cell_label)"""
 
+# ------------------------------------------------------- 6: encoding the corpus
+
+
+def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token ids of every document."""
+    return tokenize.encode(read(spark, sf_dir, "documents"), ["doc_id"], "text", tokenize.default_vocabulary(spark))
+
+
+# ------------------------------------------------------- 7: mixing sources
+
+
+def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[dict]]:
+    d = read(spark, sf_dir, "documents").withColumn("source", F.lower(strip("source")))
+    sized = tokenize.count_tokens(d, ["doc_id", "source"], "text", tokenize.default_vocabulary(spark))
+    return mixing.mix(sized, read(spark, sf_dir, "mix_targets"))
+
+
+def p7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix: every appearance of a document, in order of its virtual finish time."""
+    return _mix(spark, sf_dir)[0]
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shares that the sources really reach."""
+    return mixing.report(*_mix(spark, sf_dir))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sources that can't reach their weight."""
+    return p7_shares(spark, sf_dir).filter("is_short").select("source")
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_top": p2_top,
     "p5_found": p5_found,
     "p5_counts": p5_counts,
+    "p6_ids": p6_ids,
+    "p7_found": p7_found,
+    "p7_mix": p7_mix,
+    "p7_shares": p7_shares,
 }
 
 SQL = {
