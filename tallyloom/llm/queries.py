@@ -9,7 +9,7 @@ from ..functions.text import sql_strip, strip, strip_or_null
 from ..plans.problems import SQL_NEWEST, newest_molecules
 from ..plans.tables import read
 from ..session import materialize
-from . import mixing, termfreq, tokenize, topn
+from . import mixing, sentences, termfreq, tokenize, topn
 
 # ------------------------------------------------------- 2: top items of every group
 
@@ -109,6 +109,19 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p7_shares(spark, sf_dir).filter("is_short").select("source")
 
 
+# ------------------------------------------------------- 8: sentences
+
+
+def p8_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sentence of every document, numbered, with its place."""
+    return sentences.sentences(read(spark, sf_dir, "documents"), ["doc_id"], "text")
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The places of all sentences."""
+    return p8_sentences(spark, sf_dir).select("doc_id", "start_at", "end_at")
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_top": p2_top,
@@ -118,6 +131,8 @@ QUERIES = {
     "p7_found": p7_found,
     "p7_mix": p7_mix,
     "p7_shares": p7_shares,
+    "p8_found": p8_found,
+    "p8_sentences": p8_sentences,
 }
 
 SQL = {
