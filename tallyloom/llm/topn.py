@@ -6,9 +6,9 @@ groups are range-partitioned by their sort order, with a salt that also splits t
 group spreads over many tasks; each task keeps the first N of its range before anything is shuffled
 again, and a last window ranks those few. Both parts are united.
 
-The border between heavy and light grows with the data: a group is heavy from ``rows / HEAVY_SPLIT``
-on (and at least ``LEAST_HEAVY`` rows). At most ``HEAVY_SPLIT`` groups can be that large, whatever the
-data, which bounds the list that is broadcast; a light group is at most that share of one window task.
+The heavy groups are the ``HEAVY_SPLIT`` largest of those with at least ``LEAST_HEAVY`` rows. That bounds
+the list that is broadcast, whatever the data; a light group has fewer rows than ``LEAST_HEAVY`` or, as
+so many groups are larger, at most ``1 / HEAVY_SPLIT`` of all rows, about one task's share.
 """
 
 from __future__ import annotations
@@ -21,12 +21,12 @@ LEAST_HEAVY = 5_000
 
 
 def heavy_groups(rows: DataFrame, group: str, split: int = HEAVY_SPLIT, least: int = LEAST_HEAVY) -> list:
-    """The groups that hold at least ``max(least, rows / split)`` rows, by exact counts; at most ``split`` of them."""
-    largest = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least).orderBy(F.desc("n"), group).limit(split).collect()
-    if not largest:
-        return []
-    total = rows.count()
-    return [r[0] for r in largest if r["n"] * split >= total]
+    """The ``split`` largest groups of at least ``least`` rows, by exact counts.
+
+    A group that isn't among them has fewer than ``least`` rows, or at most ``1 / split`` of all rows.
+    """
+    counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
+    return [r[0] for r in counts.orderBy(F.desc("n"), group).limit(split).collect()]
 
 
 def _ranked(rows: DataFrame, group: str, order: list[Column], n: int) -> DataFrame:
