@@ -15,8 +15,10 @@ of them are broadcast, more are joined to the documents by the words that these
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +53,7 @@ _SPACE = r"[^\S\n\r\x85\u2028\u2029]"
 _BLANK = re.compile(rf"{_NL}{_SPACE}*{_NL}")
 _LINE = re.compile(rf"(?:\A|(?<=[\n\x85\u2028\u2029])|(?<=\r)(?!\n)){_SPACE}*(?:([-*•])|(\d{{1,4}})[.)])(?={_SPACE}+\S)")
 _MARKS = re.compile(rf"[{re.escape(SOFT + HARD)}]+")
+_PAIRED = re.compile("[" + re.escape("".join(PAIRS) + "".join(PAIRS.values()) + "„“”\"") + "]")
 _NOTE = re.compile(r"[\[［]\d{1,4}(?:[,–-]\d{1,4})*[\]］]")
 _THAI = re.compile(rf"(?<=[\u0e00-\u0e7f]){_SPACE}+(?=[\u0e00-\u0e7f])")
 _WORD = re.compile(r"[^\W_](?:[^\W_]|[-'’\xad](?=[^\W_]))*")
@@ -84,9 +87,11 @@ def units(text: str) -> list[tuple[int, int, int, bool, bool]]:
             at = m.start(1) if m.group(1) else m.start(2)
             if m.group(2):
                 n = int(m.group(2))
-                before = text[a : m.start()].rstrip()
+                k = m.start()
+                while k > a and text[k - 1].isspace():
+                    k -= 1
                 # A wrapped line can begin with a number and a stop; a list begins with 1 or goes on counting.
-                if before and not (n == (last or 0) + 1 and (last or before[-1] in ":.!?;" or before[-1] in HARD)):
+                if k > a and not (n == (last or 0) + 1 and (last or text[k - 1] in ":.!?;" or text[k - 1] in HARD)):
                     continue
                 last = n
             cuts.append((at, m.end()))
@@ -101,40 +106,54 @@ def units(text: str) -> list[tuple[int, int, int, bool, bool]]:
     return found
 
 
+class _Open:
+    """Open quotations and brackets, innermost last, by the character that closes them."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int]] = []
+        self.count: Counter = Counter()
+
+    def push(self, closer: str, i: int) -> None:
+        self.stack.append((closer, i))
+        self.count[closer] += 1
+
+    def close(self, ch: str, i: int, out: dict[int, int]) -> None:
+        """Close the innermost that waits for ``ch``; what stands open inside it has no partner."""
+        while self.count[ch]:
+            closer, at = self.stack.pop()
+            self.count[closer] -= 1
+            if closer == ch:
+                out[i] = at
+                return
+
+
 def _pairs(text: str, a: int, b: int) -> dict[int, int]:
     """Closing position -> opening position of the quotations and brackets of a unit; what has no partner is left out."""
     out: dict[int, int] = {}
-    stack: list[tuple[str, int]] = []
-    for i in range(a, b):
-        ch = text[i]
+    opened = _Open()
+    for m in _PAIRED.finditer(text, a, b):
+        i, ch = m.start(), m.group()
         if ch in PAIRS:
-            stack.append((PAIRS[ch], i))
+            opened.push(PAIRS[ch], i)
         elif ch == "„":
-            stack.append(("“", i))
+            opened.push("“", i)
         elif ch == "“":
-            if stack and any(c == "“" for c, _ in stack):
-                _close(stack, "“", i, out)
+            if opened.count["“"]:
+                opened.close("“", i, out)
             else:
-                stack.append(("”", i))
+                opened.push("”", i)
         elif ch == '"':
-            opens = (i == a or text[i - 1].isspace() or text[i - 1] in "([—–（") and i + 1 < b and not text[i + 1].isspace()
-            if any(c == '"' for c, _ in stack) and not (opens and i and text[i - 1].isspace() and not text[i + 1 : i + 2].isspace() and stack[-1][0] != '"'):
-                _close(stack, '"', i, out)
-            elif opens or not any(c == '"' for c, _ in stack) and i + 1 < b and not text[i + 1].isspace():
-                stack.append(('"', i))
-        elif ch in ")]}）］」』】》〉〕｣»›”":
-            _close(stack, ch, i, out)
+            before, after = text[i - 1 : i] if i > a else " ", text[i + 1 : i + 2] if i + 1 < b else " "
+            begins = (before.isspace() or before in "([—–（") and not after.isspace()
+            if opened.count['"'] and not (begins and opened.stack[-1][0] != '"'):
+                opened.close('"', i, out)
+            elif not after.isspace():
+                opened.push('"', i)
+        else:
+            opened.close(ch, i, out)
     return out
 
 
-def _close(stack: list, ch: str, i: int, out: dict) -> None:
-    for k in range(len(stack) - 1, -1, -1):
-        if stack[k][0] == ch:
-            out[i] = stack[k][1]
-            del stack[k:]
-            return
-
-
 # ---------------------------------------------------------------- the marks of a unit
 
 
@@ -143,7 +162,7 @@ class Mark:
 
     __slots__ = ("start", "end", "run", "chunk", "word", "before", "gap", "at", "next", "skipped", "opened", "inside", "last")
 
-    def __init__(self, text: str, a: int, b: int, i: int, j: int, pairs: dict[int, int], spans: list[tuple[int, int]]):
+    def __init__(self, text: str, a: int, b: int, i: int, j: int, pairs: dict[int, int], opens: list[int], reach: list[int]):
         self.start, self.run = i, text[i:j]
         opened = None
         while j < b:
@@ -169,7 +188,8 @@ class Mark:
             else:
                 break
         self.end, self.opened = j, opened
-        self.inside = any(o < i and c >= j for o, c in spans)
+        k = bisect_left(opens, i)
+        self.inside = k > 0 and reach[k - 1] >= j
         k = j
         while k < b and text[k].isspace():
             k += 1
@@ -185,7 +205,8 @@ class Mark:
             s -= 1
         self.chunk = text[s:i].lstrip(_CHUNK_EDGE)
         self.word = self.chunk.casefold()
-        if len(self.chunk) == 1:
+        self.before = ""
+        if len(self.chunk) == 1 or self.chunk.isdigit():
             e = s
             while e > a and text[e - 1].isspace():
                 e -= 1
@@ -193,10 +214,6 @@ class Mark:
             while s > a and not text[s - 1].isspace():
                 s -= 1
             self.before = text[s:e].strip(_CHUNK_EDGE).casefold()
-        elif self.chunk.isdigit():
-            self.before = text[a : i - len(self.chunk)].rsplit(None, 1)[-1].casefold() if text[a : i - len(self.chunk)].strip() else ""
-        else:
-            self.before = ""
 
     def next_word(self, text: str) -> str:
         m = _WORD.match(text, self.at)
@@ -209,12 +226,14 @@ class Mark:
 
 def marks(text: str, a: int, b: int) -> Iterator[Mark]:
     pairs = _pairs(text, a, b)
-    spans = [(o, c) for c, o in pairs.items()]
+    opens = sorted(pairs.values())
+    closing = {o: c for c, o in pairs.items()}
+    reach = [*accumulate((closing[o] for o in opens), max)]  # how far what opened so far extends
     done = a
     for m in _MARKS.finditer(text, a, b):
         if m.start() < done:
             continue
-        x = Mark(text, a, b, m.start(), m.end(), pairs, spans)
+        x = Mark(text, a, b, m.start(), m.end(), pairs, opens, reach)
         done = x.end
         yield x
 
@@ -267,14 +286,17 @@ class Evidence:
             place[what] += 1
 
     def rows(self) -> Iterator[tuple[str, str, int, int, int, int]]:
-        for kind, table in (("word", self.words), ("letter", self.letters)):
-            for k, v in table.items():
-                yield (kind, k, *v)
+        for k, v in self.words.items():
+            if _COULD_BE_SHORT.match(k):  # numbers, file names and the like are no abbreviations
+                yield ("word", k, *v)
+        for k, v in self.letters.items():
+            yield ("letter", k, *v)
         for kind, counter in (("start", self.starts), ("after", self.after)):
             for k, n in counter.items():
                 yield (kind, k, n, 0, 0, 0)
 
 
+_COULD_BE_SHORT = re.compile(r"[^\W\d_][^\d_/@]*\Z")
 _ABBREVIATION = r"^[\p{L}\p{M}]+([.'’-][\p{L}\p{M}]+)*$"
 EVIDENCE_SCHEMA = "kind string, key string, n bigint, n_end bigint, n_small bigint, n_number bigint"
 NEVER, MAYBE, START = "never", "maybe", "start"
