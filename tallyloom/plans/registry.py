@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import problems
+from . import problems, q_reads
 
-_MODULES = [problems]
+_MODULES = [problems, q_reads]
 
 QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 SQL = {k: s for m in _MODULES for k, s in m.SQL.items()}
