@@ -95,7 +95,7 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("mol_id")
     text = k.cast("string")
     salted = lambda s: F.concat(F.lit(s), text)
-    tail = F.when(k % 3 == 0, F.lit("TTTTTTATTTGC")).otherwise(letters(salted("t")))
+    tail = F.when(k % 4 == 0, F.lit("TTTTTTATTTGC")).otherwise(letters(salted("t")))
     suffix = F.when(k % 7 == 0, "|stAbO").when(k % 7 == 1, "|pAbO").when(k % 7 == 2, "|TVDJ").otherwise("")
     return m.select(
         k.alias("read_id"),
@@ -107,7 +107,7 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k % 31).cast("int").alias("position"),
         F.concat((k % 9 + 1).cast("string"), F.lit("S"), (k % 60 + 10).cast("string"), F.lit("M2I"), (k % 5).cast("string"), F.lit("M")).alias("cigar"),
         F.when(k % 11 < 6, "1").when(k % 11 == 6, "MAcorrected").when(k % 11 == 7, "alignment_not_unique").when(k % 11 == 8, "ambiguous[A+B]").when(k % 11 == 9, "x").otherwise("no_feature").alias("status"),
-        F.concat(F.lit("lib"), (k % 3 + 1).cast("string")).alias("library"),
+        F.concat(F.lit("lib"), (k % 5 + 1).cast("string")).alias("library"),
         (k % 97 == 0).alias("is_control"),
     )
 
@@ -118,7 +118,7 @@ def _sql_letters(*salts: str) -> str:
 
 SQL_READS = f"""reads AS (
   SELECT mol_id AS read_id,
-    substr(substr({_sql_letters("a", "b")}, 1, 56) || CASE WHEN mol_id % 3 = 0 THEN 'TTTTTTATTTGC' ELSE {_sql_letters("t")} END, 1, 56 + mol_id % 16) AS r1_seq,
+    substr(substr({_sql_letters("a", "b")}, 1, 56) || CASE WHEN mol_id % 4 = 0 THEN 'TTTTTTATTTGC' ELSE {_sql_letters("t")} END, 1, 56 + mol_id % 16) AS r1_seq,
     substr(md5('c' || t) || md5('d' || t) || md5('e' || t), 1, 56 + mol_id % 16) AS r1_qual,
     substr({_sql_letters("f", "g")}, 1, 38 + mol_id % 27) AS r2_seq,
     substr(md5('h' || t) || md5('i' || t), 1, 38 + mol_id % 27) AS r2_qual,
@@ -126,6 +126,6 @@ SQL_READS = f"""reads AS (
     (mol_id % 31)::INTEGER AS position,
     (mol_id % 9 + 1) || 'S' || (mol_id % 60 + 10) || 'M2I' || (mol_id % 5) || 'M' AS cigar,
     CASE WHEN mol_id % 11 < 6 THEN '1' WHEN mol_id % 11 = 6 THEN 'MAcorrected' WHEN mol_id % 11 = 7 THEN 'alignment_not_unique' WHEN mol_id % 11 = 8 THEN 'ambiguous[A+B]' WHEN mol_id % 11 = 9 THEN 'x' ELSE 'no_feature' END AS status,
-    'lib' || (mol_id % 3 + 1) AS library, mol_id % 97 = 0 AS is_control
+    'lib' || (mol_id % 5 + 1) AS library, mol_id % 97 = 0 AS is_control
   FROM (SELECT mol_id, mol_id::VARCHAR AS t, target, row_number() OVER (PARTITION BY mol_id ORDER BY loaded_at DESC NULLS LAST, target DESC NULLS LAST) AS k FROM molecule WHERE mol_id IS NOT NULL)
   WHERE k = 1)"""

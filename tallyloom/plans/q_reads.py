@@ -7,23 +7,10 @@ from pyspark.sql import functions as F
 from ..functions import labels, reads as rd
 from ..operators import joins, molecules as mo
 from .bindings import SQL_CALLED, SQL_CELL_GENE, SQL_MOL, SQL_READS, called_cells, cell_gene, molecules, reads
+from .registry_helpers import book
 from .tables import read
 
-QUERIES: dict = {}
-SQL: dict = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        name = f.__name__.rstrip("_")
-        name = name[0].upper() + name[1:]
-        QUERIES[name] = f
-        if sql is not None:
-            SQL[name] = sql
-        return f
-
-    return add
-
+QUERIES, SQL, query = book()
 
 _Q = "list_sum([ascii(c) - 33 for c in string_split({q}, '')]) / length({q})"
 _B = "greatest({}) / length({{s}})".format(", ".join(f"length({{s}}) - length(replace({{s}}, '{b}', ''))" for b in "ACTGN"))
@@ -182,7 +169,7 @@ def r17_transcript_summary(spark, sf):
 
 @query(f"WITH {SQL_READS} SELECT read_id, 1000 + library[4:4]::INTEGER - position AS distance FROM reads WHERE is_control")
 def r18_control_distance(spark, sf):
-    dim = spark.createDataFrame([(f"lib{i}", 1000 + i) for i in (1, 2, 3)], "library string, length int")
+    dim = spark.createDataFrame([(f"lib{i}", 1000 + i) for i in range(1, 6)], "library string, length int")
     return joins.lookup(reads(spark, sf).filter("is_control"), dim, ["library"]).select("read_id", rd.control_distance(F.col("length"), F.col("position")).alias("distance"))
 
 
@@ -388,9 +375,9 @@ def m06_apply_cutoffs(spark, sf):
     return mo.apply_cutoffs(m, cut).select("mol_id", "dbec_reads", "corrected_umi")
 
 
-@query("SELECT DISTINCT target, target NOT LIKE '%stAbO' AND target LIKE '%pAbO' AS whole, target NOT LIKE '%stAbO' AS targeted FROM (SELECT split_part(target, '|', 1) || CASE mol_id % 3 WHEN 0 THEN '|stAbO' WHEN 1 THEN '|pAbO' ELSE '' END AS target FROM molecule WHERE target IS NOT NULL)")
+@query("SELECT DISTINCT target, target NOT LIKE '%stAbO' AND target LIKE '%pAbO' AS whole, target NOT LIKE '%stAbO' AS targeted FROM (SELECT split_part(target, '|', 1) || CASE mol_id % 5 WHEN 0 THEN '|stAbO' WHEN 1 THEN '|pAbO' ELSE '' END AS target FROM molecule WHERE target IS NOT NULL)")
 def m07_depth_correction_used(spark, sf):
-    suffix = F.when(F.col("mol_id") % 3 == 0, "|stAbO").when(F.col("mol_id") % 3 == 1, "|pAbO").otherwise("")
+    suffix = F.when(F.col("mol_id") % 5 == 0, "|stAbO").when(F.col("mol_id") % 5 == 1, "|pAbO").otherwise("")
     t = read(spark, sf, "molecule").filter("target IS NOT NULL").select(F.concat(F.substring_index("target", "|", 1), suffix).alias("target")).distinct()
     return t.select("target", mo.uses_depth_correction("WTA", F.col("target")).alias("whole"), mo.uses_depth_correction("Targeted", F.col("target")).alias("targeted"))
 
