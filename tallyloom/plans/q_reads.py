@@ -175,14 +175,14 @@ def r18_control_distance(spark, sf):
 
 _FEATURES = """f AS (SELECT l_suppkey AS chrom, l_orderkey || '-' || l_linenumber AS feature, datediff('day', DATE '1992-01-01', l_shipdate::DATE) AS f_start,
   datediff('day', DATE '1992-01-01', l_shipdate::DATE) + l_quantity::INTEGER % 4 AS f_end, CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS f_strand,
-  CASE WHEN l_returnflag = 'N' THEN 'exon' ELSE 'intron' END AS kind FROM lineitem WHERE l_suppkey <= 40),
-b AS (SELECT o_orderkey AS read, o_custkey % 40 + 1 AS chrom, CASE WHEN o_orderstatus = 'F' THEN '-' ELSE '+' END AS strand,
+  CASE WHEN l_returnflag = 'N' THEN 'exon' ELSE 'intron' END AS kind FROM lineitem),
+b AS (SELECT o_orderkey AS read, o_custkey % 100 + 1 AS chrom, CASE WHEN o_orderstatus = 'F' THEN '-' ELSE '+' END AS strand,
   datediff('day', DATE '1992-01-01', o_orderdate::DATE) AS s, datediff('day', DATE '1992-01-01', o_orderdate::DATE) + 5 AS e FROM orders)"""
 
 
 def _blocks_features(spark, sf):
     day = lambda c: F.datediff(F.col(c).cast("date"), F.lit("1992-01-01").cast("date"))
-    li = read(spark, sf, "lineitem").filter("l_suppkey <= 40")
+    li = read(spark, sf, "lineitem")
     f = li.select(
         F.col("l_suppkey").alias("chrom"),
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("feature"),
@@ -192,7 +192,7 @@ def _blocks_features(spark, sf):
         F.when(F.col("l_returnflag") == "N", "exon").otherwise("intron").alias("kind"),
     )
     o = read(spark, sf, "orders")
-    b = o.select(F.col("o_orderkey").alias("read"), (F.col("o_custkey") % 40 + 1).alias("chrom"), F.when(F.col("o_orderstatus") == "F", "-").otherwise("+").alias("strand"), day("o_orderdate").alias("start"), (day("o_orderdate") + 5).alias("end"))
+    b = o.select(F.col("o_orderkey").alias("read"), (F.col("o_custkey") % 100 + 1).alias("chrom"), F.when(F.col("o_orderstatus") == "F", "-").otherwise("+").alias("strand"), day("o_orderdate").alias("start"), (day("o_orderdate") + 5).alias("end"))
     return b, f
 
 

@@ -134,11 +134,11 @@ _SNR = """CASE WHEN grouping({k}) = 1 THEN 'All' ELSE {k} END AS {k}, avg(CASE W
 _SNR2 = "SELECT *, mean_signal / nullif(mean_noise, 0) AS mean_snr, median_signal / nullif(median_noise, 0) AS median_snr FROM s"
 
 
-@query(f"WITH {SQL_CELL_GENE}, c AS (SELECT cell FROM cell_gene GROUP BY cell HAVING count(*) > 5), p AS (SELECT * FROM cell_gene WHERE gene LIKE 'QT1G4%'), s AS (SELECT {_SNR.format(k='gene', v='reads')} FROM p LEFT JOIN c ON p.cell = c.cell GROUP BY GROUPING SETS ((gene), ())) {_SNR2}")
+@query(f"WITH {SQL_CELL_GENE}, c AS (SELECT cell FROM cell_gene GROUP BY cell HAVING count(*) > 5), p AS (SELECT * FROM cell_gene WHERE gene LIKE 'QT1%'), s AS (SELECT {_SNR.format(k='gene', v='reads')} FROM p LEFT JOIN c ON p.cell = c.cell GROUP BY GROUPING SETS ((gene), ())) {_SNR2}")
 def a12_protein_signal_to_noise(spark, sf):
     x = cell_gene(spark, sf)
     cells = x.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 5").select("cell")
-    return ag.signal_to_noise(x.filter(F.startswith("gene", F.lit("QT1G4"))), cells, "cell", "gene", "reads")
+    return ag.signal_to_noise(x.filter(F.startswith("gene", F.lit("QT1"))), cells, "cell", "gene", "reads")
 
 
 @query(f"WITH {SQL_CELL_GENE} SELECT gene, sum(reads)::BIGINT AS reads, 100.0 * sum(reads) / sum(sum(reads)) OVER () AS pct FROM cell_gene WHERE gene LIKE 'QT1%' GROUP BY gene")
