@@ -407,10 +407,10 @@ def j01_pair_by_id(spark, sf):
     return joins.join_by_id(r.select("read_id", F.length("r1_seq").cast("bigint").alias("r1")), r.select("read_id", F.length("r2_seq").cast("bigint").alias("r2")), "read_id")
 
 
-@query(f"WITH {SQL_READS}, a AS (SELECT read_id, status FROM reads WHERE position % 4 < 2) SELECT reads.read_id, a.status FROM reads LEFT JOIN a USING (read_id)")
+@query(f"WITH {SQL_READS}, a AS (SELECT read_id, status FROM reads WHERE status <> 'alignment_not_unique') SELECT reads.read_id, a.status FROM reads LEFT JOIN a USING (read_id)")
 def j02_primary_alignments(spark, sf):
     r = reads(spark, sf)
-    return r.select("read_id").join(r.filter("position % 4 < 2").select("read_id", "status"), "read_id", "left")
+    return r.select("read_id").join(r.filter("status != 'alignment_not_unique'").select("read_id", "status"), "read_id", "left")
 
 
 @query(f"WITH {SQL_MOL} SELECT mol_id, coalesce(CASE WHEN length(corrected_umi) >= 8 THEN corrected_umi END, umi) AS umi FROM mol")

@@ -273,7 +273,7 @@ def e06_distinct_sets(spark, sf):
     return st.distinct_sets(read(spark, sf, "pyir_hits").withColumnRenamed("sequence_id", "set_id"), "set_id", "gene")
 
 
-_DAG = "e AS (SELECT 'n' || n_nationkey AS child, 'r' || n_regionkey AS parent FROM nation UNION SELECT 's' || s_suppkey, 'n' || s_nationkey FROM supplier UNION SELECT 'r' || r_regionkey, 'root' FROM region UNION SELECT 's' || s_suppkey, 'r0' FROM supplier WHERE s_suppkey % 5 = 0)"
+_DAG = "e AS (SELECT 'n' || n_nationkey AS child, 'r' || n_regionkey AS parent FROM nation UNION SELECT 's' || s_suppkey, 'n' || s_nationkey FROM supplier UNION SELECT 'r' || r_regionkey, 'root' FROM region UNION SELECT 's' || s_suppkey, 'r0' FROM supplier WHERE s_acctbal > 0)"
 
 
 @query(f"WITH RECURSIVE {_DAG}, a AS (SELECT child, parent AS ancestor, 1 AS steps FROM e UNION SELECT a.child, e.parent, steps + 1 FROM a JOIN e ON a.ancestor = e.child) SELECT child, ancestor, min(steps)::INTEGER AS steps FROM a GROUP BY 1, 2")
@@ -281,7 +281,7 @@ def e07_ancestors(spark, sf):
     n, s, r = (read(spark, sf, t) for t in ("nation", "supplier", "region"))
     k = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
     e = n.select(k("n", "n_nationkey").alias("child"), k("r", "n_regionkey").alias("parent"))
-    e = e.union(s.select(k("s", "s_suppkey"), k("n", "s_nationkey"))).union(r.select(k("r", "r_regionkey"), F.lit("root"))).union(s.filter("s_suppkey % 5 = 0").select(k("s", "s_suppkey"), F.lit("r0")))
+    e = e.union(s.select(k("s", "s_suppkey"), k("n", "s_nationkey"))).union(r.select(k("r", "r_regionkey"), F.lit("root"))).union(s.filter("s_acctbal > 0").select(k("s", "s_suppkey"), F.lit("r0")))
     return st.ancestors(e)
 
 
