@@ -22,4 +22,4 @@ def x01_stream_metrics(spark, sf):
     # With so long a watermark no window is ever closed, so the whole state is written once at the end.
     q = m.writeStream.outputMode("complete").foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(out)).option("checkpointLocation", shared_path(spark, "stream-state")).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))

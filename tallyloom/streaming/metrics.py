@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def windowed_metrics(reads: DataFrame, stamp: str, library: str, flags: dict[str, Column], width: str = "1 hour", late: str = "1 hour") -> DataFrame:
     """Per window and library: reads and those with each flag. Reads later than ``late`` behind the newest are dropped by the watermark; on a batch frame the watermark has no effect."""
-    marked = reads.withWatermark(stamp, late).select(stamp, library, *[c.alias(n) for n, c in flags.items()])
+    marked = reads.withColumn(stamp, F.col(stamp).cast("timestamp")).withWatermark(stamp, late).select(stamp, library, *[c.alias(n) for n, c in flags.items()])
     per = marked.groupBy(F.window(stamp, width), library).agg(F.count(F.lit(1)).alias("reads"), *[F.count_if(F.col(n)).alias(n) for n in flags])
     return per.select(F.col("window.start").alias("window_start"), library, "reads", *flags)
 
