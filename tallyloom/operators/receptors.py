@@ -114,7 +114,7 @@ def consolidated(wide: DataFrame, light: tuple[str, str], alpha_beta: tuple[str,
 
 
 def mixture_cutoff(counts: dict[int, float], most: int = 4, rounds: int = 300) -> float | None:
-    """Reads at which the two lowest peaks of log10 reads per cell meet; None if one peak explains them as well.
+    """Reads at which the peaks of log10 reads per cell below and above the widest gap meet; None if one peak explains them as well.
 
     Mixtures of one to ``most`` normals, fitted by expectation-maximisation; the number is chosen by Akaike's criterion.
     """
@@ -149,11 +149,12 @@ def mixture_cutoff(counts: dict[int, float], most: int = 4, rounds: int = 300) -
     if k == 1:
         return None
     order = np.argsort(mean)
-    (m1, v1, s1), (m2, v2, s2) = ((mean[i], var[i], share[i]) for i in order[:2])
-    grid = np.linspace(m1, m2, 200)
-    gap = np.log(s1) - 0.5 * np.log(v1) - (grid - m1) ** 2 / (2 * v1) - (np.log(s2) - 0.5 * np.log(v2) - (grid - m2) ** 2 / (2 * v2))
-    below = np.flatnonzero(gap <= 0)
-    return float(10 ** grid[below[0]]) if len(below) else None
+    mean, var, share = mean[order], var[order], share[order]
+    part = int(np.argmax(np.diff(mean))) + 1  # signal and noise lie on either side of the widest gap
+    grid = np.linspace(mean[part - 1], mean[part], 200)
+    dens = share / np.sqrt(var) * np.exp(-((grid[:, None] - mean) ** 2) / (2 * var))
+    reached = np.flatnonzero(dens[:, part:].sum(axis=1) >= dens[:, :part].sum(axis=1))
+    return float(10 ** grid[reached[0]]) if len(reached) else None
 
 
 def read_cutoffs(chains: DataFrame, n_cells: int, least_depth: float = 4.0) -> DataFrame:

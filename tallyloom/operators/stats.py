@@ -100,13 +100,13 @@ def running_enrichment(ranked: DataFrame, sets: DataFrame, set_id: str, gene: st
     along: between them the sum falls in a line, so its extremes lie at the hits and just before them.
     """
     order = Window.orderBy(F.desc(score), gene)
-    r = materialize(ranked.select(gene, F.col(score).cast("double").alias("s"), F.row_number().over(order).alias("pos")), "ranked")
+    r = materialize(ranked.select(gene, F.col(score).cast("double").alias("__s"), F.row_number().over(order).alias("__pos")), "ranked")
     n = r.count()
     hits = sets.select(set_id, gene).distinct().join(r, gene)
     per = Window.partitionBy(set_id)
-    w = per.orderBy("pos")
-    h = hits.select(set_id, "pos", F.abs("s").alias("a"), F.row_number().over(w).alias("j"), F.count(F.lit(1)).over(per).alias("m"), F.sum(F.abs("s")).over(per).alias("t"), F.sum(F.abs("s")).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("c"))
-    down = F.try_divide(F.col("pos") - F.col("j"), F.lit(n) - F.col("m"))
+    w = per.orderBy("__pos")
+    h = hits.select(set_id, "__pos", F.abs("__s").alias("a"), F.row_number().over(w).alias("j"), F.count(F.lit(1)).over(per).alias("m"), F.sum(F.abs("__s")).over(per).alias("t"), F.sum(F.abs("__s")).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("c"))
+    down = F.try_divide(F.col("__pos") - F.col("j"), F.lit(n) - F.col("m"))
     at, before = F.try_divide(F.col("c"), F.col("t")) - down, F.try_divide(F.col("c") - F.col("a"), F.col("t")) - down
     e = h.select(set_id, "m", at.alias("hi"), before.alias("lo")).groupBy(set_id).agg(F.max("hi").alias("hi"), F.min("lo").alias("lo"), F.first("m").alias("size"))
     return e.select(set_id, "size", F.when(F.col("hi") >= -F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("score"))

@@ -75,7 +75,7 @@ def read_matrix_market(spark: SparkSession, path: str, row_names: str, col_names
 
 def _numbered(spark: SparkSession, path: str) -> DataFrame:
     """Lines of a small file with their numbers from 1, in the order of the file."""
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     return whole.select(F.posexplode(F.split(F.regexp_replace("value", "\\r?\\n$", ""), "\\r?\\n")).alias("p", "value")).select((F.col("p") + 1).alias("line_no"), "value")
 
 
