@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 BEAD, PROTEIN_FIRST, COMBINED = "bead", "protein_first", "combined"
 NOISE_UMI = "NNNNNNN"
@@ -115,20 +119,35 @@ def correct_substitutions(molecules: DataFrame, keys: list[str], umi: str = "umi
     near = marked.filter("__near").drop("__near")
     schema = T.StructType([*[f for f in clean.schema if f.name in keys], T.StructField("umi", T.StringType()), T.StructField("raw_reads", T.LongType()), T.StructField("rsec_reads", T.LongType()), T.StructField("parent_umi", T.StringType())])
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        counts = dict(zip(group["umi"], group["raw_reads"]))
+    def finish(key: tuple, counts: dict[str, int]) -> Iterator[tuple]:
         parent = cluster_umis(counts, ratio)
         total: dict[str, int] = defaultdict(int)
         for u, p in parent.items():
             total[p] += counts[u]
-        out = group[keys].copy()
-        out["umi"] = group["umi"]
-        out["raw_reads"] = group["raw_reads"]
-        out["rsec_reads"] = [total[u] if parent[u] == u else 0 for u in group["umi"]]
-        out["parent_umi"] = [None if parent[u] == u else parent[u] for u in group["umi"]]
-        return out[[f.name for f in schema]]
-
-    return alone.unionByName(near.groupBy(*keys).applyInPandas(run, schema))
+        for u, p in parent.items():
+            yield (*key, u, counts[u], total[u] if p == u else 0, None if p == u else p)
+
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        at, counts = None, {}
+        for b in batches:
+            for *key, u, n in zip(*(c.to_pylist() for c in b.columns)):
+                if key != at:
+                    if counts:
+                        yield from finish(tuple(at), counts)
+                    at, counts = key, {}
+                counts[u] = n
+        if counts:
+            yield from finish(tuple(at), counts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = groups(batches)
+        while chunk := [*islice(rows, 20_000)]:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*chunk), kinds)], names=schema.names)
+
+    # Groups lie next to each other in a sorted partition, so that one task streams through many small ones.
+    kinds = [f.type for f in to_arrow_schema(schema)]
+    laid = near.select(*keys, "umi", "raw_reads").repartition(*keys).sortWithinPartitions(*keys)
+    return alone.unionByName(laid.mapInArrow(run, schema))
 
 
 # ---------------------------------------------------------------- depth of molecules per gene

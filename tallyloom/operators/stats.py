@@ -37,7 +37,7 @@ def rank_sum(df: DataFrame, gene: str, group: str, value: str) -> DataFrame:
 
     r = average_ranks(df, [gene], value)
     t = r.groupBy(gene, value).agg(F.count(F.lit(1)).alias("t")).groupBy(gene).agg(F.sum(F.col("t").cast("double") ** 3 - F.col("t")).alias("ties"))
-    s = r.groupBy(gene).agg(F.sum(F.when(F.col(group), F.col("rank_no"))).alias("r1"), F.count_if(F.col(group)).alias("n1"), F.count(F.lit(1)).alias("n"))
+    s = r.groupBy(gene).agg(F.coalesce(F.sum(F.when(F.col(group), F.col("rank_no"))), F.lit(0.0)).alias("r1"), F.count_if(F.col(group)).alias("n1"), F.count(F.lit(1)).alias("n"))
     n, n1 = F.col("n").cast("double"), F.col("n1").cast("double")
     n2 = n - n1
     u = F.col("r1") - n1 * (n1 + 1) / 2

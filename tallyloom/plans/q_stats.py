@@ -220,7 +220,7 @@ def e01_marker_shares(spark, sf):
 @query(
     """WITH r AS (SELECT p_brand AS gene, p_size, p_partkey % 3 = 0 AS g, rank() OVER (PARTITION BY p_brand ORDER BY p_size) + (count(*) OVER (PARTITION BY p_brand, p_size) - 1) / 2.0 AS r, count(*) OVER (PARTITION BY p_brand, p_size) AS t, count(*) OVER (PARTITION BY p_brand)::DOUBLE AS n FROM part),
 s AS (SELECT gene, sum(CASE WHEN g THEN r ELSE 0 END) AS r1, count(*) FILTER (g)::DOUBLE AS n1, any_value(n) AS n, sum(t * t - 1)::DOUBLE AS ties FROM r GROUP BY gene)
-SELECT gene, round((r1 - n1 * (n1 + 1) / 2)::DOUBLE, 6) AS u, round((r1 - n1 * (n1 + 1) / 2 - n1 * (n - n1) / 2) / sqrt(n1 * (n - n1) / 12 * (n + 1 - ties / (n * (n - 1)))), 6) AS z FROM s"""
+SELECT gene, round((r1 - n1 * (n1 + 1) / 2)::DOUBLE, 6) AS u, round((r1 - n1 * (n1 + 1) / 2 - n1 * (n - n1) / 2) / nullif(sqrt(n1 * (n - n1) / 12 * (n + 1 - ties / nullif(n * (n - 1), 0))), 0), 6) AS z FROM s"""
 )
 def e01_rank_sum(spark, sf):
     p = read(spark, sf, "part").select(F.col("p_brand").alias("gene"), "p_size", (F.col("p_partkey") % 3 == 0).alias("g"))
