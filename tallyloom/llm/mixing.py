@@ -113,7 +113,8 @@ def mix(docs: DataFrame, targets: DataFrame, doc_id: str = "doc_id", source: str
 def report(mixed: DataFrame, sizes: list[dict]) -> DataFrame:
     """One row per listed source: what it has, its target, and what the mix really holds of it.
 
-    ``is_exhausted``: all of its copies are in the mix; ``is_short``: exhausted and still below its target.
+    ``is_exhausted``: all of its copies are in the mix; ``is_short``: below its target, which
+    all of its copies together wouldn't reach.
     """
     got = mixed.groupBy("source").agg(F.count(F.lit(1)).alias("mix_docs"), F.sum("n_tokens").alias("mix_tokens"), F.max("copy_no").alias("max_copy"))
     schema = "source string, weight double, max_repeats int, n_docs bigint, tokens bigint, capacity bigint, target_tokens double"
@@ -122,4 +123,4 @@ def report(mixed: DataFrame, sizes: list[dict]) -> DataFrame:
     total = F.sum("mix_tokens").over(Window.partitionBy())
     out = listed.join(got, "source", "left").fillna(0, ["mix_docs", "mix_tokens", "max_copy"])  # at most MAX_SOURCES rows
     out = out.withColumn("share", F.try_divide("mix_tokens", total)).withColumn("is_exhausted", F.col("mix_tokens") >= F.col("capacity"))
-    return out.withColumn("is_short", F.col("is_exhausted") & (F.col("mix_tokens") < F.col("target_tokens")))
+    return out.withColumn("is_short", (F.col("capacity") < F.col("target_tokens")) & (F.col("mix_tokens") < F.col("target_tokens")))
