@@ -90,6 +90,8 @@ def repair_checksum(code: Column) -> Column:
 # Kinds of reference, by the end of its name, with the least aligned length and the last allowed start.
 KINDS = {"stAbO": ("tag", 40, 29), "pAbO": ("protein", 25, 15), "VDJ": ("receptor", None, None)}
 MRNA_LENGTH, MRNA_START = 37, 5
+# Fixed value: what marks a protein in a plain gene name.
+PROTEIN_MARK = " (AbSeq)"
 
 
 def reference_kind(name: Column) -> Column:
@@ -167,9 +169,9 @@ def control_distance(length: Column, position: Column) -> Column:
 
 
 def plain_gene_name(name: Column) -> Column:
-    """The symbol of a panel entry; a protein entry says so: ``CD3:1|CD3|pAbO`` is ``CD3 (AbSeq)``."""
+    """The symbol of a panel entry; a protein entry says so: ``CD3:1|CD3|pAbO`` is ``CD3`` and ``PROTEIN_MARK``."""
     symbol = F.substring_index(F.substring_index(name, "|", 1), ":", 1)
-    return F.when(F.endswith(name, F.lit("pAbO")), F.concat(symbol, F.lit(" (AbSeq)"))).otherwise(symbol)
+    return F.when(F.endswith(name, F.lit("pAbO")), F.concat(symbol, F.lit(PROTEIN_MARK))).otherwise(symbol)
 
 
 def ratio(text: Column) -> Column:

@@ -390,3 +390,117 @@ def counts_to_profile(x: DataFrame, cell: str, gene: Column, value: str) -> Data
     """Counts summed to plain gene names, to ten thousand per cell, log10 of value + 1: the input of a cell classifier."""
     plain = x.groupBy(cell, gene.alias("gene")).agg(F.sum(value).alias("n"))
     return normalised(plain, cell, "n", 10_000.0, "10").select(cell, "gene", "x")
+
+
+# ---------------------------------------------------------------- further kernels, on bounded matrices
+
+
+def nonnegative_factors(values: np.ndarray, k: int, rounds: int = 200, seed: int = 1) -> np.ndarray:
+    """Row weights of a non-negative factorisation with ``k`` parts (multiplicative updates)."""
+    rnd = np.random.default_rng(seed)
+    w, h = rnd.random((len(values), k)) + 0.1, rnd.random((k, values.shape[1])) + 0.1
+    for _ in range(rounds):
+        h *= (w.T @ values) / np.maximum(w.T @ w @ h, 1e-12)
+        w *= (values @ h.T) / np.maximum(w @ h @ h.T, 1e-12)
+    return w
+
+
+def independent_components(values: np.ndarray, k: int, rounds: int = 200, seed: int = 1) -> np.ndarray:
+    """``k`` independent components of the rows (fixed-point iteration with tanh, on whitened data)."""
+    x = values - values.mean(axis=0)
+    z = np.linalg.svd(x, full_matrices=False)[0][:, :k] * math.sqrt(len(x))
+    w = np.linalg.qr(np.random.default_rng(seed).normal(size=(z.shape[1], z.shape[1])))[0]
+    for _ in range(rounds):
+        g = np.tanh(z @ w.T)
+        new = g.T @ z / len(z) - np.diag((1 - g * g).mean(axis=0)) @ w
+        p, _, q = np.linalg.svd(new)
+        new = p @ q
+        done = np.max(np.abs(np.abs((new * w).sum(axis=1)) - 1)) < 1e-8
+        w = new
+        if done:
+            break
+    return z @ w.T
+
+
+def k_medoids(distance: np.ndarray, k: int, rounds: int = 100) -> np.ndarray:
+    """Labels by alternating assignment and choice of the most central row; starts from the most central rows spread out."""
+    n = len(distance)
+    centres = [int(np.argmin(distance.sum(axis=1)))]
+    while len(centres) < min(k, n):
+        centres.append(int(np.argmax(distance[:, centres].min(axis=1))))
+    labels = np.argmin(distance[:, centres], axis=1)
+    for _ in range(rounds):
+        new = [int(np.flatnonzero(labels == c)[np.argmin(distance[np.ix_(labels == c, labels == c)].sum(axis=1))]) if (labels == c).any() else centres[c] for c in range(len(centres))]
+        if new == centres:
+            break
+        centres = new
+        labels = np.argmin(distance[:, centres], axis=1)
+    return labels
+
+
+def density_clusters(distance: np.ndarray, radius: float, least: int = 5) -> np.ndarray:
+    """Labels by density: rows with ``least`` neighbours within the radius and all they reach; -1 for the rest."""
+    near = distance <= radius
+    core = near.sum(axis=1) >= least
+    labels, number = np.full(len(distance), -1), 0
+    for i in np.flatnonzero(core):
+        if labels[i] >= 0:
+            continue
+        todo, labels[i] = [i], number
+        while todo:
+            j = todo.pop()
+            if core[j]:
+                for m in np.flatnonzero(near[j] & (labels < 0)):
+                    labels[m] = number
+                    todo.append(m)
+        number += 1
+    return labels
+
+
+def cut_tree(distance: np.ndarray, k: int) -> np.ndarray:
+    """Labels of ``k`` clusters from complete linkage."""
+    n = len(distance)
+    parent = list(range(n))
+    members = {i: [i] for i in range(n)}
+    merges = [(h, a, b, n + i) for i, (a, b, h) in enumerate(complete_linkage(distance))]
+    for _, a, b, c in merges:
+        members[c] = members[a] + members[b]
+    for _, a, b, _ in sorted(merges)[: max(0, n - k)]:
+        for x in (a, b):
+            for i in members[x]:
+                parent[i] = min(parent[j] for j in members[a] + members[b])
+    return np.unique(np.array(parent), return_inverse=True)[1] if n else np.zeros(0, dtype=int)
+
+
+def shared_neighbour_clusters(distance: np.ndarray, k: int = 10, least: float = 0.5) -> np.ndarray:
+    """Labels: parts of the graph of rows that share at least ``least`` of their ``k`` nearest neighbours (themselves included)."""
+    n = len(distance)
+    nearest = np.argsort(distance, axis=1, kind="stable")[:, : min(k, n)]
+    member = np.zeros((n, n), dtype=bool)
+    np.put_along_axis(member, nearest, True, axis=1)
+    shared = member.astype(int) @ member.T.astype(int) >= least * min(k, n)
+    labels, number = np.full(n, -1), 0
+    for i in range(n):
+        if labels[i] < 0:
+            todo, labels[i] = [i], number
+            while todo:
+                for m in np.flatnonzero(shared[todo.pop()] & (labels < 0)):
+                    labels[m] = number
+                    todo.append(m)
+            number += 1
+    return labels
+
+
+def on_groups(vectors: DataFrame, group: str, item: str, column: str, kernel, limit: int = 20_000, out: str = "label int") -> DataFrame:
+    """``group, item`` and what ``kernel`` gives for the matrix of each group of at most ``limit`` items, in order of the items; larger groups are an error."""
+    size = vectors.groupBy(group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if size > limit:
+        raise ValueError(f"a group has {size} items; this is for at most {limit}")
+    name = out.split()[0]
+
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values(item)
+        return pd.DataFrame({group: g[group], item: g[item], name: list(kernel(np.stack(g[column].to_numpy()).astype(float)))})
+
+    types = dict(vectors.dtypes)
+    return vectors.select(group, item, column).groupBy(group).applyInPandas(run, f"{group} {types[group]}, {item} {types[item]}, {out}")

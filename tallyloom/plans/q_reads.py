@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import labels, reads as rd
-from ..operators import joins, molecules as mo
+from ..operators import joins, labels as lb, molecules as mo
 from .bindings import SQL_CALLED, SQL_CELL_GENE, SQL_MOL, SQL_READS, called_cells, cell_gene, molecules, reads
 from .registry_helpers import book
 from .tables import read
@@ -61,6 +61,25 @@ def r05_whitelist_exact(spark, sf):
     return reads(spark, sf).select("read_id", rd.whitelist_index(F.substring("r1_seq", 1, 3), _WHITE).alias("section_no"))
 
 
+def _scheme() -> lb.LabelScheme:
+    """A stand-in scheme by rule: every section has the 96 first words of eight letters whose codes differ in several places."""
+    words = ["".join("ACGT"[(i * m // 7 + i // 4**j) % 4] for j, m in enumerate((1, 3, 5, 9, 11, 2, 6, 13))) for i in range(3, 1200, 11)]
+    return lb.LabelScheme([list(dict.fromkeys(words))[:96]] * 3, ("ACTGGCCTGCGA", "GGTAGCGGTGAC"), 1)
+
+
+@query()
+def r06_label_annotation(spark, sf):
+    """Reads built from labels by the scheme, some with a substitution or a lost base, annotated again."""
+    s = _scheme()
+    r = reads(spark, sf)
+    k = F.col("read_id")
+    n = len(s.sections[0])
+    word = lambda i, c: F.element_at(F.array(*[F.lit(w) for w in s.sections[i]]), (c % n + 1).cast("int"))
+    whole = F.concat(word(0, k), F.lit(s.linkers[0]), word(1, F.floor(k / 7)), F.lit(s.linkers[1]), word(2, F.floor(k / 13)), F.substring("r2_seq", 1, 8), F.lit("TTTTTTTTTT"))
+    seen = F.when(k % 5 == 0, F.overlay(whole, F.lit("A"), F.lit(4))).when(k % 5 == 1, F.overlay(whole, F.lit(""), F.lit(23), F.lit(1))).otherwise(whole)
+    return lb.annotate_labels(r.select("read_id", seen.alias("seq")), s)
+
+
 _KEYS8 = ["ACGTACGT", "AAAACCCC", "GGGGTTTT", "TTTTACGT", "CCCCAGAG", "GATTACAG", "CATCATCA", "TGTGTGTG"]
 _KEYS8_SQL = "[" + ", ".join(f"'{w}'" for w in _KEYS8) + "]"
 
@@ -264,7 +283,7 @@ def r25_older_thresholds(spark, sf):
     return reads(spark, sf).groupBy(kind.alias("kind"), ok.alias("valid")).agg(F.count(F.lit(1)).alias("n_reads"))
 
 
-@query(f"WITH {SQL_READS} SELECT split_part(split_part(target, '|', 1), ':', 1) || CASE WHEN target LIKE '%pAbO' THEN ' (AbSeq)' ELSE '' END AS gene, sum(position) AS total FROM reads GROUP BY 1")
+@query(f"WITH {SQL_READS} SELECT split_part(split_part(target, '|', 1), ':', 1) || CASE WHEN target LIKE '%pAbO' THEN '{rd.PROTEIN_MARK}' ELSE '' END AS gene, sum(position) AS total FROM reads GROUP BY 1")
 def r26_plain_gene_names(spark, sf):
     return reads(spark, sf).groupBy(rd.plain_gene_name(F.col("target")).alias("gene")).agg(F.sum("position").alias("total"))
 

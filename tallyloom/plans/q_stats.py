@@ -67,6 +67,40 @@ def _label_means(spark, sf):
     return e.groupBy("label", "dim").agg(F.avg(F.col("v").cast("double")).alias("v"))
 
 
+def _parted(spark, sf):
+    return read(spark, sf, "embeddings").withColumn("part", F.pmod("vec_id", F.lit(4)).cast("int"))
+
+
+@query()
+def d05_nonnegative_factors(spark, sf):
+    return mx.on_groups(_parted(spark, sf), "part", "vec_id", "embedding", lambda x: mx.nonnegative_factors(x - x.min(), 3, 50), out="weights array<double>")
+
+
+@query()
+def d05_independent_components(spark, sf):
+    return mx.on_groups(_parted(spark, sf), "part", "vec_id", "embedding", lambda x: mx.independent_components(x, 3, 50), out="components array<double>")
+
+
+@query()
+def d07_k_medoids(spark, sf):
+    return mx.on_groups(_parted(spark, sf), "part", "vec_id", "embedding", lambda x: mx.k_medoids(mx.correlation_distance(x), 8))
+
+
+@query()
+def d07_density_clusters(spark, sf):
+    return mx.on_groups(_parted(spark, sf), "part", "vec_id", "embedding", lambda x: mx.density_clusters(mx.correlation_distance(x), 0.7, 4))
+
+
+@query()
+def d07_hierarchical_clusters(spark, sf):
+    return mx.on_groups(_parted(spark, sf), "part", "vec_id", "embedding", lambda x: mx.cut_tree(mx.correlation_distance(x), 8))
+
+
+@query()
+def d07_shared_neighbour_clusters(spark, sf):
+    return mx.on_groups(_parted(spark, sf), "part", "vec_id", "embedding", lambda x: mx.shared_neighbour_clusters(mx.correlation_distance(x)))
+
+
 @query(
     f"""WITH {_MEANS} SELECT a.label AS row_a, b.label AS row_b, round(sum(abs(a.v - b.v)), 6) AS manhattan, round(sum((a.v - b.v) * (a.v - b.v)), 6) AS euclidean_2, round(1 - corr(a.v, b.v), 6) AS correlation
 FROM m a JOIN m b ON a.dim = b.dim AND a.label < b.label GROUP BY 1, 2"""
@@ -169,7 +203,7 @@ def d15_matched_accuracy(spark, sf):
     return spark.createDataFrame([(mx.matched_accuracy(read(spark, sf, "orders"), "o_orderstatus", "o_orderpriority"),)], "accuracy double")
 
 
-@query(f"WITH {SQL_READS}, g AS (SELECT library AS cell, split_part(split_part(target, '|', 1), ':', 1) || CASE WHEN target LIKE '%pAbO' THEN ' (AbSeq)' ELSE '' END AS gene, sum(position)::BIGINT AS n FROM reads GROUP BY 1, 2) SELECT cell, gene, round(log10(1 + n * 10000.0 / nullif(sum(n) OVER (PARTITION BY cell), 0)), 9) AS x FROM g")
+@query(f"WITH {SQL_READS}, g AS (SELECT library AS cell, split_part(split_part(target, '|', 1), ':', 1) || CASE WHEN target LIKE '%pAbO' THEN '{rd.PROTEIN_MARK}' ELSE '' END AS gene, sum(position)::BIGINT AS n FROM reads GROUP BY 1, 2) SELECT cell, gene, round(log10(1 + n * 10000.0 / nullif(sum(n) OVER (PARTITION BY cell), 0)), 9) AS x FROM g")
 def d16_classifier_profile(spark, sf):
     return mx.counts_to_profile(reads(spark, sf), "library", rd.plain_gene_name(F.col("target")), "position").select(F.col("library").alias("cell"), "gene", F.round("x", 9).alias("x"))
 

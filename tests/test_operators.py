@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyloom.functions import reads as rd
-from tallyloom.operators import cells, joins, matrix, molecules as mo, receptors, stats, tags, windows
+from tallyloom.operators import cells, joins, labels, matrix, molecules as mo, receptors, stats, tags, windows
 
 # ---------------------------------------------------------------- reads
 
@@ -42,7 +42,7 @@ def test_umi_validity(spark, umi, ok):
     assert _one(spark, umi, rd.umi_is_valid) is ok
 
 
-@pytest.mark.parametrize(("name", "plain"), [("AIM2|NM_004833.1|Reference_end", "AIM2"), ("CD3:1234|CD3|pAbO", "CD3 (AbSeq)"), ("A", "A")])
+@pytest.mark.parametrize(("name", "plain"), [("AIM2|NM_004833.1|Reference_end", "AIM2"), ("CD3:1234|CD3|pAbO", "CD3" + rd.PROTEIN_MARK), ("A", "A")])
 def test_gene_names(spark, name, plain):
     assert _one(spark, name, rd.plain_gene_name) == plain
 
@@ -330,3 +330,50 @@ def test_running_enrichment_against_whole_walk(spark):
             walk += abs(v) / total if g in m else -1 / (len(ranked) - len(m))
             best = walk if abs(walk) > abs(best) else best
         assert got[s] == pytest.approx(best)
+
+
+# ---------------------------------------------------------------- labels with errors
+
+
+def test_label_annotation(spark):
+    a, b, c = ["AAAACCCC", "GGTTGGTT"], ["CATCATCA", "TTTTGGGG"], ["ACGTACGT", "GGGGAAAA"]
+    s = labels.LabelScheme([a, b, c], ("ACTGGCCTGCGA", "GGTAGCGGTGAC"), 1)
+    good = a[1] + s.linkers[0] + b[0] + s.linkers[1] + c[1] + "ACACACAC" + "TTTTTTTT"
+    cases = {
+        "exact": (good, ("2-1-2", "0-0-0", "ACACACAC", "TTTTTTTT")),
+        "substituted": ("C" + good[1:], ("2-1-2", "1-0-0", "ACACACAC", "TTTTTTTT")),
+        "lost": (good[:3] + good[4:], ("2-1-2", "2-0-0", "ACACACAC", "TTTTTTTT")),
+        "added": (good[:24] + "G" + good[24:], ("2-1-2", "0-2-0", "ACACACAC", "TTTTTTTT")),
+        "unknown": ("T" * 64, None),
+        "short": ("ACG", None),
+    }
+    df = spark.createDataFrame([(k, v[0]) for k, v in cases.items()] + [("none", None)], "read_id string, seq string")
+    got = {r.read_id: tuple(r)[1:] for r in labels.annotate_labels(df, s).collect()}
+    assert set(got) == set(cases)
+    for k, (_, want) in cases.items():
+        assert got[k] == want if want else "x" in got[k][0]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("ACG", max_size=9), st.text("ACG", max_size=9), st.integers(0, 9))
+def test_bounded_distance(a, b, limit):
+    d = [[i + j if i * j == 0 else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+    assert labels.distance(a, b, limit) == min(d[-1][-1], limit + 1)
+
+
+def test_clusters_of_clear_groups():
+    rnd = np.random.default_rng(2)
+    x = np.concatenate([c + rnd.normal(0, 0.2, (20, 12)) for c in rnd.random((3, 12)) * 9])
+    d = matrix.correlation_distance(x)
+    for got in (matrix.k_medoids(d, 3), matrix.density_clusters(d, 0.15, 4), matrix.cut_tree(d, 3), matrix.shared_neighbour_clusters(d)):
+        parts = [{*got[i : i + 20]} for i in (0, 20, 40)]
+        assert all(len(p) == 1 for p in parts) and len(set.union(*parts)) == 3
+    w = matrix.nonnegative_factors(np.abs(x), 3)
+    assert w.shape == (60, 3) and (w >= 0).all()
+    sources = np.stack([rnd.uniform(-1, 1, 4000), np.sign(rnd.normal(size=4000)) * rnd.exponential(1, 4000)], axis=1)
+    found = matrix.independent_components(sources @ rnd.normal(size=(2, 2)), 2)
+    c = np.abs(np.corrcoef(sources.T, found.T)[:2, 2:])
+    assert c.max(axis=1).min() > 0.95
