@@ -15,6 +15,12 @@ def sized_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def bounded(df: DataFrame, key: str, limit: int) -> None:
+    """An error if ``key`` has more than ``limit`` values: for operators whose result has a row for every two of them."""
+    if df.select(key).distinct().limit(limit + 1).count() > limit:
+        raise ValueError(f"{key} has more than {limit} values; pairs of so many aren't compared")
+
+
 def join_by_id(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Rows of two files that belong together, by an id given when they were read.
 

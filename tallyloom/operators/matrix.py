@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .joins import bounded
+
 # ---------------------------------------------------------------- genes and normalising
 
 
@@ -75,13 +77,14 @@ def k_means(vectors: DataFrame, column: str, k: int, seed: int = 1) -> DataFrame
     return KMeans(k=k, seed=seed, featuresCol="__v", predictionCol="cluster").fit(v).transform(v).drop("__v")
 
 
-def pair_distances(x: DataFrame, row: str, col: str, value: str, rows: DataFrame | None = None) -> DataFrame:
+def pair_distances(x: DataFrame, row: str, col: str, value: str, rows: DataFrame | None = None, limit: int = 5_000) -> DataFrame:
     """``row_a < row_b`` with Manhattan, squared Euclidean and correlation distance, absent entries as zeros.
 
-    For a bounded set of rows (cluster means, samples): the result has a row for every two of them that share a column. From
-    inner products over shared columns and each row's own sums; rows without a shared column have no entry.
+    For a bounded set of rows (cluster means, samples; more than ``limit`` are an error): the result has a row for every two of them that
+    share a column. From inner products over shared columns and each row's own sums; rows without a shared column have no entry.
     """
     x = x if rows is None else x.join(rows, row, "left_semi")
+    bounded(x, row, limit)
     a = x.select(F.col(row).alias("row_a"), F.col(col).alias("__c"), F.col(value).cast("double").alias("__x"))
     b = x.select(F.col(row).alias("row_b"), F.col(col).alias("__c"), F.col(value).cast("double").alias("__y"))
     dot = a.join(b, "__c").filter("row_a < row_b").groupBy("row_a", "row_b").agg(F.sum(F.col("__x") * F.col("__y")).alias("xy"), F.sum(F.abs(F.col("__x") - F.col("__y")) - F.abs("__x") - F.abs("__y")).alias("d"))
@@ -97,11 +100,12 @@ def pair_distances(x: DataFrame, row: str, col: str, value: str, rows: DataFrame
 # ---------------------------------------------------------------- clusters
 
 
-def consensus(labels: DataFrame, run: str, item: str, label: str) -> DataFrame:
+def consensus(labels: DataFrame, run: str, item: str, label: str, limit: int = 5_000) -> DataFrame:
     """``item_a < item_b, distance``: 1 less the share of all runs that put both in one cluster.
 
-    For the bounded set of items of a consensus study. Pairs that no run joins (distance 1) have no row.
+    For the bounded set of items of a consensus study (more than ``limit`` are an error). Pairs that no run joins (distance 1) have no row.
     """
+    bounded(labels, item, limit)
     n = labels.select(run).distinct().count()
     a = labels.select(run, label, F.col(item).alias("item_a"))
     b = labels.select(run, label, F.col(item).alias("item_b"))

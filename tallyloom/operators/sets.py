@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import bounded
+
 
 def sample_exactly(df: DataFrame, ids: list[str], n: int, seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows (all, if fewer), by the least hashes of their ids: the same for any partitioning."""
@@ -45,12 +47,13 @@ def combinations(members: DataFrame, set_id: str, item: str) -> DataFrame:
     return by_item.groupBy("combination").agg(F.count(F.lit(1)).alias("n_items"))
 
 
-def jaccard(members: DataFrame, set_id: str, item: str) -> DataFrame:
+def jaccard(members: DataFrame, set_id: str, item: str, limit: int = 5_000) -> DataFrame:
     """``set_a < set_b, both, jaccard`` of the sets that share an item.
 
-    By an inverted index: each item gives the pairs of the sets that hold it. It is meant for few sets (clusters,
-    conditions, gene lists), which bounds the pairs of an item; sets are made distinct and sized by aggregates.
+    By an inverted index: each item gives the pairs of the sets that hold it. It is for few sets (clusters, conditions,
+    gene lists), which bounds the pairs of an item: more than ``limit`` are an error. Sets are made distinct and sized by aggregates.
     """
+    bounded(members, set_id, limit)
     m = members.select(F.col(set_id).alias("s"), F.col(item).alias("i")).dropna().distinct()
     holders = m.groupBy("i").agg(F.sort_array(F.collect_set("s")).alias("h")).filter(F.size("h") > 1)
     pairs = holders.select(F.explode(F.flatten(F.transform("h", lambda a: F.transform(F.filter("h", lambda b: b > a), lambda b: F.struct(a.alias("a"), b.alias("b")))))).alias("p"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .joins import sized_broadcast
+from .joins import bounded, sized_broadcast
 
 # ---------------------------------------------------------------- markers
 
@@ -174,13 +174,14 @@ def correlations(x: DataFrame, gene: str, cell: str, value: str, vector: DataFra
     return s.select(gene, F.try_divide(cov, F.nullif(sd, F.lit(0.0))).alias("r"))
 
 
-def sample_correlations(x: DataFrame, sample: str, item: str, value: str, method: str = "pearson") -> DataFrame:
-    """``sample_a <= sample_b, r`` over the items that both have. For a bounded number of samples.
+def sample_correlations(x: DataFrame, sample: str, item: str, value: str, method: str = "pearson", limit: int = 5_000) -> DataFrame:
+    """``sample_a <= sample_b, r`` over the items that both have. More than ``limit`` samples are an error.
 
     ``spearman`` correlates the mean ranks within each sample.
     """
     from .matrix import average_ranks
 
+    bounded(x, sample, limit)
     y = x.select(sample, item, F.col(value).cast("double").alias("v"))
     if method == "spearman":
         y = average_ranks(y, [sample], "v", "r").select(sample, item, F.col("r").alias("v"))

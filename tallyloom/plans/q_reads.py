@@ -283,7 +283,7 @@ def r25_older_thresholds(spark, sf):
     return reads(spark, sf).groupBy(kind.alias("kind"), ok.alias("valid")).agg(F.count(F.lit(1)).alias("n_reads"))
 
 
-@query(f"WITH {SQL_READS} SELECT split_part(split_part(target, '|', 1), ':', 1) || CASE WHEN target LIKE '%pAbO' THEN '{rd.PROTEIN_MARK}' ELSE '' END AS gene, sum(position) AS total FROM reads GROUP BY 1")
+@query(f"WITH {SQL_READS} SELECT split_part(split_part(target, '|', 1), ':', 1) || CASE WHEN target LIKE '%pAbO' THEN '{rd.PROTEIN_MARK}' ELSE '' END AS gene, sum(position)::BIGINT AS total FROM reads GROUP BY 1")
 def r26_plain_gene_names(spark, sf):
     return reads(spark, sf).groupBy(rd.plain_gene_name(F.col("target")).alias("gene")).agg(F.sum("position").alias("total"))
 

@@ -377,3 +377,13 @@ def test_clusters_of_clear_groups():
     found = matrix.independent_components(sources @ rnd.normal(size=(2, 2)), 2)
     c = np.abs(np.corrcoef(sources.T, found.T)[:2, 2:])
     assert c.max(axis=1).min() > 0.95
+
+
+def test_pairs_of_too_many_are_an_error(spark):
+    from tallyloom.operators import sets
+
+    df = spark.range(20).select(F.col("id").alias("s"), F.lit(1).alias("i"), F.lit(1.0).alias("v"))
+    for call in (lambda: sets.jaccard(df, "s", "i", 19), lambda: matrix.pair_distances(df, "s", "i", "v", limit=19), lambda: matrix.consensus(df, "i", "s", "v", 19), lambda: stats.sample_correlations(df, "s", "i", "v", limit=19)):
+        with pytest.raises(ValueError, match="more than 19"):
+            call()
+    assert sets.jaccard(df, "s", "i", 20).count() == 190
