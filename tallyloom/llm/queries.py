@@ -23,7 +23,8 @@ def _hit_order() -> list[F.Column]:
 def p2_top(spark: SparkSession, sf_dir: str, n: int = TOP) -> DataFrame:
     """The ``n`` genes of highest score of every sequence, with their scores."""
     h = read(spark, sf_dir, "pyir_hits")
-    gene = strip(F.regexp_replace(strip("gene"), "^lcl[|]", ""))
+    trimmed = strip("gene")
+    gene = F.when(F.startswith(trimmed, F.lit("lcl|")), strip(F.substring(trimmed, 5, 1 << 20))).otherwise(trimmed)
     rows = h.select(strip_or_null("sequence_id").alias("sequence_id"), F.nullif(gene, F.lit("")).alias("gene"), "bit_score", "e_value")
     rows = rows.filter(F.col("bit_score").isNotNull() & ~F.isnan("bit_score"))
     return topn.top_n(rows, "sequence_id", "gene", _hit_order(), n).withColumnRenamed("rank_no", "hit_rank")
