@@ -260,11 +260,12 @@ class Evidence:
         self.starts: Counter = Counter()
         self.after: Counter = Counter()
 
-    def add(self, text: str, found: list, starters: frozenset | set = frozenset()) -> None:
-        for a, body, b, begins, blank in found:
+    def add(self, text: str, found: list, starters: frozenset | set = frozenset(), listed: list[list[Mark]] | None = None) -> None:
+        """Count a document's units; ``listed`` are their marks, if they are known already."""
+        for k, (_, body, b, begins, blank) in enumerate(found):
             if begins and (m := _WORD.search(text, body, min(b, body + 40))) and not text[body : m.start()].strip(WHITE_SPACE + OPENERS + "—–"):
                 self.starts[m.group()] += 1
-            for x in marks(text, body, b):
+            for x in marks(text, body, b) if listed is None else listed[k]:
                 if not x.is_stop or not x.chunk or x.inside:
                     continue
                 if x.last:
@@ -359,27 +360,28 @@ class Splitter:
     def __call__(self, text: str) -> list[tuple[int, int]]:
         """Start and end of every sentence, by code points, end exclusive, without outer white space."""
         found = units(text)
+        listed = [[*marks(text, body, b)] for _, body, b, _, _ in found]
         self.own = Evidence()
-        self.own.add(text, found, self.know.starts)
+        self.own.add(text, found, self.know.starts, listed)
         out: list[tuple[int, int]] = []
-        for a, body, b, _, _ in found:
+        for (a, body, b, _, _), own in zip(found, listed):
             begin = a
-            for end in self._ends(text, body, b):
+            for end in self._ends(text, body, b, own):
                 _put(out, text, begin, end)
                 begin = end
             _put(out, text, begin, b)
         return out
 
-    def _ends(self, text: str, a: int, b: int) -> list[int]:
+    def _ends(self, text: str, a: int, b: int, listed: list[Mark]) -> list[int]:
         ends = []
         begin = a
-        for x in marks(text, a, b):
+        for x in listed:
             if x.last or x.inside:
                 continue
             if self._is_end(text, x, begin):
                 ends.append(x.end)
                 begin = x.end
-        if "\u0e00" <= max(text[a:b], default="") and _THAI.search(text, a, b):
+        if not text.isascii() and _THAI.search(text, a, b):
             ends = sorted({*ends, *(m.start() for m in _THAI.finditer(text, a, b))})
         return ends
 
