@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, ship
 from . import windows as wi
 
 STEP, MASKED, MOST_WINDOW = 0.1, 20, 500
@@ -88,6 +88,7 @@ def count_cells(totals: DataFrame, value: str, expected: int | None = None) -> i
     Only the histogram of totals goes to Python: one row per distinct total, whatever the number of labels (at most
     884,736 by the label scheme).
     """
+    ship(totals.sparkSession)
     bars = totals.filter(F.col(value) > 1).groupBy(F.col(value).cast("bigint").alias("v")).agg(F.count(F.lit(1)).alias("n"))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:

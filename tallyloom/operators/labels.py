@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.reads import SECTION_STARTS, whitelist_index
+from ..session import ship
 
 LIMITS = (4, 4, 2)
 
@@ -114,6 +115,7 @@ def annotate_labels(reads: DataFrame, scheme: LabelScheme, read_id: str = "read_
     go to Python in Arrow batches: the first section without a match, the one before it and all after it are compared by edit distance, and
     an insertion or deletion moves the places of what follows. Null reads are left out.
     """
+    ship(reads.sparkSession)
     s = SECTION_STARTS[scheme.version]
     r = reads.select(F.col(read_id).alias("read_id"), F.col(seq).alias("seq")).filter("seq IS NOT NULL")
     place = [whitelist_index(F.substring("seq", a + 1, b - a), w) for w, (a, b) in zip(scheme.sections, [(s[0], s[1]), (s[2], s[3]), (s[4], s[5])])]

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship
 from .joins import bounded
 
 # ---------------------------------------------------------------- genes and normalising
@@ -172,6 +173,7 @@ def t_pvalue(t: pd.Series, df: pd.Series) -> pd.Series:
 
 def ranked_by_welch(tests: DataFrame) -> DataFrame:
     """``welch`` with its two-sided p and a rank by p, then by the size of t."""
+    ship(tests.sparkSession)
     p = tests.withColumn("p", t_pvalue("t", "df")).filter("t IS NOT NULL")
     return p.withColumn("rank_no", F.row_number().over(Window.orderBy("p", F.desc(F.abs("t")), tests.columns[0])))
 
@@ -348,6 +350,7 @@ def dendro_merge(values: np.ndarray, labels: np.ndarray, threshold: float = 10.0
 
 def split_groups(vectors: DataFrame, group: str, item: str, column: str, threshold: float = 10.0, merge: bool = True, limit: int = 20_000) -> DataFrame:
     """``group, item, cluster``: ``dendro_split`` (and merge) within each group of at most ``limit`` items; larger groups are an error."""
+    ship(vectors.sparkSession)
     size = vectors.groupBy(group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     if size > limit:
         raise ValueError(f"a group has {size} items; linkage is for at most {limit}")
@@ -497,6 +500,7 @@ def shared_neighbour_clusters(distance: np.ndarray, k: int = 10, least: float =
 
 def on_groups(vectors: DataFrame, group: str, item: str, column: str, kernel, limit: int = 20_000, out: str = "label int") -> DataFrame:
     """``group, item`` and what ``kernel`` gives for the matrix of each group of at most ``limit`` items, in order of the items; larger groups are an error."""
+    ship(vectors.sparkSession)
     size = vectors.groupBy(group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     if size > limit:
         raise ValueError(f"a group has {size} items; this is for at most {limit}")

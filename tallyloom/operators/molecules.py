@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..session import ship
+
 BEAD, PROTEIN_FIRST, COMBINED = "bead", "protein_first", "combined"
 NOISE_UMI = "NNNNNNN"
 BARCODES = 65_536
@@ -111,6 +113,7 @@ def correct_substitutions(molecules: DataFrame, keys: list[str], umi: str = "umi
     Python holds at most 4 to the power of the identifier's length rows (65,536 for 8 letters), however many
     reads it has. Rows with nulls are dropped.
     """
+    ship(molecules.sparkSession)
     clean = molecules.select(*keys, F.col(umi).alias("umi"), F.col(reads).cast("bigint").alias("raw_reads")).dropna().groupBy(*keys, "umi").agg(F.sum("raw_reads").alias("raw_reads"))
     pairs = neighbour_pairs(clean, keys, "umi")
     touched = pairs.select(*keys, F.explode(F.array("umi_a", "umi_b")).alias("umi")).distinct()
@@ -219,6 +222,7 @@ def depth_cutoffs(molecules: DataFrame, gene: str = "gene", cell: str = "cell",
     counts above the percentile of the doublet rate are taken off the top. Few distinct counts get pseudo-counts.
     A fit that fails removes singletons: cutoff 2, ``separation_failed``.
     """
+    ship(molecules.sparkSession)
     branches = depth_branches(molecules, gene, reads)
     known = molecules.filter(F.col(reads) > 0)
     fit = known.join(branches.filter("branch = 'fit'").select(gene), gene, "left_semi")

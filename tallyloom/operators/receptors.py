@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship
 from .molecules import correct_substitutions
 from .windows import best_per_group, most_frequent
 
@@ -162,6 +163,7 @@ def read_cutoffs(chains: DataFrame, n_cells: int, least_depth: float = 4.0) -> D
 
     One group of a few rows per chain: the histogram of reads per cell.
     """
+    ship(chains.sparkSession)
     deep = chains.groupBy("chain").agg(F.sum("reads").alias("s")).filter(F.col("s") > least_depth * n_cells)
     bars = chains.join(deep, "chain", "left_semi").groupBy("chain", F.col("reads").cast("bigint").alias("v")).agg(F.count(F.lit(1)).alias("n"))
 

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import WHITE_SPACE, strip
+from ..session import ship
 from .latest import latest_by
 
 REPEAT = "[]"
@@ -318,6 +319,7 @@ def _inputs(df: DataFrame, id_col: str, payload_col: str, stamp_col: str | None)
     Done before parsing, as an aggregate: a record delivered again and again is reduced to one state in
     each task and parsed once. Rows without a record id can't be linked and are dropped.
     """
+    ship(df.sparkSession)
     payload = F.col(payload_col).cast("string")
     stamp = F.col(stamp_col) if stamp_col else F.lit(None).cast("timestamp")
     closed = F.coalesce(F.endswith(strip(payload), F.lit("}")), F.lit(False))

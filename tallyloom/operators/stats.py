@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
+from ..session import materialize, ship
 from .joins import bounded, sized_broadcast
 
 # ---------------------------------------------------------------- markers
@@ -88,6 +88,7 @@ def enrichment(query: DataFrame, sets: DataFrame, set_id: str, gene: str, backgr
     """Over-representation of every set in the query: counts, p, adjusted p, and the ratio of the shares."""
     from .windows import adjust_p
 
+    ship(query.sparkSession)
     c = overlap_counts(query, sets, set_id, gene, background).filter("k > 0")
     p = c.withColumn("p", hypergeometric_tail("k", "n", "k_set", "n_all")).withColumn("fold", (F.col("k") / F.col("n")) / (F.col("k_set") / F.col("n_all")))
     return adjust_p(p, "p")

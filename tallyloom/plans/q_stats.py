@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import reads as rd
 from ..operators import aggregates as ag, matrix as mx, stats as st, windows as wi
+from ..session import ship
 from .bindings import SQL_CELL_GENE, SQL_MOL, SQL_READS, cell_gene, molecules, reads
 from .registry_helpers import book
 from .tables import read
@@ -385,6 +386,7 @@ def e14_spearman(spark, sf):
 @query()
 def e14_kendall(spark, sf):
     """Between clusters, over all genes that both have: one group per pair of the four clusters."""
+    ship(spark)
     y = _by_cluster(spark, sf)
     p = y.withColumnsRenamed({"cluster": "sample_a", "v": "va"}).join(y.withColumnsRenamed({"cluster": "sample_b", "v": "vb"}), "gene").filter("sample_a < sample_b")
 

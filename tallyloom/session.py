@@ -6,10 +6,13 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -66,6 +69,28 @@ def release(spark: SparkSession) -> None:
     path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers of the session, once for each application.
+
+    Operators that run Python in tasks call it first, so that nothing has to be installed on the executors. The
+    package's own files go through Spark's file server.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    root = Path(__file__).resolve().parent
+    if not root.is_dir():
+        return  # it runs from an archive, which was shipped already
+    folder = tempfile.mkdtemp(prefix="tallyloom-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = f"{folder}/{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    sc.addPyFile(archive)
+
+
 def parallelism(spark: SparkSession) -> int:
     """Shuffle partitions of the session, the unit in which operators size what they split."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))

@@ -111,8 +111,11 @@ def stream_typed(spark: SparkSession, paths: list[str], schema: str, records) ->
     """Like ``files.stream`` for schemas with nested columns, whose types Arrow can't tell from empty batches."""
     import pyarrow as pa
 
+    from ..session import ship
     from .files import BATCH
 
+    ship(spark)
+
     kinds = [("file", pa.string()), ("read_id", pa.string()), ("flag", pa.int32()), ("reference", pa.string()), ("position", pa.int32()), ("cigar", pa.string()), ("seq", pa.string()), ("tags", pa.list_(pa.struct([("k", pa.string()), ("v", pa.string())])))]
 
     def run(batches):

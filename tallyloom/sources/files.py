@@ -9,6 +9,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship
+
 BATCH = 5_000
 
 
@@ -26,6 +28,7 @@ def open_bytes(path: str) -> io.BufferedIOBase:
 
 def stream(spark: SparkSession, paths: list[str], schema: str, records: Callable[[str], Iterator[tuple]]) -> DataFrame:
     """A table of what ``records`` yields for each path; one task per file."""
+    ship(spark)
     names = [c.strip().split()[0] for c in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
