@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import WHITE_SPACE
-from ..session import materialize
+from ..session import materialize, ship
 
 BROADCAST_KEYS = 50_000
 
@@ -315,6 +315,7 @@ def corpus_evidence(docs: DataFrame, text_col: str) -> DataFrame:
             rows = [*e.rows()] or [("word", "", 0, 0, 0, 0)]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k < 2 else pa.int64()) for k, c in enumerate(zip(*rows))], names=[x.split()[0] for x in EVIDENCE_SCHEMA.split(", ")])
 
+    ship(docs.sparkSession)
     seen = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, EVIDENCE_SCHEMA)
     return seen.groupBy("kind", "key").agg(*[F.sum(c).alias(c) for c in ("n", "n_end", "n_small", "n_number")])
 
@@ -518,6 +519,7 @@ def sentences(docs: DataFrame, id_cols: list[str], text_col: str, broadcast_keys
     rows give equal rows. Other columns are ignored.
     """
     spark = docs.sparkSession
+    ship(spark)
     table = materialize(decisive(materialize(corpus_evidence(docs, text_col), "evidence")), "verdicts")
     rows = docs.select(*[F.col(c) for c in id_cols], F.col(text_col).cast("string").alias("__text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "__text")

@@ -27,6 +27,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 # Fixed value: the word pattern of the public byte-level BPE vocabularies.
 WORD = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -170,6 +172,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], text_col: str, chars: int) -> Ite
 
 def _mapped(df: DataFrame, id_cols: list[str], text_col: str, vocabulary_path: str, out: str, kind: str, column: Callable[[Encoder, list], pa.Array], block_chars: int) -> DataFrame:
     spark = df.sparkSession
+    ship(spark)
     vocabulary = spark.sparkContext.broadcast(Vocabulary(vocabulary_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
