@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..session import ship
+from ..session import materialize, ship
 
 BEAD, PROTEIN_FIRST, COMBINED = "bead", "protein_first", "combined"
 NOISE_UMI = "NNNNNNN"
@@ -156,15 +156,16 @@ def correct_substitutions(molecules: DataFrame, keys: list[str], umi: str = "umi
 # ---------------------------------------------------------------- depth of molecules per gene
 
 
-def depth_branches(molecules: DataFrame, gene: str = "gene", reads: str = "rsec_reads", low_depth: float = 4.0) -> DataFrame:
+def depth_branches(molecules: DataFrame, gene: str = "gene", reads: str = "rsec_reads", low_depth: float = 4.0, freq: str | None = None) -> DataFrame:
     """Per gene, what decides how it is corrected: counts, sums, depths and the branch.
 
     ``low_depth``: no molecule with more than one read, or their mean below the limit; ``no_singletons``:
-    nothing to separate; else ``fit``. Molecules without reads don't count.
+    nothing to separate; else ``fit``. Molecules without reads don't count. With ``freq`` a row stands for so many molecules.
     """
     n = F.col(reads)
-    multi = F.when(n > 1, n)
-    stats = molecules.filter(n > 0).groupBy(gene).agg(F.count(F.lit(1)).alias("molecules"), F.sum(n).alias("reads"), F.count(F.when(n == 1, 1)).alias("singletons"), F.count(multi).alias("multi_molecules"), F.sum(multi).alias("multi_reads"), F.count_distinct(n).alias("distinct_counts"))
+    f = F.col(freq) if freq else F.lit(1)
+    some = lambda cond: F.coalesce(F.sum(F.when(cond, f)), F.lit(0)).cast("bigint")
+    stats = molecules.filter(n > 0).groupBy(gene).agg(some(n > 0).alias("molecules"), F.sum(n * f).cast("bigint").alias("reads"), some(n == 1).alias("singletons"), some(n > 1).alias("multi_molecules"), F.sum(F.when(n > 1, n * f)).cast("bigint").alias("multi_reads"), F.count_distinct(n).alias("distinct_counts"))
     branch = F.when((F.col("multi_molecules") == 0) | (F.col("multi_reads") < low_depth * F.col("multi_molecules")), "low_depth").when(F.col("singletons") == 0, "no_singletons").otherwise("fit")
     return stats.withColumn("branch", branch)
 
@@ -220,14 +221,16 @@ def depth_cutoffs(molecules: DataFrame, gene: str = "gene", cell: str = "cell",
     Branches as in ``depth_branches``; they take cutoff 0. For ``fit`` only the histogram of reads per molecule
     (one row per gene and count) goes to Python. Before it, in cells with more than ``least_cell`` molecules of the gene, the
     counts above the percentile of the doublet rate are taken off the top. Few distinct counts get pseudo-counts.
-    A fit that fails removes singletons: cutoff 2, ``separation_failed``.
+    A fit that fails removes singletons: cutoff 2, ``separation_failed``. The molecules are read once: what is counted
+    per gene, cell and number of reads is written, and all else comes from it.
     """
     ship(molecules.sparkSession)
-    branches = depth_branches(molecules, gene, reads)
-    known = molecules.filter(F.col(reads) > 0)
-    fit = known.join(branches.filter("branch = 'fit'").select(gene), gene, "left_semi")
-    doublets = _doublets(fit, gene, cell, reads, barcodes, least_cell)
-    histogram = fit.groupBy(gene, F.col(reads).cast("bigint").alias("count")).agg(F.count(F.lit(1)).alias("freq")).join(doublets, gene, "left").fillna(0, ["doublets"])
+    bars = molecules.filter(F.col(reads) > 0).groupBy(gene, cell, F.col(reads).cast("bigint").alias("count")).agg(F.count(F.lit(1)).alias("freq"))
+    bars = materialize(bars, "depth-bars")
+    branches = materialize(depth_branches(bars, gene, "count", freq="freq"), "depth-branches")
+    fit = bars.join(branches.filter("branch = 'fit'").select(gene), gene, "left_semi")
+    doublets = _doublets(fit, gene, cell, barcodes, least_cell)
+    histogram = fit.groupBy(gene, "count").agg(F.sum("freq").alias("freq")).join(doublets, gene, "left").fillna(0, ["doublets"])
     schema = T.StructType([T.StructField(gene, T.StringType()), T.StructField("status", T.StringType()), T.StructField("cutoff", T.IntegerType())])
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -249,11 +252,10 @@ def depth_cutoffs(molecules: DataFrame, gene: str = "gene", cell: str = "cell",
     return plain.unionByName(fitted.select(gene, F.lit("fit").alias("branch"), "status", "cutoff"))
 
 
-def _doublets(fit: DataFrame, gene: str, cell: str, reads: str, barcodes: int, least_cell: int) -> DataFrame:
-    """Molecules above the doublet percentile of their cell, per gene; from (gene, cell, count) histograms, no list of a cell's molecules."""
+def _doublets(bars: DataFrame, gene: str, cell: str, barcodes: int, least_cell: int) -> DataFrame:
+    """Molecules above the doublet percentile of their cell, per gene; from (gene, cell, count, freq), no list of a cell's molecules."""
     from pyspark.sql import Window
 
-    bars = fit.groupBy(gene, cell, F.col(reads).alias("count")).agg(F.count(F.lit(1)).alias("freq"))
     per = Window.partitionBy(gene, cell)
     bars = bars.withColumn("n", F.sum("freq").over(per)).filter(F.col("n") > least_cell).withColumn("upto", F.sum("freq").over(per.orderBy("count")))
     lam = F.col("n") / barcodes

@@ -380,8 +380,9 @@ def m04_depth_cutoffs(spark, sf):
 
 @query()
 def m05_doublet_trim(spark, sf):
-    m = molecules(spark, sf).withColumn("all_genes", F.lit("all")).filter("rsec_reads > 0")
-    return mo._doublets(m, "all_genes", "cell", "rsec_reads", 65_536, 40)
+    m = molecules(spark, sf).filter("rsec_reads > 0")
+    bars = m.groupBy(F.lit("all").alias("all_genes"), "cell", F.col("rsec_reads").alias("count")).agg(F.count(F.lit(1)).alias("freq"))
+    return mo._doublets(bars, "all_genes", "cell", 65_536, 40)
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import reads as rd
 from ..operators import aggregates as ag, matrix as mx, stats as st, windows as wi
-from ..session import ship
+from ..session import materialize, ship
 from .bindings import SQL_CELL_GENE, SQL_MOL, SQL_READS, cell_gene, molecules, reads
 from .registry_helpers import book
 from .tables import read
@@ -17,7 +17,8 @@ QUERIES, SQL, query = book()
 def _x(spark, sf):
     """cell, gene, n and a cluster of the cell (the first section of its label, folded to four)."""
     c = cell_gene(spark, sf).select("cell", "gene", F.col("raw_mols").alias("n"))
-    return c.withColumn("cluster", (F.split_part("cell", F.lit("-"), F.lit(1)).cast("int") % 4).cast("int"))
+    # Written once, since the operators read it several times.
+    return materialize(c.withColumn("cluster", (F.split_part("cell", F.lit("-"), F.lit(1)).cast("int") % 4).cast("int")), "expression")
 
 
 _X = f"{SQL_CELL_GENE}, x AS (SELECT cell, gene, raw_mols AS n, (split_part(cell, '-', 1)::INTEGER % 4) AS cluster FROM cell_gene)"
@@ -264,8 +265,8 @@ def e01_rank_sum(spark, sf):
 
 @query(f"WITH {_X}, {_SZ}, c AS (SELECT cluster, gene, s / sqrt(sum(q) OVER (PARTITION BY gene) * n_cells) AS cosine FROM i JOIN sz USING (cluster)) SELECT cluster, gene, round(cosine, 9) AS cosine, round(cosine * cosine / sum(cosine * cosine) OVER (PARTITION BY gene), 9) AS share FROM c")
 def e02_cosine_markers(spark, sf):
-    x = _x(spark, sf).filter("n > 0")
-    return st.cosine_scores(x, "cluster", "gene", "n", _sizes(_x(spark, sf))).select("cluster", "gene", F.round("cosine", 9).alias("cosine"), F.round("share", 9).alias("share"))
+    x = _x(spark, sf)
+    return st.cosine_scores(x.filter("n > 0"), "cluster", "gene", "n", _sizes(x)).select("cluster", "gene", F.round("cosine", 9).alias("cosine"), F.round("share", 9).alias("share"))
 
 
 @query(f"WITH {_X}, {_SZ}, e AS (SELECT cluster, gene, s / n_cells AS mean_in, (sum(s) OVER g - s) / (n_all - n_cells) AS mean_out FROM i JOIN sz USING (cluster), tot WINDOW g AS (PARTITION BY gene)) SELECT cluster, gene FROM e WHERE abs(log2((mean_in + 1e-9) / (mean_out + 1e-9))) > 1 AND mean_in > 0.01")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import label_to_index
 from ..operators import aggregates as ag, joins, sets, windows as wi
+from ..session import materialize
 from .bindings import SQL_CALLED, SQL_CELL_GENE, SQL_MOL, SQL_READS, SQL_TAGS, called_cells, cell_gene, molecules, reads, tag_counts
 from .registry_helpers import book
 from .tables import read
@@ -237,7 +238,7 @@ def a25_pseudobulk(spark, sf):
 
 @query(f"WITH {SQL_CELL_GENE} SELECT gene, sum(rsec_mols)::BIGINT AS total, sum(rsec_mols)::DOUBLE / (SELECT count(DISTINCT cell) FROM cell_gene) AS mean FROM cell_gene GROUP BY gene")
 def a26_sparse_means(spark, sf):
-    x = cell_gene(spark, sf)
+    x = materialize(cell_gene(spark, sf).select("cell", "gene", "rsec_mols"), "expression")
     return ag.sparse_means(x, "gene", "rsec_mols", x.select("cell").distinct().count())
 
 
@@ -275,7 +276,7 @@ disp AS (SELECT gene, s / n AS mean, (q - 2 * s / n * s + k * (s / n) * (s / n))
 
 
 def _disp(spark, sf):
-    x = cell_gene(spark, sf)
+    x = materialize(cell_gene(spark, sf).select("cell", "gene", "reads"), "expression")
     return wi.dispersion(x, "gene", "reads", x.select("cell").distinct().count())
 
 
@@ -335,9 +336,10 @@ def w13_most_frequent(spark, sf):
 
 @query("SELECT sequence_id, gene, e_value FROM (SELECT *, row_number() OVER (PARTITION BY sequence_id ORDER BY n DESC, gene_type NULLS LAST, e_value NULLS LAST, gene, bit_score DESC NULLS LAST, percent_identity DESC NULLS LAST, loaded_at) AS k FROM (SELECT *, count(*) OVER (PARTITION BY sequence_id, gene) AS n FROM pyir_hits)) WHERE k = 1")
 def w14_representative(spark, sf):
-    from pyspark.sql import Window
-
-    h = read(spark, sf, "pyir_hits").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("sequence_id", "gene")))
+    h = read(spark, sf, "pyir_hits")
+    # Counted by an aggregate and joined back: a sequence with very many hits is no window of its own.
+    n = h.groupBy("sequence_id", "gene").agg(F.count(F.lit(1)).alias("n")).select(F.col("sequence_id").alias("s"), F.col("gene").alias("g"), "n")
+    h = h.join(n, F.col("sequence_id").eqNullSafe(F.col("s")) & F.col("gene").eqNullSafe(F.col("g"))).drop("s", "g")
     order = [F.desc("n"), F.asc_nulls_last("gene_type"), F.asc_nulls_last("e_value"), F.asc_nulls_last("gene"), F.desc_nulls_last("bit_score"), F.desc_nulls_last("percent_identity"), F.asc("loaded_at")]
     return wi.best_per_group(h, ["sequence_id"], order).select("sequence_id", "gene", "e_value")
 
