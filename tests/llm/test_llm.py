@@ -292,3 +292,32 @@ def test_sentence_table_both_ways(spark):
     assert [r[2:] for r in results[0] if r[0] == "None"] == [(0, 6), (7, 13)]
     assert sum(r[0] == "0" for r in results[0]) == 4
     assert sentences.sentences(df.limit(0), ["doc_id"], "text").collect() == []
+
+
+# ---------------------------------------------------------------- columns with names that operators use
+
+
+def test_clashing_names(spark):
+    rows = [("g", "a", 1.0, None, 7, 7), ("g", "b", 2.0, None, 7, 7)]
+    df = spark.createDataFrame(rows, "g string, i string, s double, e double, rank_no int, __k int")
+    got = topn.top_n(df, "g", "i", [F.desc("s"), F.asc("i")], 1, least=1)
+    assert [(r.i, r.rank_no) for r in got.collect()] == [("b", 1)]
+    docs = spark.createDataFrame([(1, "a", 5, 1, 1.0, 1)], "doc_id long, source string, n_tokens long, copy_no int, weight double, tokens int")
+    targets = spark.createDataFrame([("a", 1.0, 2, 3)], "source string, weight double, max_repeats int, n_docs int")
+    mixed, _ = mixing.mix(docs, targets)
+    assert [(r.doc_id, r.copy_no, r.mix_end) for r in mixed.collect()] == [(1, 1, 5)]
+    texts = spark.createDataFrame([(1, "One. Two.", "x", "y")], "doc_id long, text string, __text string, sentence_no string")
+    assert sentences.sentences(texts, ["doc_id"], "text").count() == 2
+    assert tokenize.encode(texts, ["doc_id"], "text", VOCABULARY).count() == 1
+    terms = spark.createDataFrame([("t", "r", 1, "k")], "term string, record string, weight int, kind string")
+    assert termfreq.weighted_tokens(terms, {"term": F.col("term"), "record": F.col("record")}).first().weight == 1
+
+
+def test_mix_with_one_source_of_a_third_of_many_rows(spark):
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "a").otherwise(F.concat(F.lit("s"), F.col("id") % 50)).alias("source"), (F.col("id") % 17 + 1).alias("n_tokens"))
+    names = [r[0] for r in docs.select("source").distinct().collect()]
+    targets = spark.createDataFrame([(s, 1 / len(names), 3) for s in names], "source string, weight double, max_repeats int")
+    mixed, sizes = mixing.mix(docs, targets)
+    total = sum(r["tokens"] for r in sizes)
+    assert total - 20 < mixed.agg(F.max("mix_end")).first()[0] <= total
+    assert mixed.agg(F.sum("n_tokens")).first()[0] == mixed.agg(F.max("mix_end")).first()[0]
