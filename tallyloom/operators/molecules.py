@@ -61,20 +61,16 @@ def neighbour_pairs(umis: DataFrame, keys: list[str], umi: str = "umi") -> DataF
     Of two equally long texts that differ in one place, one half is equal. So each is filed under both of its
     halves, and only those that share a half, and the length, meet. No group is compared all against all.
     """
-    u = F.col(umi)
+    u = F.col("umi")
     half = F.ceil(F.length(u) / 2).cast("int")
     halves = F.array(F.struct(F.lit(1).alias("no"), F.substr(u, F.lit(1), half).alias("text")), F.struct(F.lit(2).alias("no"), F.substr(u, half + 1, F.lit(1 << 20)).alias("text")))
-    filed = umis.select(*keys, u.alias("umi"), F.length(u).alias("size"), F.explode(halves).alias("h")).select(*keys, "umi", "size", F.col("h.no").alias("no"), F.col("h.text").alias("text")).distinct()
+    once = umis.select(*keys, F.col(umi).alias("umi")).distinct()
+    filed = once.select(*keys, "umi", F.length(u).alias("size"), F.explode(halves).alias("h")).select(*keys, "umi", "size", F.col("h.no").alias("no"), F.col("h.text").alias("text"))
     a = filed.withColumnRenamed("umi", "umi_a")
     b = filed.withColumnRenamed("umi", "umi_b")
-    near = a.join(b, [*keys, "size", "no", "text"]).filter((F.col("umi_a") < F.col("umi_b")) & (hamming(F.col("umi_a"), F.col("umi_b")) <= 1))
-    return near.select(*keys, "umi_a", "umi_b").distinct()
-
-
-def hamming(a: Column, b: Column) -> Column:
-    """Places in which two texts of one length differ."""
-    differ = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: F.when(x == y, 0).otherwise(1))
-    return F.aggregate(differ, F.lit(0), lambda s, x: s + x)
+    # Of equally long texts, an edit distance of 1 is one substitution; exactly one half differs then, so a pair meets once.
+    near = a.join(b, [*keys, "size", "no", "text"]).filter((F.col("umi_a") < F.col("umi_b")) & (F.levenshtein("umi_a", "umi_b", 1) == 1))
+    return near.select(*keys, "umi_a", "umi_b")
 
 
 def cluster_umis(counts: dict[str, int], ratio: float = 2.0) -> dict[str, str]:
