@@ -78,7 +78,7 @@ def mix(docs: DataFrame, targets: DataFrame, doc_id: str = "doc_id", source: str
     the id, the source, ``copy_no`` from 1, the size, ``finish_time`` and ``mix_end``, the tokens of the mix
     up to and including the row; it ends with the last row whose ``mix_end`` is within the budget (by
     default the tokens of all documents of the listed sources). Sources that aren't listed, with weight 0 or
-    with 0 repeats aren't in it. Equal documents are ordered by their id, then count as rows of their own;
+    with 0 repeats aren't in it. Documents with one id, or none, are told apart by their size, and equal ones are rows of their own;
     documents with a null source or size are left out; empty ones (0 tokens) come with their turn.
     """
     spark = docs.sparkSession
@@ -98,14 +98,14 @@ def mix(docs: DataFrame, targets: DataFrame, doc_id: str = "doc_id", source: str
 
     ranges = max(1, parallelism(spark) * RANGES_PER_TASK)
     copies = rows.join(lanes, "source").select("doc_id", "source", "n_tokens", "weight", "tokens", F.explode(F.sequence(F.lit(1), "copies")).alias("copy_no"))
-    turn = F.xxhash64("doc_id", "source", "copy_no", F.lit(seed))
+    turn = F.xxhash64("doc_id", "source", "copy_no", "n_tokens", F.lit(seed))
     shuffled = copies.withColumn("__turn", turn).withColumn("__range", F.floor((turn / F.lit(2.0**64) + F.lit(0.5)) * ranges).cast("int"))
-    queued = running_sum(shuffled, ["source", "copy_no"], "__range", ["__turn", "doc_id"], "n_tokens", "__sum")
+    queued = running_sum(shuffled, ["source", "copy_no"], "__range", ["__turn", "doc_id", "n_tokens"], "n_tokens", "__sum")
     timed = queued.withColumn("finish_time", ((F.col("copy_no") - 1) * F.col("tokens") + F.col("__sum")) / F.col("weight"))
     # Virtual time passes with the tokens of the mix, so equal steps of it are ranges of about equal size.
     ranged = timed.filter(F.col("finish_time") <= F.lit(end)).withColumn("__range", F.floor(F.col("finish_time") / F.lit(end) * ranges).cast("int"))
     ranged = ranged.select("doc_id", "source", "copy_no", "n_tokens", "finish_time", "__turn", "__range", F.lit(0).alias("__lane"))
-    merged = running_sum(ranged, ["__lane"], "__range", ["finish_time", "source", "copy_no", "__turn", "doc_id"], "n_tokens", "mix_end")
+    merged = running_sum(ranged, ["__lane"], "__range", ["finish_time", "source", "copy_no", "__turn", "doc_id", "n_tokens"], "n_tokens", "mix_end")
     cut = merged.filter(F.col("mix_end") <= F.lit(budget))
     return cut.select("doc_id", "source", "copy_no", "n_tokens", "finish_time", "mix_end"), sizes
 

@@ -321,3 +321,10 @@ def test_mix_with_one_source_of_a_third_of_many_rows(spark):
     total = sum(r["tokens"] for r in sizes)
     assert total - 20 < mixed.agg(F.max("mix_end")).first()[0] <= total
     assert mixed.agg(F.sum("n_tokens")).first()[0] == mixed.agg(F.max("mix_end")).first()[0]
+
+
+def test_mix_without_ids_is_repeatable(spark):
+    docs = spark.createDataFrame([(None, "a", n) for n in range(1, 200)] + [(5, "a", 3), (5, "a", 4), (5, "a", 4)], "doc_id long, source string, n_tokens long")
+    targets = spark.createDataFrame([("a", 1.0, 1)], "source string, weight double, max_repeats int")
+    runs = [sorted((r.n_tokens, r.mix_end) for r in mixing.mix(docs.repartition(k), targets)[0].collect()) for k in (1, 5)]
+    assert runs[0] == runs[1] and len(runs[0]) == 202
