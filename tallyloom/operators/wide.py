@@ -21,6 +21,7 @@ from ..session import materialize
 from .latest import latest_by
 
 MAX_ATTRIBUTES = 500
+PLAN_TABLES = 8
 
 
 def narrow_rows(df: DataFrame, entity: Column, attribute: Column, stamp: Column, values: dict[str, Column]) -> DataFrame:
@@ -36,15 +37,23 @@ def attributes_of(narrow: DataFrame, limit: int = MAX_ATTRIBUTES) -> list[str]:
     return found
 
 
-def balanced_outer_join(tables: list[DataFrame], key: str) -> DataFrame:
-    """Full outer join of all tables on ``key``, pairwise, level by level."""
+def balanced_outer_join(tables: list[DataFrame], key: str, plan_tables: int = PLAN_TABLES) -> DataFrame:
+    """Full outer join of all tables on ``key``, pairwise, level by level.
+
+    One plan joins at most ``plan_tables`` tables. Of more, equally large groups are joined and written first, so that
+    plans stay small however many tables there are, and a lost executor costs one group's work.
+    """
+    while len(tables) > plan_tables:
+        n = -(-len(tables) // plan_tables)
+        cuts = [len(tables) * i // n for i in range(n + 1)]
+        tables = [materialize(balanced_outer_join(tables[a:b], key, plan_tables), "joined") for a, b in zip(cuts, cuts[1:])]
     while len(tables) > 1:
         pairs = [tables[i : i + 2] for i in range(0, len(tables), 2)]
         tables = [p[0].join(p[1], key, "full_outer") if len(p) == 2 else p[0] for p in pairs]
     return tables[0]
 
 
-def widen(narrow: DataFrame, values: dict[str, str], column: Callable[[str, str], str] = lambda attribute, value: f"{attribute}_{value}", entity: str = "entity", limit: int = MAX_ATTRIBUTES) -> DataFrame:
+def widen(narrow: DataFrame, values: dict[str, str], column: Callable[[str, str], str] = lambda attribute, value: f"{attribute}_{value}", entity: str = "entity", limit: int = MAX_ATTRIBUTES, plan_tables: int = PLAN_TABLES) -> DataFrame:
     """One row per entity with a column for each attribute and value, of the types in ``values``.
 
     ``narrow`` is what ``narrow_rows`` gives. A value that doesn't fit its type is null, as is a missing
@@ -57,7 +66,7 @@ def widen(narrow: DataFrame, values: dict[str, str], column: Callable[[str, str]
     if not names:
         return stored.select(entity)
     tables = [stored.filter(F.col("attribute") == a).select(entity, *[F.col(v).alias(column(a, v)) for v in values]) for a in names]
-    return balanced_outer_join(tables, entity)
+    return balanced_outer_join(tables, entity, plan_tables)
 
 
 def filled(wide: DataFrame, entity: str, names: list[str], values: list[str], column: Callable[[str, str], str] = lambda attribute, value: f"{attribute}_{value}") -> DataFrame:

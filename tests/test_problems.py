@@ -234,7 +234,8 @@ def _widen(df, **kw):
     return wide.widen(rows, {"reads": "int", "mols": "int"}, entity="cell", **kw)
 
 
-def test_wide_against_brute_force(spark):
+@pytest.mark.parametrize("plan_tables", [2, 3, 100])
+def test_wide_against_brute_force(spark, plan_tables):
     rnd = random.Random(5)
     rows = [(rnd.choice([None, *range(12)]), rnd.choice([None, *"abcdefg"]), rnd.choice([None, 1, 2, 3]), rnd.choice([None, 5]), rnd.choice(T)) for _ in range(400)]
     df = spark.createDataFrame(rows, "cell int, tag string, reads int, mols int, at timestamp")
@@ -244,7 +245,7 @@ def test_wide_against_brute_force(spark):
             key = (at, r if r is not None else -1, m if m is not None else -1)
             if (c, t) not in best or key > best[c, t][0]:
                 best[c, t] = (key, r, m)
-    w = _widen(df)
+    w = _widen(df, plan_tables=plan_tables)
     assert w.columns == ["cell", *[f"{t}_{v}" for t in "abcdefg" for v in ("reads", "mols")]]
     got = {(r["cell"], t): (r[f"{t}_reads"], r[f"{t}_mols"]) for r in w.collect() for t in "abcdefg"}
     assert got == {(c, t): best[c, t][1:] if (c, t) in best else (None, None) for c in {c for c, _ in best} for t in "abcdefg"}
@@ -258,5 +259,7 @@ def test_wide_edges(spark):
     got = {r["cell"]: (r["a b/=%_reads"], r["a b/=%_mols"]) for r in _widen(df).collect()}
     assert got == {1: (12, None), 2: (None, 1)}
     assert _widen(df.limit(0)).columns == ["cell"]
+    more = df.union(df.withColumn("tag", F.lit("b"))).union(df.withColumn("tag", F.lit("c.`d")))
+    assert {r["cell"]: r["a b/=%_reads"] for r in _widen(more, plan_tables=2).collect()} == {1: 12, 2: None}
     with pytest.raises(ValueError, match="more than 1 attributes"):
         _widen(df.union(df.withColumn("tag", F.lit("b"))), limit=1)
