@@ -277,29 +277,47 @@ def dendro_split(values: np.ndarray, threshold: float = 10.0, least: int = 2) ->
     A cut separates if the best gene's -log10 p of Welch's test reaches ``threshold`` and the clusters lie
     farther from each other than within themselves (medians). Parts smaller than ``least`` are single rows, labelled -1.
     """
+    return cut_history(split_history(values, threshold, least), threshold, len(values), least)
+
+
+def split_history(values: np.ndarray, lowest: float, least: int = 2) -> dict[int, tuple[list[int], tuple[int, int] | None, float]]:
+    """The nodes that a cut at ``lowest`` or any higher threshold can reach, the top first: rows, children, and the threshold up to which the node splits."""
     n = len(values)
-    labels = np.full(n, -1)
     if n < 2:
-        return labels
+        return {}
     distance = correlation_distance(values)
     members: dict[int, list[int]] = {i: [i] for i in range(n)}
     children: dict[int, tuple[int, int]] = {}
-    top = n - 1
     for k, (a, b, _) in enumerate(complete_linkage(distance)):
         members[n + k] = members[a] + members[b]
         children[n + k] = (a, b)
-        top = n + k
-    todo, number = [top], 0
+    todo, history = [2 * n - 2], {}
     while todo:
         node = todo.pop()
-        rows = members[node]
-        if len(rows) < least:
-            continue
+        upto = -math.inf
         if node in children:
             a, b = (members[c] for c in children[node])
-            if min(len(a), len(b)) < least or _separates(values, distance, a, b, threshold):
+            if min(len(a), len(b)) < least:
+                upto = math.inf
+            elif (score := split_score(values, a, b)) >= lowest and _lie_apart(distance, a, b):
+                upto = score
+            if upto >= lowest:
                 todo.extend(children[node])
-                continue
+        history[node] = (members[node], children.get(node), upto)
+    return history
+
+
+def cut_history(history: dict[int, tuple[list[int], tuple[int, int] | None, float]], threshold: float, n: int, least: int = 2) -> np.ndarray:
+    """Labels of the ``n`` rows by a cut of ``split_history`` at a threshold not below its lowest."""
+    labels = np.full(n, -1)
+    todo, number = [*history][:1], 0
+    while todo:
+        rows, children, upto = history[todo.pop()]
+        if len(rows) < least:
+            continue
+        if children is not None and upto >= threshold:
+            todo.extend(children)
+            continue
         labels[rows] = number
         number += 1
     return labels
@@ -328,9 +346,7 @@ def split_score(values: np.ndarray, a: list[int], b: list[int]) -> float:
     return -math.log10(max(min(_t_tail(float(t[i]), float(df[i])) for i in best), 1e-300))
 
 
-def _separates(values: np.ndarray, distance: np.ndarray, a: list[int], b: list[int], threshold: float) -> bool:
-    if split_score(values, a, b) < threshold:
-        return False
+def _lie_apart(distance: np.ndarray, a: list[int], b: list[int]) -> bool:
     within = np.concatenate([distance[np.ix_(s, s)][np.triu_indices(len(s), 1)] for s in (a, b)])
     return not len(within) or float(np.median(distance[np.ix_(a, b)])) > float(np.median(within))
 
@@ -367,6 +383,25 @@ def split_groups(vectors: DataFrame, group: str, item: str, column: str, thresho
     return vectors.select(group, item, column).groupBy(group).applyInPandas(run, f"{group} {types[group]}, {item} {types[item]}, cluster int")
 
 
+def split_sweep(vectors: DataFrame, group: str, item: str, column: str, thresholds: list[float], limit: int = 20_000) -> DataFrame:
+    """``group, threshold, clusters``: the number of clusters (single rows aside) that ``dendro_split`` gives at each threshold.
+
+    Each group of at most ``limit`` items has one linkage and one history of splits, cut at every threshold; larger groups are an error.
+    """
+    ship(vectors.sparkSession)
+    size = vectors.groupBy(group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if size > limit:
+        raise ValueError(f"a group has {size} items; linkage is for at most {limit}")
+
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        x = np.stack(g.sort_values(item)[column].to_numpy()).astype(float)
+        history = split_history(x, min(thresholds))
+        found = [len({*cut_history(history, t, len(x))} - {-1}) for t in thresholds]
+        return pd.DataFrame({group: g[group].iloc[0], "threshold": thresholds, "clusters": found})
+
+    return vectors.select(group, item, column).groupBy(group).applyInPandas(run, f"{group} {dict(vectors.dtypes)[group]}, threshold double, clusters int")
+
+
 def plateau(scores: list[tuple[float, int]]) -> float:
     """The first threshold of the longest run of thresholds that give one number of clusters."""
     best, at, i = 0, scores[0][0], 0

@@ -183,11 +183,15 @@ def d13_sparse_ranking(spark, sf):
     return mx.ranked_features(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "y", "lasso")
 
 
+_THRESHOLDS = [float(t) for t in range(10, 120, 5)]
+
+
 @query()
 def d14_threshold_sweep(spark, sf):
     """Numbers of clusters over split thresholds, and the threshold where they stay longest."""
     e = read(spark, sf, "embeddings").withColumn("part", F.lit(0))
-    scores = [(float(t), mx.split_groups(e, "part", "vec_id", "embedding", float(t), merge=False).filter("cluster >= 0").select("cluster").distinct().count()) for t in range(10, 116, 35)]
+    sweep = mx.split_sweep(e, "part", "vec_id", "embedding", _THRESHOLDS)
+    scores = sorted((r.threshold, r.clusters) for r in sweep.collect())
     best = mx.plateau(scores)
     return spark.createDataFrame([(t, n, t == best) for t, n in scores], "threshold double, clusters int, chosen boolean")
 

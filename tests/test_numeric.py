@@ -104,3 +104,18 @@ def test_rank_sum_by_hand(spark):
     r = stats.rank_sum(spark.createDataFrame(rows, "gene string, grp boolean, v int"), "gene", "grp", "v").first()
     a, b = [v for _, g, v in rows if g], [v for _, g, v in rows if not g]
     assert r.u == sum((x > y) + 0.5 * (x == y) for x in a for y in b)
+
+
+def test_sweep_over_every_threshold(spark):
+    from tallyloom.plans.registry import QUERIES
+
+    rnd = np.random.default_rng(5)
+    centre = rnd.normal(0, 1, (6, 12))
+    x = np.concatenate([c * w + rnd.normal(0, s, (20, 12)) for c, w, s in zip(centre, (1, 1, 2, 2, 3, 3), (0.9, 0.5, 0.5, 0.3, 0.3, 0.2))])
+    df = spark.createDataFrame([(0, i, [float(v) for v in r]) for i, r in enumerate(x)], "g int, i int, v array<double>")
+    thresholds = [float(t) for t in range(2, 60, 3)]
+    got = [r.clusters for r in matrix.split_sweep(df, "g", "i", "v", thresholds).orderBy("threshold").collect()]
+    assert got == [len({*matrix.dendro_split(x, t)} - {-1}) for t in thresholds] and len({*got}) > 2
+    rows = sorted(QUERIES["D14_threshold_sweep"](spark, "/root/testdata/sf0.001").collect())
+    assert [r.threshold for r in rows] == [10.0 + 5 * k for k in range(22)]
+    assert [r.threshold for r in rows if r.chosen] == [matrix.plateau([(r.threshold, r.clusters) for r in rows])]
