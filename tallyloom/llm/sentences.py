@@ -57,6 +57,7 @@ _PAIRED = re.compile("[" + re.escape("".join(PAIRS) + "".join(PAIRS.values()) +
 _NOTE = re.compile(r"[\[［]\d{1,4}(?:[,–-]\d{1,4})*[\]］]")
 _THAI = re.compile(rf"(?<=[\u0e00-\u0e7f]){_SPACE}+(?=[\u0e00-\u0e7f])")
 _WORD = re.compile(r"[^\W_](?:[^\W_]|[-'’\xad](?=[^\W_]))*")
+_INNER = re.compile(rf"(?<=[^\W\d_])\s({_WORD.pattern})")
 _CHUNK_EDGE = "\"“”„‚‘’'«»‹›()[]{}（）「」『』【】—–-¿¡*#"
 _DEVANAGARI = re.compile(r"[ऀ-ॿ]")
 
@@ -246,22 +247,30 @@ def _lowers(word: str) -> bool:
     return word[:1].islower() and not any(c.isupper() for c in word)
 
 
+def _names(text: str) -> set[str]:
+    """Words with a capital that follow a small letter and a space: no sentence begins there."""
+    return {m.group(1) for m in _INNER.finditer(text) if m.group(1)[0].isupper() and text[m.start() - 1].islower()}
+
+
 class Evidence:
     """Counts of unambiguous places, of one document or of many.
 
-    ``words``: word before a stop -> [all, at the end of a paragraph, before a small letter, before a number or a bracketed one];
+    ``words``: word before a stop -> [all, at the end of a paragraph, before a small letter, before a number or a bracketed one,
+    in a text that has an end of a paragraph, before a name]; the last two are counted for a corpus only;
     ``letters``: the same for single letters, with the word before them; ``starts``: words that begin a
     paragraph; ``after``: small-letter words after a stop.
     """
 
     def __init__(self) -> None:
-        self.words: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0, 0])
-        self.letters: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0, 0])
+        self.words: dict[str, list[int]] = defaultdict(lambda: [0] * 6)
+        self.letters: dict[str, list[int]] = defaultdict(lambda: [0] * 6)
         self.starts: Counter = Counter()
         self.after: Counter = Counter()
 
-    def add(self, text: str, found: list, starters: frozenset | set = frozenset(), listed: list[list[Mark]] | None = None) -> None:
-        """Count a document's units; ``listed`` are their marks, if they are known already."""
+    def add(self, text: str, found: list, starters: frozenset | set = frozenset(), listed: list[list[Mark]] | None = None, corpus: bool = False) -> None:
+        """Count a document's units; ``listed`` are their marks, if they are known already. For a ``corpus`` the end of the text ends a paragraph too."""
+        has_end = corpus and (text.rstrip(WHITE_SPACE + CLOSERS).endswith(".") or any(u[4] for u in found))
+        names: set[str] | None = None
         for k, (_, body, b, begins, blank) in enumerate(found):
             if begins and (m := _WORD.search(text, body, min(b, body + 40))) and not text[body : m.start()].strip(WHITE_SPACE + OPENERS + "—–"):
                 self.starts[m.group()] += 1
@@ -269,22 +278,26 @@ class Evidence:
                 if not x.is_stop or not x.chunk or x.inside:
                     continue
                 if x.last:
-                    self._count(x, 1 if blank else 0)
+                    self._count(x, 1 if blank or corpus and b == len(text) else 0, has_end)
                 elif x.gap:
                     word = x.next_word(text)
                     if _lowers(word):
                         self.after[word] += 1
-                        self._count(x, 0 if word in starters else 2)
+                        self._count(x, 0 if word in starters else 2, has_end)
                     else:
-                        self._count(x, 3 if x.next.isdigit() else 0)
+                        if names is None and corpus:
+                            names = _names(text)
+                        self._count(x, 3 if x.next.isdigit() else 0, has_end, corpus and word in names)
                 elif x.end == x.start + 1 and text[x.end] in ",;:":
-                    self._count(x, 2)
+                    self._count(x, 2, has_end)
 
-    def _count(self, x: Mark, what: int) -> None:
+    def _count(self, x: Mark, what: int, has_end: bool = False, named: bool = False) -> None:
         place = self.letters[f"{x.before} {x.chunk}"] if len(x.chunk) == 1 else self.words[x.word]
         place[0] += 1
         if what:
             place[what] += 1
+        place[4] += has_end
+        place[5] += named
 
     def rows(self) -> Iterator[tuple[str, str, int, int, int, int]]:
         for k, v in self.words.items():
@@ -294,12 +307,13 @@ class Evidence:
             yield ("letter", k, *v)
         for kind, counter in (("start", self.starts), ("after", self.after)):
             for k, n in counter.items():
-                yield (kind, k, n, 0, 0, 0)
+                yield (kind, k, n, 0, 0, 0, 0, 0)
 
 
 _COULD_BE_SHORT = re.compile(r"[^\W\d_][^\d_/@]*\Z")
 _ABBREVIATION = r"^[\p{L}\p{M}]+([.'’-][\p{L}\p{M}]+)*$"
-EVIDENCE_SCHEMA = "kind string, key string, n bigint, n_end bigint, n_small bigint, n_number bigint"
+EVIDENCE_SCHEMA = "kind string, key string, n bigint, n_end bigint, n_small bigint, n_number bigint, n_open bigint, n_name bigint"
+EXPECTED_ENDS = 5
 NEVER, MAYBE, START = "never", "maybe", "start"
 
 
@@ -311,13 +325,13 @@ def corpus_evidence(docs: DataFrame, text_col: str) -> DataFrame:
             e = Evidence()
             for t in b.column(0).to_pylist():
                 if t:
-                    e.add(t, units(t))
-            rows = [*e.rows()] or [("word", "", 0, 0, 0, 0)]
+                    e.add(t, units(t), corpus=True)
+            rows = [*e.rows()] or [("word", "", 0, 0, 0, 0, 0, 0)]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k < 2 else pa.int64()) for k, c in enumerate(zip(*rows))], names=[x.split()[0] for x in EVIDENCE_SCHEMA.split(", ")])
 
     ship(docs.sparkSession)
     seen = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, EVIDENCE_SCHEMA)
-    return seen.groupBy("kind", "key").agg(*[F.sum(c).alias(c) for c in ("n", "n_end", "n_small", "n_number")])
+    return seen.groupBy("kind", "key").agg(*[F.sum(c).alias(c) for c in ("n", "n_end", "n_small", "n_number", "n_open", "n_name")])
 
 
 def decisive(evidence: DataFrame) -> DataFrame:
@@ -325,12 +339,17 @@ def decisive(evidence: DataFrame) -> DataFrame:
 
     ``never``: its stop doesn't end a sentence; ``maybe``: an abbreviation that can end one; ``start``: a word
     that begins sentences. A word is an abbreviation if at least 3 in 10 of its stops stand before a small letter or a
-    number, or if it is short, common, and (almost) never ends a paragraph. A single letter (with the word
-    before it) is ``maybe`` if it ends paragraphs. All bounds are shares of the key's own occurrences.
+    number, or if it is short, at least 3 in 10 of its stops stand before a name (a word that has its capital inside a
+    sentence of the same text too), and it (almost) never ends a paragraph or text. That shows only where ends could be expected:
+    counted are texts that have any, and at the corpus' share of ends ``EXPECTED_ENDS`` of the word's stops there should be
+    ends. However common a word is, without names after it the corpus makes no abbreviation of it. A single letter (with the
+    word before it) is ``maybe`` if it ends paragraphs. All other bounds are shares of the key's own occurrences.
     """
     n, end = F.col("n"), F.col("n_end")
     continued = (F.col("n_small") + F.col("n_number")) * 10 >= n * 3
-    short = (F.length("key") <= 6) & (n >= 100)
+    whole = evidence.filter("kind = 'word'").agg(F.sum("n_end"), F.sum("n_open")).first()
+    expected = F.col("n_open") * F.lit(float(whole[0] or 0) / max(whole[1] or 0, 1))
+    short = (F.length("key") <= 6) & (F.col("n_name") * 10 >= n * 3) & (expected >= EXPECTED_ENDS) & (end * 10 < expected)
     ends = end * 100 >= n
     word = F.when((F.col("kind") == "word") & F.col("key").rlike(_ABBREVIATION) & (continued | (short & ~ends)), F.when(ends, MAYBE).otherwise(NEVER))
     letter = F.when((F.col("kind") == "letter") & ends, MAYBE)

@@ -280,6 +280,19 @@ def test_places_are_ordered_and_complete(text):
     assert text[at:].strip(sentences.WHITE_SPACE) == ""
 
 
+@pytest.mark.parametrize("copies", [3, 99, 100, 400])
+def test_a_common_word_is_no_abbreviation(spark, copies):
+    rows = [(k, f"We washed the cells. Then we stored tube {k} again.") for k in range(copies)]
+    got = sentences.sentences(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"], "text")
+    assert got.count() == 2 * copies
+
+
+def test_the_corpus_shows_abbreviations_before_names(spark):
+    rows = [(k, "We saw Capt. Velkin today. We asked Velkin again.") for k in range(100)]
+    got = sentences.sentences(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"], "text")
+    assert got.count() == 200
+
+
 def test_sentence_table_both_ways(spark):
     texts = ["Ask Dr. Velkin. He left.", "", None, "  \n\n", "beadcall ran.\n\nbeadcall ended. beadcall ran.", "One.\n\n" * 50 + "x" * 100_000 + ". End."]
     rows = [(k, t, 1) for k, t in enumerate(texts)] + [(0, texts[0], 1), (None, "A bee. C dee.", 1)]
