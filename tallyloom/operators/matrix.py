@@ -352,16 +352,17 @@ def _lie_apart(distance: np.ndarray, a: list[int], b: list[int]) -> bool:
 
 
 def dendro_merge(values: np.ndarray, labels: np.ndarray, threshold: float = 10.0) -> np.ndarray:
-    """Clusters joined, the least distinct two first, until every two of them differ by ``threshold``."""
+    """Clusters joined, the least distinct two first, until every two of them differ by ``threshold``. A score is kept until one of its two changes."""
     out = labels.copy()
-    while True:
-        names = [k for k in np.unique(out) if k >= 0]
-        scored = [(split_score(values, [*np.flatnonzero(out == p)], [*np.flatnonzero(out == q)]), p, q) for i, p in enumerate(names) for q in names[i + 1 :]]
-        low = [s for s in scored if s[0] < threshold]
-        if not low:
-            return out
+    rows = {int(k): np.flatnonzero(out == k) for k in np.unique(out) if k >= 0}
+    names = sorted(rows)
+    scored = {(p, q): split_score(values, rows[p], rows[q]) for i, p in enumerate(names) for q in names[i + 1 :]}
+    while low := [(s, p, q) for (p, q), s in scored.items() if s < threshold]:
         _, p, q = min(low)
-        out[out == q] = p
+        rows[p] = np.union1d(rows[p], rows.pop(q))
+        scored = {k: s for k, s in scored.items() if q not in k} | {(min(p, k), max(p, k)): split_score(values, rows[min(p, k)], rows[max(p, k)]) for k in rows if k != p}
+        out[rows[p]] = p
+    return out
 
 
 def split_groups(vectors: DataFrame, group: str, item: str, column: str, threshold: float = 10.0, merge: bool = True, limit: int = 20_000) -> DataFrame:
@@ -520,7 +521,7 @@ def shared_neighbour_clusters(distance: np.ndarray, k: int = 10, least: float =
     nearest = np.argsort(distance, axis=1, kind="stable")[:, : min(k, n)]
     member = np.zeros((n, n), dtype=bool)
     np.put_along_axis(member, nearest, True, axis=1)
-    shared = member.astype(int) @ member.T.astype(int) >= least * min(k, n)
+    shared = member.astype(np.float32) @ member.T.astype(np.float32) >= least * min(k, n)
     labels, number = np.full(n, -1), 0
     for i in range(n):
         if labels[i] < 0:

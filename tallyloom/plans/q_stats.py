@@ -69,38 +69,39 @@ def _label_means(spark, sf):
     return e.groupBy("label", "dim").agg(F.avg(F.col("v").cast("double")).alias("v"))
 
 
-def _parted(spark, sf):
-    return read(spark, sf, "embeddings").withColumn("part", F.pmod("vec_id", F.lit(4)).cast("int"))
+def _in_one(spark, sf):
+    """All vectors in one group, which ``on_groups`` and ``split_groups`` bound."""
+    return read(spark, sf, "embeddings").withColumn("part", F.lit(0))
 
 
 @query()
 def d05_nonnegative_factors(spark, sf):
-    return mx.on_groups(_parted(spark, sf), "part", "vec_id", "embedding", lambda x: mx.nonnegative_factors(x - x.min(), 3, 50), out="weights array<double>")
+    return mx.on_groups(_in_one(spark, sf), "part", "vec_id", "embedding", lambda x: mx.nonnegative_factors(x - x.min(), 3), out="weights array<double>")
 
 
 @query()
 def d05_independent_components(spark, sf):
-    return mx.on_groups(_parted(spark, sf), "part", "vec_id", "embedding", lambda x: mx.independent_components(x, 3, 50), out="components array<double>")
+    return mx.on_groups(_in_one(spark, sf), "part", "vec_id", "embedding", lambda x: mx.independent_components(x, 3), out="components array<double>")
 
 
 @query()
 def d07_k_medoids(spark, sf):
-    return mx.on_groups(_parted(spark, sf), "part", "vec_id", "embedding", lambda x: mx.k_medoids(mx.correlation_distance(x), 8))
+    return mx.on_groups(_in_one(spark, sf), "part", "vec_id", "embedding", lambda x: mx.k_medoids(mx.correlation_distance(x), 8))
 
 
 @query()
 def d07_density_clusters(spark, sf):
-    return mx.on_groups(_parted(spark, sf), "part", "vec_id", "embedding", lambda x: mx.density_clusters(mx.correlation_distance(x), 0.7, 4))
+    return mx.on_groups(_in_one(spark, sf), "part", "vec_id", "embedding", lambda x: mx.density_clusters(mx.correlation_distance(x), 0.7, 4))
 
 
 @query()
 def d07_hierarchical_clusters(spark, sf):
-    return mx.on_groups(_parted(spark, sf), "part", "vec_id", "embedding", lambda x: mx.cut_tree(mx.correlation_distance(x), 8))
+    return mx.on_groups(_in_one(spark, sf), "part", "vec_id", "embedding", lambda x: mx.cut_tree(mx.correlation_distance(x), 8))
 
 
 @query()
 def d07_shared_neighbour_clusters(spark, sf):
-    return mx.on_groups(_parted(spark, sf), "part", "vec_id", "embedding", lambda x: mx.shared_neighbour_clusters(mx.correlation_distance(x)))
+    return mx.on_groups(_in_one(spark, sf), "part", "vec_id", "embedding", lambda x: mx.shared_neighbour_clusters(mx.correlation_distance(x)))
 
 
 @query(
@@ -132,14 +133,12 @@ def d08_consensus(spark, sf):
 
 @query()
 def d09_dendro_split(spark, sf):
-    e = read(spark, sf, "embeddings").withColumn("part", F.pmod("vec_id", F.lit(4)).cast("int"))
-    return mx.split_groups(e, "part", "vec_id", "embedding", 4.0, merge=False)
+    return mx.split_groups(_in_one(spark, sf), "part", "vec_id", "embedding", 4.0, merge=False)
 
 
 @query()
 def d10_dendro_merge(spark, sf):
-    e = read(spark, sf, "embeddings").withColumn("part", F.pmod("vec_id", F.lit(4)).cast("int"))
-    return mx.split_groups(e, "part", "vec_id", "embedding", 4.0)
+    return mx.split_groups(_in_one(spark, sf), "part", "vec_id", "embedding", 4.0)
 
 
 @query(f"WITH {_MEANS} SELECT a.label AS row_no, min_by(b.label, (abs(a.v - b.v), b.label)) AS label, min(abs(a.v - b.v)) AS distance FROM m a JOIN m b ON a.dim = 1 AND b.dim = 1 AND a.label <> b.label GROUP BY 1")
@@ -189,8 +188,7 @@ _THRESHOLDS = [float(t) for t in range(10, 120, 5)]
 @query()
 def d14_threshold_sweep(spark, sf):
     """Numbers of clusters over split thresholds, and the threshold where they stay longest."""
-    e = read(spark, sf, "embeddings").withColumn("part", F.lit(0))
-    sweep = mx.split_sweep(e, "part", "vec_id", "embedding", _THRESHOLDS)
+    sweep = mx.split_sweep(_in_one(spark, sf), "part", "vec_id", "embedding", _THRESHOLDS)
     scores = sorted((r.threshold, r.clusters) for r in sweep.collect())
     best = mx.plateau(scores)
     return spark.createDataFrame([(t, n, t == best) for t, n in scores], "threshold double, clusters int, chosen boolean")

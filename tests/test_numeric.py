@@ -119,3 +119,25 @@ def test_sweep_over_every_threshold(spark):
     rows = sorted(QUERIES["D14_threshold_sweep"](spark, "/root/testdata/sf0.001").collect())
     assert [r.threshold for r in rows] == [10.0 + 5 * k for k in range(22)]
     assert [r.threshold for r in rows if r.chosen] == [matrix.plateau([(r.threshold, r.clusters) for r in rows])]
+
+
+@pytest.mark.parametrize("name", ["D05_nonnegative_factors", "D05_independent_components", "D07_k_medoids", "D07_density_clusters", "D07_hierarchical_clusters", "D07_shared_neighbour_clusters", "D09_dendro_split", "D10_dendro_merge"])
+def test_kernels_see_all_vectors(spark, name):
+    from tallyloom.plans.registry import QUERIES
+    from tallyloom.plans.tables import read
+
+    sf = "/root/testdata/sf0.001"
+    x = np.stack([r.embedding for r in read(spark, sf, "embeddings").orderBy("vec_id").collect()]).astype(float)
+    d = matrix.correlation_distance(x)
+    want = {
+        "D05_nonnegative_factors": lambda: matrix.nonnegative_factors(x - x.min(), 3),
+        "D05_independent_components": lambda: matrix.independent_components(x, 3),
+        "D07_k_medoids": lambda: matrix.k_medoids(d, 8),
+        "D07_density_clusters": lambda: matrix.density_clusters(d, 0.7, 4),
+        "D07_hierarchical_clusters": lambda: matrix.cut_tree(d, 8),
+        "D07_shared_neighbour_clusters": lambda: matrix.shared_neighbour_clusters(d),
+        "D09_dendro_split": lambda: matrix.dendro_split(x, 4.0),
+        "D10_dendro_merge": lambda: matrix.dendro_merge(x, matrix.dendro_split(x, 4.0), 4.0),
+    }[name]()
+    rows = QUERIES[name](spark, sf).orderBy("vec_id").collect()
+    assert {r.part for r in rows} == {0} and np.allclose([r[2] for r in rows], want)
