@@ -113,6 +113,24 @@ def d06_pair_distances(spark, sf):
     return p.select("row_a", "row_b", *[F.round(c, 6).alias(c) for c in ("manhattan", "euclidean_2", "correlation")])
 
 
+_WHOLE_MEANS = "m AS (SELECT label, i AS dim, avg(embedding[i]::DOUBLE) AS v FROM embeddings, unnest(range(1, len(embedding) + 1)) t(i) GROUP BY 1, 2)"
+
+
+def _whole_distances(spark, sf):
+    e = read(spark, sf, "embeddings").select("label", F.posexplode("embedding").alias("dim", "v"))
+    p = mx.pair_distances(e.groupBy("label", "dim").agg(F.avg(F.col("v").cast("double")).alias("v")), "label", "dim", "v")
+    return p.select("row_a", "row_b", *[F.round(c, 6).alias(c) for c in ("manhattan", "euclidean_2", "correlation")])
+
+
+@query(
+    f"""WITH {_WHOLE_MEANS} SELECT a.label AS row_a, b.label AS row_b, round(sum(abs(a.v - b.v)), 6) AS manhattan, round(sum((a.v - b.v) * (a.v - b.v)), 6) AS euclidean_2, round(1 - corr(a.v, b.v), 6) AS correlation
+FROM m a JOIN m b ON a.dim = b.dim AND a.label < b.label GROUP BY 1, 2"""
+)
+def d06_whole_distances(spark, sf):
+    """Over all dimensions; ``D06_pair_distances`` and its SQL have the first eight."""
+    return _whole_distances(spark, sf)
+
+
 @query()
 def d07_k_means(spark, sf):
     return mx.k_means(read(spark, sf, "embeddings"), "embedding", 8).groupBy("label", "cluster").agg(F.count(F.lit(1)).alias("n"))
@@ -148,6 +166,21 @@ def d11_nearest_label(spark, sf):
     return mx.nearest_label(d.withColumn("distance", F.abs(F.col("a") - F.col("b"))), "row_no", "other", "label", "distance")
 
 
+_OUTLIERS = 0.5
+
+
+@query(
+    f"""WITH {_WHOLE_MEANS}, d AS (SELECT a.label AS row_no, b.label AS other, round(1 - corr(a.v, b.v), 6) AS distance FROM m a JOIN m b ON a.dim = b.dim AND a.label <> b.label GROUP BY 1, 2),
+n AS (SELECT row_no, min_by(other, (distance, other)) AS label, min(distance) AS distance FROM d GROUP BY 1)
+SELECT row_no, CASE WHEN distance <= (SELECT quantile_cont(distance, {_OUTLIERS}) FROM n) THEN label END AS label, distance FROM n"""
+)
+def d11_whole_nearest_label(spark, sf):
+    """By correlation distance over all dimensions, none beyond the median of nearest distances; ``D11_nearest_label`` and its SQL have the first dimension."""
+    p = _whole_distances(spark, sf)
+    side = lambda a, b: p.select(F.col(f"row_{a}").alias("row_no"), F.col(f"row_{b}").alias("other"), F.col(f"row_{b}").alias("label"), F.col("correlation").alias("distance"))
+    return mx.nearest_label(side("a", "b").union(side("b", "a")), "row_no", "other", "label", "distance", _OUTLIERS)
+
+
 _W = f"""{_X}, s AS (SELECT count(DISTINCT cell) FILTER (cluster = 0) AS na, count(DISTINCT cell) FILTER (cluster = 1) AS nb FROM x),
 w AS (SELECT gene, sum(CASE WHEN cluster = 0 THEN n ELSE 0 END)::DOUBLE AS sa, sum(CASE WHEN cluster = 0 THEN n * n ELSE 0 END)::DOUBLE AS qa, sum(CASE WHEN cluster = 1 THEN n ELSE 0 END)::DOUBLE AS sb, sum(CASE WHEN cluster = 1 THEN n * n ELSE 0 END)::DOUBLE AS qb FROM x WHERE cluster < 2 GROUP BY gene),
 v AS (SELECT *, (qa - sa * sa / na) / (na - 1) / na AS va, (qb - sb * sb / nb) / (nb - 1) / nb AS vb FROM w, s)"""

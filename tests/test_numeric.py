@@ -141,3 +141,20 @@ def test_kernels_see_all_vectors(spark, name):
     }[name]()
     rows = QUERIES[name](spark, sf).orderBy("vec_id").collect()
     assert {r.part for r in rows} == {0} and np.allclose([r[2] for r in rows], want)
+
+
+def test_distances_over_all_dimensions(spark):
+    from tallyloom.plans.registry import QUERIES
+    from tallyloom.plans.tables import read
+
+    sf = "/root/testdata/sf0.001"
+    by = {}
+    for r in read(spark, sf, "embeddings").collect():
+        by.setdefault(r.label, []).append(r.embedding)
+    m = {k: np.mean(np.array(v, dtype=float), axis=0) for k, v in by.items()}
+    for r in QUERIES["D06_whole_distances"](spark, sf).collect():
+        a, b = m[r.row_a], m[r.row_b]
+        assert (r.manhattan, r.euclidean_2, r.correlation) == pytest.approx((np.abs(a - b).sum(), ((a - b) ** 2).sum(), 1 - np.corrcoef(a, b)[0, 1]), abs=2e-6)
+    rows = QUERIES["D11_whole_nearest_label"](spark, sf).collect()
+    assert all(r.distance == pytest.approx(min(1 - np.corrcoef(m[r.row_no], v)[0, 1] for k, v in m.items() if k != r.row_no), abs=2e-6) for r in rows)
+    assert 0 < sum(r.label is None for r in rows) < len(rows)
