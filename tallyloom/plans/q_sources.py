@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.wide import attributes_of
 from ..sources import alignments as al, annotation as an, fastq as fq, sequences as sq, tables as tb
 from .bindings import SQL_CALLED, SQL_CELL_GENE, SQL_READS, called_cells, cell_gene, reads
 from .registry_helpers import book
@@ -152,3 +153,10 @@ def s24_feature_counts(spark, sf):
 def s25_stacked_samples(spark, sf):
     p = read(spark, sf, "part").withColumnRenamed("p_type", "gene")
     return tb.stacked_samples(p, "gene", "p_brand", "p_size", ["Brand#1", "Brand#2"])
+
+
+@query("SELECT p_type AS gene, coalesce(COLUMNS(* EXCLUDE (p_type)), 0)::BIGINT FROM (PIVOT (SELECT p_type, p_brand, p_size FROM part WHERE p_brand IS NOT NULL) ON p_brand USING sum(p_size) GROUP BY p_type)")
+def s25_all_samples(spark, sf):
+    """A column for every brand that occurs; ``S25_stacked_samples`` and its SQL have two of them."""
+    p = read(spark, sf, "part").withColumnRenamed("p_type", "gene").filter("p_brand IS NOT NULL")
+    return tb.stacked_samples(p, "gene", "p_brand", "p_size", attributes_of(p.select(F.col("p_brand").alias("attribute"))))

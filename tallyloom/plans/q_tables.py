@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import label_to_index
 from ..operators import aggregates as ag, joins, sets, windows as wi
+from ..operators.wide import attributes_of
 from ..session import materialize
 from .bindings import SQL_CALLED, SQL_CELL_GENE, SQL_MOL, SQL_READS, SQL_TAGS, called_cells, cell_gene, molecules, reads, tag_counts
 from .registry_helpers import book
@@ -443,6 +444,13 @@ def o08_pivot_wide(spark, sf):
     return sets.pivot(tag_counts(spark, sf), "cell", "tag", ["SampleTag01_hs", "SampleTag02_hs"], F.avg("reads"), 0.0)
 
 
+@query(f"SELECT cell, coalesce(COLUMNS(* EXCLUDE (cell)), 0) FROM (PIVOT (WITH {SQL_TAGS} SELECT cell, tag, reads FROM tags) ON tag USING avg(reads) GROUP BY cell)")
+def o08_pivot_all_tags(spark, sf):
+    """A column for every tag that occurs; ``O08_pivot_wide`` and its SQL have two of them."""
+    t = materialize(tag_counts(spark, sf), "tags")
+    return sets.pivot(t, "cell", "tag", attributes_of(t.select(F.col("tag").alias("attribute"))), F.avg("reads"), 0.0)
+
+
 @query(f"WITH {SQL_TAGS} SELECT cell, tag, name, value FROM (SELECT cell, tag, reads, dbec_reads, raw_mols FROM tags) UNPIVOT (value FOR name IN (reads, dbec_reads, raw_mols))")
 def o09_unpivot_long(spark, sf):
     return tag_counts(spark, sf).unpivot(["cell", "tag"], ["reads", "dbec_reads", "raw_mols"], "name", "value")

@@ -387,3 +387,20 @@ def test_pairs_of_too_many_are_an_error(spark):
         with pytest.raises(ValueError, match="more than 19"):
             call()
     assert sets.jaccard(df, "s", "i", 20).count() == 190
+
+
+def test_wide_tables_hold_every_value(spark):
+    from tallyloom.plans.bindings import tag_counts
+    from tallyloom.plans.registry import QUERIES
+    from tallyloom.plans.tables import read
+
+    sf = "/root/testdata/sf0.001"
+    tags = tag_counts(spark, sf)
+    wide = QUERIES["O08_pivot_all_tags"](spark, sf)
+    got = {(r.cell, c): r[c] for r in wide.collect() for c in wide.columns if c != "cell" and r[c]}
+    assert got == {(r.cell, r.tag): r.reads for r in tags.collect() if r.reads}
+    assert {*wide.columns} - {"cell"} == {r.tag for r in tags.select("tag").distinct().collect()}
+    wide = QUERIES["S25_all_samples"](spark, sf)
+    part = read(spark, sf, "part").collect()
+    assert sum(r[c] for r in wide.collect() for c in wide.columns if c != "gene") == sum(r.p_size for r in part if r.p_brand is not None and r.p_size is not None)
+    assert {*wide.columns} - {"gene"} == {r.p_brand for r in part if r.p_brand is not None}
