@@ -187,9 +187,11 @@ def nmi(labels: DataFrame, a: str, b: str) -> DataFrame:
     return p.agg(F.try_divide(F.sum("mi"), F.sqrt(F.sum("ha") * F.sum("hb"))).alias("nmi"))
 
 
-def matched_accuracy(labels: DataFrame, a: str, b: str) -> float:
-    """Share of rows on the best one-to-one matching of labels. The contingency table, one row per pair of labels, goes to the driver."""
-    cells = {(r[0], r[1]): r[2] for r in labels.groupBy(a, b).agg(F.count(F.lit(1)).alias("n")).limit(250_000).collect()}
+def matched_accuracy(labels: DataFrame, a: str, b: str, limit: int = 250_000) -> float:
+    """Share of rows on the best one-to-one matching of labels. The contingency table, one row per pair of labels, goes to the driver; more than ``limit`` are an error."""
+    cells = {(r[0], r[1]): r[2] for r in labels.groupBy(a, b).agg(F.count(F.lit(1)).alias("n")).limit(limit + 1).collect()}
+    if len(cells) > limit:
+        raise ValueError(f"{a} and {b} have more than {limit} pairs of labels")
     rows, cols = sorted({k[0] for k in cells}, key=repr), sorted({k[1] for k in cells}, key=repr)
     n = max(len(rows), len(cols))
     cost = np.zeros((n, n))

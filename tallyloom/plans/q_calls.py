@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import sql_strip, strip
 from ..operators import cells as ce, receptors as re_, shred, tags as tg, windows as wi
+from ..operators.wide import attributes_of
 from ..session import materialize
 from .bindings import HEX, LETTERS, SQL_CALLED, SQL_CELL_GENE, SQL_TAGS, called_cells, cell_gene, tag_counts
 from .problems import _tag_rows
@@ -98,7 +99,7 @@ def _domain(spark, sf):
 @query(f"WITH {SQL_TAGS}, {SQL_CALLED} SELECT c.cell, t.tag, coalesce(tags.reads, 0) AS n FROM called c CROSS JOIN (SELECT DISTINCT tag FROM tags) t LEFT JOIN tags ON tags.cell = c.cell AND tags.tag = t.tag")
 def t01_zero_filled_counts(spark, sf):
     c = _counts(spark, sf)
-    names = sorted(r[0] for r in c.select("tag").distinct().limit(1000).collect())
+    names = attributes_of(c.select(F.col("tag").alias("attribute")), 1000)
     domain = called_cells(spark, sf).select("cell").withColumn("tag", F.explode(F.array(*[F.lit(x) for x in names])))
     return domain.join(c, ["cell", "tag"], "left").fillna(0)
 

@@ -404,3 +404,15 @@ def test_wide_tables_hold_every_value(spark):
     part = read(spark, sf, "part").collect()
     assert sum(r[c] for r in wide.collect() for c in wide.columns if c != "gene") == sum(r.p_size for r in part if r.p_brand is not None and r.p_size is not None)
     assert {*wide.columns} - {"gene"} == {r.p_brand for r in part if r.p_brand is not None}
+
+
+def test_no_labels_or_tags_are_dropped(spark, monkeypatch):
+    from tallyloom.plans import q_calls
+
+    df = spark.range(20).select((F.col("id") % 5).alias("p"), (F.col("id") % 4).alias("q"))
+    assert matrix.matched_accuracy(df, "p", "q", 20) == pytest.approx(0.2)
+    with pytest.raises(ValueError):
+        matrix.matched_accuracy(df, "p", "q", 19)
+    monkeypatch.setattr(q_calls, "_counts", lambda spark, sf: spark.range(1001).select(F.lit("c").alias("cell"), F.col("id").cast("string").alias("tag"), F.col("id").alias("n")))
+    with pytest.raises(ValueError):
+        q_calls.t01_zero_filled_counts(spark, "/root/testdata/sf0.001")
