@@ -6,7 +6,8 @@ records only when the record changes. No set of records is held for any term.
 
 A term with a third of all tokens would fill one task. So a term's tokens are split by a hash of the
 record: all tokens of one (term, record) pair stay together, and the counters of the splits add up.
-Equal (term, record) tokens are folded into one weighted token before the shuffle.
+``weighted_tokens`` makes equal (term, record) tokens one weighted token by an aggregate with its own shuffle; of such
+tokens the scan meets each record of a term once. It is not needed for right counts.
 """
 
 from __future__ import annotations
