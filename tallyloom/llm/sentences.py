@@ -7,18 +7,24 @@ decides first. Where it shows nothing, the same evidence counted over the whole
 last a short list of common abbreviations. Marks of scripts that have their own full stop need no such
 evidence: they end a sentence by themselves, and there a Latin stop after a short word is an abbreviation.
 
-Two passes over the texts: the first counts evidence (folded in each task, then one sum per key), the
-second splits. The evidence is filtered to the keys that change a decision; up to ``BROADCAST_KEYS``
-of them are broadcast, more are joined to the documents by the words that these contain.
+The texts are read once. The scan lays down for each text the places where a sentence can end, those that
+need no evidence as they are and the open ones with what stands around them: the word before, the next word, and a few
+flags. This table is a small part of the texts. The evidence is an aggregate over it, and a second pass over it, without the texts,
+closes the open places.
+
+Verdicts of the corpus are shares of a key's own occurrences, so that ten times the same texts are split like the texts
+themselves. One needs more: that a word is an abbreviation before names ("Capt. Velkin") shows only in its never ending a
+paragraph, and is held for true when that is ``ODDS`` times likelier for an abbreviation than for any other word.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
-from collections import Counter, defaultdict
-from collections.abc import Iterator
-from itertools import accumulate
+from collections import Counter
+from collections.abc import Callable, Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +34,7 @@ from pyspark.sql import functions as F
 from ..functions.text import WHITE_SPACE
 from ..session import materialize, ship
 
-BROADCAST_KEYS = 50_000
+BROADCAST_KEYS = 100_000
 
 # Marks, by script.
 HARD = "。｡．？！।॥؟۔։።፧፨។៕။꓿︒﹖﹗‼⁇⁈⁉"
@@ -40,8 +46,9 @@ QUOTES = "\"“„«‹「『｢”»›」』｣"
 NARROW = " \xa0\u2009\u202f"
 INTRODUCES = ":：,，、"
 
-# Common abbreviations. They count only where neither the document nor the corpus shows how a word is used.
-BEFORE_NAMES = {"dr", "prof", "mr", "mrs", "ms", "st", "sr", "sra", "mme", "suppl", "vs", "cf", "vgl", "viz", "incl", "bzw", "approx", "ca", "env", "circa", "e.g", "i.e", "v", "г-н", "акад", "डॉ", "प्रो", "श्री"}
+# Common abbreviations, words before a letter or an ordinal, and months. They count only where neither the document nor the corpus
+# shows how a word is used.
+BEFORE_NAMES = {"dr", "prof", "mr", "mrs", "ms", "st", "sr", "sra", "mme", "suppl", "vs", "cf", "vgl", "viz", "incl", "bzw", "approx", "ca", "env", "circa", "e.g", "i.e", "v", "г-н", "акад"}
 BEFORE_NUMBERS = {"no", "nos", "nr", "fig", "figs", "sec", "eq", "eqs", "ch", "vol", "pp", "ref", "refs", "tab", "abb", "kap", "art", "núm", "рис", "табл", "см", "стр", "al", "ed", "eds"}
 MAY_END = {"etc", "inc", "ltd", "corp", "co", "jr", "usw", "min", "h", "hr", "hrs", "a.m", "p.m", "aprox", "др", "пр", "т", "г", "гг", "sp", "spp", "u.s"}
 LETTER_NOUNS = {"plan", "vitamin", "group", "type", "class", "option", "hepatitis", "panel", "lane", "grade", "phase", "appendix"}
@@ -51,25 +58,31 @@ MONTHS = {"januar", "jänner", "februar", "märz", "april", "mai", "juni", "juli
 _NL = r"(?:\r\n|\r(?!\n)|(?<!\r)\n|[\x85\u2028\u2029])"
 _SPACE = r"[^\S\n\r\x85\u2028\u2029]"
 _BLANK = re.compile(rf"{_NL}{_SPACE}*{_NL}")
-_LINE = re.compile(rf"(?:\A|(?<=[\n\x85\u2028\u2029])|(?<=\r)(?!\n)){_SPACE}*(?:([-*•])|(\d{{1,4}})[.)])(?={_SPACE}+\S)")
+_BLANK_SIMPLE = re.compile(rf"[\n\x85\u2028\u2029]{_SPACE}*[\n\x85\u2028\u2029]")  # the same for texts without carriage returns
+_ITEM = rf"{_SPACE}*(?:([-*•])|(\d{{1,4}})[.)])(?={_SPACE}+\S)"
+_FIRST_LINE = re.compile(_ITEM)
+_LATER_LINE = re.compile(rf"[\n\r\x85\u2028\u2029]{_ITEM}")
 _MARKS = re.compile(rf"[{re.escape(SOFT + HARD)}]+")
 _PAIRED = re.compile("[" + re.escape("".join(PAIRS) + "".join(PAIRS.values()) + "„“”\"") + "]")
 _NOTE = re.compile(r"[\[［]\d{1,4}(?:[,–-]\d{1,4})*[\]］]")
 _THAI = re.compile(rf"(?<=[\u0e00-\u0e7f]){_SPACE}+(?=[\u0e00-\u0e7f])")
 _WORD = re.compile(r"[^\W_](?:[^\W_]|[-'’\xad](?=[^\W_]))*")
-_INNER = re.compile(rf"(?<=[^\W\d_])\s({_WORD.pattern})")
 _CHUNK_EDGE = "\"“”„‚‘’'«»‹›()[]{}（）「」『』【】—–-¿¡*#"
 _DEVANAGARI = re.compile(r"[ऀ-ॿ]")
+_LETTERS = re.compile(r"[^\W\d_][^\d_/@]*\Z")  # numbers, file names and the like are no abbreviations
+_BARE = re.compile(r"([^\W\d_]+) \d{1,2}(?=[\s,;:])")
+_ABBREVIATION = r"^[\p{L}\p{M}]+([.'’-][\p{L}\p{M}]+)*$"
+_PLAIN = frozenset("abcdefghijklmnopqrstuvwxyz0123456789_/\\@")  # no stop before one of these ends anything
+_LEADS = frozenset(OPENERS + "—–-")
+_FREE = "\"“„«‹([{¿¡ "
+SHORT_WORD = 6
+LONGEST = 200  # characters without a space that can be a word
 
 
 def _is_caseless(ch: str) -> bool:
     return ch.isalpha() and not ch.isupper() and not ch.islower() and not ch.istitle()
 
 
-def _is_cjk(ch: str) -> bool:
-    return "぀" <= ch <= "ヿ" or "㐀" <= ch <= "鿿" or "豈" <= ch <= "﫿" or "\U00020000" <= ch <= "\U0003ffff"
-
-
 # ---------------------------------------------------------------- units
 
 
@@ -77,14 +90,15 @@ def units(text: str) -> list[tuple[int, int, int, bool, bool]]:
     """Parts that no sentence crosses: (start, first character after a list mark, end, begins a paragraph, ends with a blank line)."""
     found, a = [], 0
     blocks = []
-    for m in _BLANK.finditer(text):
+    for m in (_BLANK if "\r" in text else _BLANK_SIMPLE).finditer(text):
         blocks.append((a, m.start(), True))
         a = m.end()
     blocks.append((a, len(text), False))
     for a, b, blank in blocks:
         cuts: list[tuple[int, int]] = []  # start of a list item, end of its mark
         last = None
-        for m in _LINE.finditer(text, a, b):
+        head = _FIRST_LINE.match(text, a, b)
+        for m in chain((head,) if head else (), _LATER_LINE.finditer(text, a, b)):
             at = m.start(1) if m.group(1) else m.start(2)
             if m.group(2):
                 n = int(m.group(2))
@@ -155,379 +169,441 @@ def _pairs(text: str, a: int, b: int) -> dict[int, int]:
     return out
 
 
-# ---------------------------------------------------------------- the marks of a unit
-
-
-class Mark:
-    """A run of marks with all that belongs to it, and what stands before and after."""
-
-    __slots__ = ("start", "end", "run", "chunk", "word", "before", "gap", "at", "next", "skipped", "opened", "inside", "last")
-
-    def __init__(self, text: str, a: int, b: int, i: int, j: int, pairs: dict[int, int], opens: list[int], reach: list[int]):
-        self.start, self.run = i, text[i:j]
-        opened = None
-        while j < b:
-            ch = text[j]
-            if ch in SOFT or ch in HARD:
-                j += 1
-            elif ch in CLOSERS and j in pairs and pairs[j] < i or ch == "“" and j in pairs and pairs[j] < i:
-                opened = pairs[j] if opened is None else min(opened, pairs[j])
-                j += 1
-            elif ch in "'’" and j + 1 < b and not text[j + 1].isalpha():
-                j += 1
-            elif ch in "[［" and (m := _NOTE.match(text, j, b)):
-                j = m.end()
-            elif ch.isspace():
-                k = j
-                while k < b and text[k] in NARROW:
-                    k += 1
-                if k < b and text[k] in "»›" and pairs.get(k, i) < i:
-                    opened = pairs[k] if opened is None else min(opened, pairs[k])
-                    j = k + 1
-                else:
-                    break
-            else:
-                break
-        self.end, self.opened = j, opened
-        k = bisect_left(opens, i)
-        self.inside = k > 0 and reach[k - 1] >= j
-        k = j
-        while k < b and text[k].isspace():
-            k += 1
-        self.gap, self.last = k > j, k >= b
-        skipped = k
-        while k < b and (text[k] in OPENERS or text[k] in "—–-" or text[k].isspace()):
-            k += 1
-        self.at = k
-        self.skipped = text[skipped:k]
-        self.next = text[k] if k < b else ""
-        s = i
-        while s > a and not text[s - 1].isspace():
-            s -= 1
-        self.chunk = text[s:i].lstrip(_CHUNK_EDGE)
-        self.word = self.chunk.casefold()
-        self.before = ""
-        if len(self.chunk) == 1 or self.chunk.isdigit():
-            e = s
-            while e > a and text[e - 1].isspace():
-                e -= 1
-            s = e
-            while s > a and not text[s - 1].isspace():
-                s -= 1
-            self.before = text[s:e].strip(_CHUNK_EDGE).casefold()
-
-    def next_word(self, text: str) -> str:
-        m = _WORD.match(text, self.at)
-        return m.group() if m else ""
+# ---------------------------------------------------------------- the scan of a text
 
-    @property
-    def is_stop(self) -> bool:
-        return self.run == "."
+# What is known of an open place, in bits. What the word before it shows (the lowest two) ...
+AT_END, SMALL, NUMBER = 1, 2, 3
+# ... the rule that closes it (the next two; 0 if it is only evidence) ...
+STOP, CALL, JOINED = 4, 8, 12
+# ... and flags: a blank line follows; the next word has a small letter; the word before is a capital, a letter, a short word; the next
+# character is a capital; a number or one with letters comes next; the word before has a capital inside a sentence.
+BLANK, LOW, CAPITAL, LETTER, SHORT, NEXT_CAPITAL, NUMBERED, TITLE = (1 << k for k in range(4, 12))
 
 
-def marks(text: str, a: int, b: int) -> Iterator[Mark]:
-    pairs = _pairs(text, a, b)
-    opens = sorted(pairs.values())
-    closing = {o: c for c, o in pairs.items()}
-    reach = [*accumulate((closing[o] for o in opens), max)]  # how far what opened so far extends
-    done = a
-    for m in _MARKS.finditer(text, a, b):
-        if m.start() < done:
-            continue
-        x = Mark(text, a, b, m.start(), m.end(), pairs, opens, reach)
-        done = x.end
-        yield x
-
+class Scan:
+    """What a text shows, by place.
 
-# ---------------------------------------------------------------- evidence
+    ``first``: where the first sentence begins, -1 if there is none. ``ends``, ``nexts``: where a sentence ends or can end, and where the next
+    one begins then. ``places``: for each stop, and each other mark that is open, its number in ``ends`` (-1 if it is evidence only);
+    ``keys``: the word before it, a letter or a short number with the word before that, or nothing; ``words``: the next word; ``bits``.
+    ``starts``: words that begin a paragraph. ``bare``: keys of short numbers without a stop. ``has_end``: a paragraph or the text ends with a stop.
+    """
 
+    __slots__ = ("first", "ends", "nexts", "places", "keys", "words", "bits", "starts", "bare", "has_end")
 
-def _lowers(word: str) -> bool:
-    """Begins with a small letter and has no capital inside, as names like mRNA have."""
-    return word[:1].islower() and not any(c.isupper() for c in word)
+    def __init__(self, text: str):
+        self.first, self.ends, self.nexts = -1, [], []
+        self.places, self.keys, self.words, self.bits, self.starts = [], [], [], [], []
+        found = units(text)
+        self.bare = [f"{m.group(1).casefold()} #" for m in _BARE.finditer(text)]
+        self.has_end = text.rstrip(WHITE_SPACE + CLOSERS).endswith(".") or any(u[4] for u in found)
+        thai = not text.isascii() and _THAI.search(text) is not None
+        paired = _PAIRED.search(text) is not None
+        for a, body, b, begins, blank in found:
+            begin, end = _skip(text, a, b), b
+            while end > begin and text[end - 1].isspace():
+                end -= 1
+            if begin >= end:
+                continue
+            if self.nexts:
+                self.nexts[-1] = begin
+            else:
+                self.first = begin
+            if begins and (m := _WORD.search(text, body, min(b, body + 40))) and not text[body : m.start()].strip(WHITE_SPACE + OPENERS + "—–"):
+                self.starts.append(m.group())
+            at = len(self.ends)
+            self._marks(text, body, b, blank, _pairs(text, body, b) if paired else {})
+            if thai:
+                self._thai(text, body, b, at)
+            self.ends.append(end)
+            self.nexts.append(end)
+
+    def _thai(self, text: str, a: int, b: int, at: int) -> None:
+        """Add the spaces of a Thai unit to its ends, which begin with number ``at``."""
+        more = [(m.start(), m.end()) for m in _THAI.finditer(text, a, b) if m.start() not in self.ends[at:]]
+        if not more:
+            return
+        old = [*zip(self.ends[at:], self.nexts[at:], range(at, len(self.ends)))]
+        both = sorted([*old, *((e, n, -1) for e, n in more)])
+        self.ends[at:], self.nexts[at:] = [x[0] for x in both], [x[1] for x in both]
+        moved = {x[2]: at + k for k, x in enumerate(both) if x[2] >= 0}
+        self.places = [moved.get(p, p) for p in self.places]
+
+    def _marks(self, text: str, a: int, b: int, blank: bool, pairs: dict[int, int]) -> None:
+        opens = sorted(pairs.values())
+        closing = {o: c for c, o in pairs.items()}
+        reach = [*accumulate((closing[o] for o in opens), max)]  # how far what opened so far extends
+        done = a  # what is before belongs to an earlier mark
+        seen, start = a, a  # the chunk of the last mark looked at begins at `start`
+        for m in _MARKS.finditer(text, a, b):
+            i, j = m.span()
+            if i < done:
+                continue
+            run = text[i:j]
+            stop = run == "."
+            if stop and j < b and text[j] in _PLAIN:
+                continue
+            j, opened = _belongs(text, i, j, b, pairs)
+            done = j
+            k = _skip(text, j, b)
+            gap, last = k > j, k >= b
+            inside = False
+            if opens:
+                n = bisect_left(opens, i)
+                inside = n > 0 and reach[n - 1] >= j
+            if inside or last and not stop:
+                continue
+            then, lead = k, k
+            while k < b and (text[k] in _LEADS or text[k].isspace()):
+                k += 1
+            skipped, ch = text[lead:k], text[k] if k < b else ""
+            s = i
+            while s > seen and not text[s - 1].isspace():
+                s -= 1
+            if s > seen or s == a or text[s - 1].isspace():
+                start = s
+            seen = i
+            chunk = text[max(start, i - LONGEST) : i].lstrip(_CHUNK_EDGE)
+            m = _WORD.match(text, k)
+            word = m.group() if m else ""
+            low = word[:1].islower() and not any(c.isupper() for c in word)
+            key, bits = "", 0
+            if stop and chunk:
+                key, bits = _key(text, a, start, chunk)
+            if last:
+                if key:
+                    self._open(-1, key, "", bits | (AT_END if blank or b == len(text) else 0) | (BLANK if blank else 0))
+                continue
+            verdict = self._ends(text, i, j, run, opened, gap, skipped, ch, low, chunk, key, a)
+            place = -1
+            if verdict:
+                place = len(self.ends)
+                self.ends.append(j)
+                self.nexts.append(then)
+            rule = verdict if verdict in (STOP, CALL, JOINED) else 0
+            if stop and chunk and gap:
+                bits |= (SMALL | LOW if low else NUMBER if ch.isdigit() else 0) | (NEXT_CAPITAL if ch.isupper() else 0)
+                bits |= NUMBERED if ch.isdigit() or ch.isupper() and any(c.isdigit() for c in word) else 0
+                self._open(place if rule else -1, key, word, bits | rule)
+            elif rule:
+                self._open(place, "", word, rule)
+            elif stop and chunk and j == i + 1 and text[j] in ",;:":
+                self._open(-1, key, "", bits | SMALL)
+
+    def _open(self, place: int, key: str, word: str, bits: int) -> None:
+        self.places.append(place)
+        self.keys.append(key)
+        self.words.append(word)
+        self.bits.append(bits)
+
+    @staticmethod
+    def _ends(text: str, i: int, j: int, run: str, opened: int | None, gap: bool, skipped: str, ch: str, low: bool, chunk: str, key: str, a: int) -> int:
+        """1 if a sentence ends here, 0 if none does, or the rule that decides by evidence."""
+        after = text[j]
+        if after in ",，、;；:：":
+            return 0
+        if opened is not None and text[opened] in QUOTES:
+            if any(_is_caseless(c) for c in text[opened + 1 : i]):
+                # No capitals to go by: what was announced by a colon or comma is complete, else the speaker follows.
+                k = opened
+                while k > a and text[k - 1].isspace():
+                    k -= 1
+                return int(k > a and text[k - 1] in INTRODUCES)
+            return _call(skipped, ch, low) if gap else int(ch.isupper() or bool(skipped))
+        if any(c in HARD for c in run):
+            return int(not (run == "．" and i and text[i - 1].isdigit() and after.isdigit()))
+        if "!" in run or "?" in run:
+            if not gap:
+                return int(ch.isupper() or _is_caseless(ch) or bool(skipped))
+            return _call(skipped, ch, low)
+        if run != ".":  # an ellipsis
+            return int(gap and (ch.isupper() or ch.isdigit()) and skipped[:1] not in ("—", "–", "-"))
+        if not chunk:
+            return int(gap and not low)
+        before = text[i - 1]
+        is_thai = "\u0e00" <= before <= "\u0e7f"
+        if not gap:
+            # No space: an end only between whole words, never within numbers, files and names.
+            if not skipped and _is_caseless(ch) and _is_caseless(before) and not is_thai:
+                return 1
+            if not ch.isupper() or "/" in chunk or "@" in chunk:
+                return 0
+            if skipped or j > i + 1:  # a quotation or bracket opens, or one is closed
+                return int(not skipped or chunk.isalnum())
+            return JOINED
+        if is_thai:
+            return 0
+        if _DEVANAGARI.search(chunk):
+            return int(sum(c.isalpha() for c in chunk) > 3)
+        if low:
+            return 0 if skipped.strip(_FREE) else STOP
+        return STOP if key else 1
+
+
+def _call(skipped: str, ch: str, low: bool) -> int:
+    """After a question or call with a space: an end, unless a small letter or a dash and a small letter go on."""
+    if ch.islower() and skipped.strip()[:1] in ("—", "–", "-"):
+        return 0
+    return CALL if low else 1
+
+
+def _skip(text: str, a: int, b: int) -> int:
+    while a < b and text[a].isspace():
+        a += 1
+    return a
+
+
+def _belongs(text: str, i: int, j: int, b: int, pairs: dict[int, int]) -> tuple[int, int | None]:
+    """The end of a run of marks with all that belongs to it, and where the outermost quotation or bracket begins that is closed there."""
+    opened = None
+    while j < b:
+        ch = text[j]
+        if ch == " " and not pairs:
+            break
+        if ch in SOFT or ch in HARD:
+            j += 1
+        elif (ch in CLOSERS or ch == "“") and pairs.get(j, i) < i:
+            opened = pairs[j] if opened is None else min(opened, pairs[j])
+            j += 1
+        elif ch in "'’" and j + 1 < b and not text[j + 1].isalpha():
+            j += 1
+        elif ch in "[［" and (m := _NOTE.match(text, j, b)):
+            j = m.end()
+        elif ch.isspace():
+            k = j
+            while k < b and text[k] in NARROW:
+                k += 1
+            if k < b and text[k] in "»›" and pairs.get(k, i) < i:
+                opened = pairs[k] if opened is None else min(opened, pairs[k])
+                j = k + 1
+            else:
+                break
+        else:
+            break
+    return j, opened
 
 
-def _names(text: str) -> set[str]:
-    """Words with a capital that follow a small letter and a space: no sentence begins there."""
-    return {m.group(1) for m in _INNER.finditer(text) if m.group(1)[0].isupper() and text[m.start() - 1].islower()}
+def _key(text: str, a: int, start: int, chunk: str) -> tuple[str, int]:
+    """The key of the word before a stop, and its flags; nothing for numbers, file names and the like."""
+    letter, number = len(chunk) == 1 and chunk.isalpha(), len(chunk) <= 2 and chunk.isdigit()
+    if not letter and not number:
+        if _LETTERS.match(chunk) and len(chunk) < LONGEST:
+            title = chunk[0].isupper() and start - 2 >= a and text[start - 2].islower() and text[start] == chunk[0]
+            return chunk.casefold(), (SHORT if len(chunk) <= SHORT_WORD else 0) | (TITLE if title else 0)
+        return "", 0
+    e = start
+    while e > a and text[e - 1].isspace():
+        e -= 1
+    s, low = e, max(a, e - LONGEST)
+    while s > low and not text[s - 1].isspace():
+        s -= 1
+    before = text[s:e].strip(_CHUNK_EDGE).casefold()
+    if before.replace(".", "").replace(",", "").isdigit():
+        before = "#"
+    return f"{before} {chunk if letter else '#'}", (LETTER | (CAPITAL if chunk.isupper() else 0)) if letter else 0
 
 
-class Evidence:
-    """Counts of unambiguous places, of one document or of many.
+# ---------------------------------------------------------------- closing what is open
 
-    ``words``: word before a stop -> [all, at the end of a paragraph, before a small letter, before a number or a bracketed one,
-    in a text that has an end of a paragraph, before a name]; the last two are counted for a corpus only;
-    ``letters``: the same for single letters, with the word before them; ``starts``: words that begin a
-    paragraph; ``after``: small-letter words after a stop.
-    """
+NEVER, ENDS, START = "never", "ends", "start"
+WORD, FIRST = "word", "first"
 
-    def __init__(self) -> None:
-        self.words: dict[str, list[int]] = defaultdict(lambda: [0] * 6)
-        self.letters: dict[str, list[int]] = defaultdict(lambda: [0] * 6)
-        self.starts: Counter = Counter()
-        self.after: Counter = Counter()
-
-    def add(self, text: str, found: list, starters: frozenset | set = frozenset(), listed: list[list[Mark]] | None = None, corpus: bool = False) -> None:
-        """Count a document's units; ``listed`` are their marks, if they are known already. For a ``corpus`` the end of the text ends a paragraph too."""
-        has_end = corpus and (text.rstrip(WHITE_SPACE + CLOSERS).endswith(".") or any(u[4] for u in found))
-        names: set[str] | None = None
-        for k, (_, body, b, begins, blank) in enumerate(found):
-            if begins and (m := _WORD.search(text, body, min(b, body + 40))) and not text[body : m.start()].strip(WHITE_SPACE + OPENERS + "—–"):
-                self.starts[m.group()] += 1
-            for x in marks(text, body, b) if listed is None else listed[k]:
-                if not x.is_stop or not x.chunk or x.inside:
-                    continue
-                if x.last:
-                    self._count(x, 1 if blank or corpus and b == len(text) else 0, has_end)
-                elif x.gap:
-                    word = x.next_word(text)
-                    if _lowers(word):
-                        self.after[word] += 1
-                        self._count(x, 0 if word in starters else 2, has_end)
-                    else:
-                        if names is None and corpus:
-                            names = _names(text)
-                        self._count(x, 3 if x.next.isdigit() else 0, has_end, corpus and word in names)
-                elif x.end == x.start + 1 and text[x.end] in ",;:":
-                    self._count(x, 2, has_end)
-
-    def _count(self, x: Mark, what: int, has_end: bool = False, named: bool = False) -> None:
-        place = self.letters[f"{x.before} {x.chunk}"] if len(x.chunk) == 1 else self.words[x.word]
-        place[0] += 1
-        if what:
-            place[what] += 1
-        place[4] += has_end
-        place[5] += named
-
-    def rows(self) -> Iterator[tuple[str, str, int, int, int, int]]:
-        for k, v in self.words.items():
-            if _COULD_BE_SHORT.match(k):  # numbers, file names and the like are no abbreviations
-                yield ("word", k, *v)
-        for k, v in self.letters.items():
-            yield ("letter", k, *v)
-        for kind, counter in (("start", self.starts), ("after", self.after)):
-            for k, n in counter.items():
-                yield (kind, k, n, 0, 0, 0, 0, 0)
-
-
-_COULD_BE_SHORT = re.compile(r"[^\W\d_][^\d_/@]*\Z")
-_ABBREVIATION = r"^[\p{L}\p{M}]+([.'’-][\p{L}\p{M}]+)*$"
-EVIDENCE_SCHEMA = "kind string, key string, n bigint, n_end bigint, n_small bigint, n_number bigint, n_open bigint, n_name bigint"
-EXPECTED_ENDS = 5
-NEVER, MAYBE, START = "never", "maybe", "start"
 
+class Knowledge:
+    """What the corpus says: ``never`` or ``ends`` by key, and the words that begin sentences."""
 
-def corpus_evidence(docs: DataFrame, text_col: str) -> DataFrame:
-    """The evidence of all texts, one row per kind and key."""
+    __slots__ = ("verdict", "starts")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            e = Evidence()
-            for t in b.column(0).to_pylist():
-                if t:
-                    e.add(t, units(t), corpus=True)
-            rows = [*e.rows()] or [("word", "", 0, 0, 0, 0, 0, 0)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k < 2 else pa.int64()) for k, c in enumerate(zip(*rows))], names=[x.split()[0] for x in EVIDENCE_SCHEMA.split(", ")])
-
-    ship(docs.sparkSession)
-    seen = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, EVIDENCE_SCHEMA)
-    return seen.groupBy("kind", "key").agg(*[F.sum(c).alias(c) for c in ("n", "n_end", "n_small", "n_number", "n_open", "n_name")])
-
-
-def decisive(evidence: DataFrame) -> DataFrame:
-    """``key, verdict`` of the keys whose corpus evidence decides something.
-
-    ``never``: its stop doesn't end a sentence; ``maybe``: an abbreviation that can end one; ``start``: a word
-    that begins sentences. A word is an abbreviation if at least 3 in 10 of its stops stand before a small letter or a
-    number, or if it is short, at least 3 in 10 of its stops stand before a name (a word that has its capital inside a
-    sentence of the same text too), and it (almost) never ends a paragraph or text. That shows only where ends could be expected:
-    counted are texts that have any, and at the corpus' share of ends ``EXPECTED_ENDS`` of the word's stops there should be
-    ends. However common a word is, without names after it the corpus makes no abbreviation of it. A single letter (with the
-    word before it) is ``maybe`` if it ends paragraphs. All other bounds are shares of the key's own occurrences.
-    """
-    n, end = F.col("n"), F.col("n_end")
-    continued = (F.col("n_small") + F.col("n_number")) * 10 >= n * 3
-    whole = evidence.filter("kind = 'word'").agg(F.sum("n_end"), F.sum("n_open")).first()
-    expected = F.col("n_open") * F.lit(float(whole[0] or 0) / max(whole[1] or 0, 1))
-    short = (F.length("key") <= 6) & (F.col("n_name") * 10 >= n * 3) & (expected >= EXPECTED_ENDS) & (end * 10 < expected)
-    ends = end * 100 >= n
-    word = F.when((F.col("kind") == "word") & F.col("key").rlike(_ABBREVIATION) & (continued | (short & ~ends)), F.when(ends, MAYBE).otherwise(NEVER))
-    letter = F.when((F.col("kind") == "letter") & ends, MAYBE)
-    known = evidence.select("key", F.coalesce(word, letter).alias("verdict")).filter("verdict IS NOT NULL")
-    starts = evidence.filter("kind = 'start' AND n >= 2").select("key", "n")
-    after = evidence.filter("kind = 'after'").select("key", F.col("n").alias("m"))
-    begin = starts.join(after, "key", "left").filter(F.col("m").isNull() | (F.col("n") * 50 >= F.col("m"))).select("key", F.lit(START).alias("verdict"))
-    return known.unionByName(begin)
+    def __init__(self, rows: list[tuple[str, str, str]] = ()):  # type: ignore[assignment]
+        self.verdict = {k: v for kind, k, v in rows if kind == WORD}
+        self.starts = {k for kind, k, _ in rows if kind == FIRST}
 
 
-class Knowledge:
-    """What the corpus says: verdicts by key."""
+class _Document:
+    """A document's own evidence, with the corpus' behind it."""
 
-    def __init__(self, rows: list[tuple[str, str]] = ()):  # type: ignore[assignment]
-        self.verdict = {k: v for k, v in rows if v != START}
-        self.starts = {k for k, v in rows if v == START}
+    def __init__(self, starts: list[str], keys: list[str], words: list[str], bits: list[int], know: Knowledge):
+        self.starts, self.know = starts, know
+        self.ending = {k for k, x in zip(keys, bits) if x & BLANK}
+        # A name with a small first letter that begins sentences shows nothing of the word before it.
+        self.continued = {k for k, w, x in zip(keys, words, bits) if x & 3 == SMALL and w not in know.starts}
 
+    def begins(self, word: str) -> bool:
+        return word in self.starts or word in self.know.starts
 
-# ---------------------------------------------------------------- splitting
+    def never_ends(self, key: str, following: str, bits: int) -> bool:
+        """Before the word ``following``, that before the stop doesn't end a sentence: as the document shows, then the corpus, then the lists."""
+        if key in self.ending:
+            return False
+        known = self.know.verdict.get(key)
+        if known:
+            return known == NEVER
+        before, _, word = key.rpartition(" ")
+        if bits & LETTER:
+            return before not in LETTER_NOUNS and (bool(bits & CAPITAL) or word not in MAY_END or before.endswith("."))
+        if word == "#":
+            return before in GERMAN_BEFORE_ORDINAL and following[:1].isalpha() or following.casefold() in MONTHS
+        if word in MAY_END:
+            return False
+        return bool(bits & SHORT) and key in self.continued or word in BEFORE_NAMES or word in BEFORE_NUMBERS
+
+    def is_end(self, key: str, word: str, bits: int) -> bool:
+        rule = bits & JOINED
+        if rule != STOP:  # a call before a small letter, or a stop joined to the next word
+            return self.begins(word)
+        if bits & LOW:
+            return self.begins(word) and not (key and self.never_ends(key, word, bits))
+        if not self.never_ends(key, word, bits):
+            return True
+        if bits & CAPITAL:  # an initial, or the last word of a sentence
+            return bool(bits & NEXT_CAPITAL) and word in self.starts and word in self.know.starts
+        return key in BEFORE_NUMBERS and key not in self.know.verdict and not bits & NUMBERED
+
+
+def closed(starts: list[str], places: list[int], keys: list[str], words: list[str], bits: list[int], know: Knowledge) -> list[int]:
+    """The numbers of the open places of a text where no sentence ends."""
+    own = None
+    out = []
+    for p, k, w, x in zip(places, keys, words, bits):
+        if p >= 0:
+            own = own or _Document(starts, keys, words, bits, know)
+            if not own.is_end(k, w, x):
+                out.append(p)
+    return out
 
 
 class Splitter:
-    """Splits documents, with the knowledge of a corpus."""
+    """Splits single texts, with the knowledge of a corpus."""
 
     def __init__(self, knowledge: Knowledge):
         self.know = knowledge
 
     def __call__(self, text: str) -> list[tuple[int, int]]:
         """Start and end of every sentence, by code points, end exclusive, without outer white space."""
-        found = units(text)
-        listed = [[*marks(text, body, b)] for _, body, b, _, _ in found]
-        self.own = Evidence()
-        self.own.add(text, found, self.know.starts, listed)
-        out: list[tuple[int, int]] = []
-        for (a, body, b, _, _), own in zip(found, listed):
-            begin = a
-            for end in self._ends(text, body, b, own):
-                _put(out, text, begin, end)
-                begin = end
-            _put(out, text, begin, b)
+        x = Scan(text)
+        no = {*closed(x.starts, x.places, x.keys, x.words, x.bits, self.know)}
+        out, begin = [], x.first
+        for k, (end, after) in enumerate(zip(x.ends, x.nexts)):
+            if k not in no:
+                if begin < end:
+                    out.append((begin, end))
+                begin = after
         return out
 
-    def _ends(self, text: str, a: int, b: int, listed: list[Mark]) -> list[int]:
-        ends = []
-        begin = a
-        for x in listed:
-            if x.last or x.inside:
-                continue
-            if self._is_end(text, x, begin):
-                ends.append(x.end)
-                begin = x.end
-        if not text.isascii() and _THAI.search(text, a, b):
-            ends = sorted({*ends, *(m.start() for m in _THAI.finditer(text, a, b))})
-        return ends
-
-    def _starts(self, word: str) -> bool:
-        """The word can begin a sentence: it does so elsewhere in this document, or in the corpus."""
-        return word in self.own.starts or word in self.know.starts or (word[:1].islower() and any(c.isupper() for c in word))
-
-    def _is_end(self, text: str, x: Mark, begin: int) -> bool:
-        ch = text[x.end]
-        if ch in ",，、;；:：":
-            return False
-        if x.opened is not None and text[x.opened] in QUOTES:
-            return self._after_quote(text, x, begin)
-        if any(c in HARD for c in x.run):
-            if x.run == "．" and x.start and text[x.start - 1].isdigit() and ch.isdigit():
-                return False
-            return True
-        if "!" in x.run or "?" in x.run:
-            if not x.gap:
-                return x.next.isupper() or _is_caseless(x.next) or bool(x.skipped)
-            return not self._goes_on(text, x)
-        if x.run != ".":  # an ellipsis
-            return x.gap and (x.next.isupper() or x.next.isdigit()) and not (x.skipped[:1] in "—–-" and x.skipped)
-        return self._stop_ends(text, x)
-
-    def _goes_on(self, text: str, x: Mark) -> bool:
-        word = x.next_word(text)
-        return _lowers(word) and not self._starts(word) or x.next.islower() and bool(x.skipped.strip()) and x.skipped.strip()[0] in "—–-"
-
-    def _after_quote(self, text: str, x: Mark, begin: int) -> bool:
-        said = text[x.opened + 1 : x.start]
-        if any(_is_caseless(c) for c in said):
-            # No capitals to go by: what was announced by a colon or comma is complete, else the speaker follows.
-            k = x.opened
-            while k > begin and text[k - 1].isspace():
-                k -= 1
-            return k > begin and text[k - 1] in INTRODUCES
-        if not x.gap:
-            return x.next.isupper() or bool(x.skipped)
-        return not self._goes_on(text, x)
-
-    def _state(self, x: Mark) -> str | None:
-        """How the word before the stop is used: never an end, maybe one, or (None) like any word."""
-        if len(x.chunk) == 1 and x.chunk.isalpha():
-            key = f"{x.before} {x.chunk}"
-            if self.own.letters[key][1] or self.know.verdict.get(key) == MAYBE or x.before in LETTER_NOUNS:
-                return None
-            if not x.chunk.isupper():
-                return MAYBE if x.word in MAY_END and not x.before.endswith(".") else NEVER
-            return NEVER
-        own = self.own.words.get(x.word)
-        known = self.know.verdict.get(x.word)
-        if own and own[1]:  # it ends a paragraph here
-            return MAYBE if known or own[2] else None
-        if known:
-            return MAYBE if x.word in MAY_END else known
-        if x.word in MAY_END:
-            return MAYBE
-        if x.word in BEFORE_NAMES or x.word in BEFORE_NUMBERS:
-            return NEVER
-        if own and own[2] and len(x.chunk) <= 6 and not any(c.isdigit() for c in x.chunk):
-            return NEVER
-        return None
-
-    def _stop_ends(self, text: str, x: Mark) -> bool:
-        before = text[x.start - 1] if x.start else ""
-        if not x.chunk:
-            return x.gap and not _lowers(x.next_word(text))
-        if not x.gap:
-            return self._joined(text, x, before)
-        if "\u0e00" <= before <= "\u0e7f":
-            return False
-        if _DEVANAGARI.search(x.chunk):
-            return sum(c.isalpha() for c in x.chunk) > 3
-        word, state = x.next_word(text), self._state(x)
-        if _lowers(word):
-            return self._starts(word) and state != NEVER and not x.skipped.strip("\"“„«‹([{¿¡ ")
-        if state == NEVER:
-            if len(x.chunk) == 1 and x.chunk.isupper() and x.next.isupper() and word in self.own.starts and not self._is_name(word):
-                return True
-            if x.word in BEFORE_NUMBERS and x.word not in self.know.verdict and not (x.next.isdigit() or x.next.isupper() and any(c.isdigit() for c in word)):
-                return True
-            return False
-        if x.chunk.isdigit() and len(x.chunk) <= 2 and (x.before in GERMAN_BEFORE_ORDINAL and x.next.isalpha() or word.casefold() in MONTHS):
-            return False
-        return True
 
-    def _is_name(self, word: str) -> bool:
-        return word not in self.know.starts
+# ---------------------------------------------------------------- evidence of the corpus
 
-    def _joined(self, text: str, x: Mark, before: str) -> bool:
-        """A stop with no space after it: an end only between whole words, never within numbers, files and names."""
-        ch = x.next
-        if not x.skipped and _is_caseless(ch) and _is_caseless(before) and not "\u0e00" <= before <= "\u0e7f":
-            return True
-        if not ch.isupper() or "/" in x.chunk or "@" in x.chunk:
-            return False
-        if x.skipped or x.end > x.start + 1:  # a quotation or bracket opens, or one is closed
-            return bool(x.skipped) is False or x.chunk.isalnum()
-        return self._starts(x.next_word(text))
+ODDS = 1_000
+RARELY = 20  # an abbreviation before names ends paragraphs that much more rarely than other words
+EVIDENCE = ("n", "n_end", "n_small", "n_number", "n_title", "n_open")
 
 
-def _put(out: list, text: str, a: int, b: int) -> None:
-    while a < b and text[a] in WHITE_SPACE:
-        a += 1
-    while b > a and text[b - 1] in WHITE_SPACE:
-        b -= 1
-    if a < b:
-        out.append((a, b))
+def corpus_evidence(scanned: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of all scans: counts per word before a stop and next word, per word that begins a paragraph, and per number without a stop."""
+    m = scanned.select("__has_end", F.explode(F.arrays_zip("__keys", "__words", "__bits")).alias("m")).select("__has_end", F.col("m.__keys").alias("key"), F.col("m.__words").alias("next"), F.col("m.__bits").alias("bits"))
+    what, rule = F.col("bits").bitwiseAND(3), F.col("bits").bitwiseAND(JOINED)
+    count = lambda c: F.sum(c.cast("int")).alias
+    stops = m.filter((rule == 0) | (rule == STOP))
+    pairs = stops.groupBy("key", "next").agg(F.count(F.lit(1)).alias("n"), count(what == AT_END)("n_end"), count(what == SMALL)("n_small"), count(what == NUMBER)("n_number"), count(F.col("bits").bitwiseAND(TITLE) > 0)("n_title"), count(F.col("__has_end"))("n_open"))
+    starts, bare = (scanned.select(F.explode(c).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")) for c in ("__starts", "__bare"))
+    return pairs, starts, bare
 
 
-# ---------------------------------------------------------------- over tables
+def decisive(pairs: DataFrame, starts: DataFrame, bare: DataFrame) -> DataFrame:
+    """``kind, key, verdict, n`` of the keys whose corpus evidence decides something.
 
-SENTENCE_SCHEMA = "sentence_no int, start_at int, end_at int"
+    ``ends``: a letter, or a word that is short or an abbreviation, whose stops end a paragraph or text in at least 1 of 100 cases. ``never``: an
+    abbreviation that doesn't. A word is one if at least 3 in 10 of its stops stand before a small letter or a number; a short word also if at
+    least 3 in 10 of its stops stand in the middle of a sentence after its capital (a title), at least half of them before words that begin no
+    sentences, and it is ``ODDS`` times likelier that it ends paragraphs ``RARELY`` times more rarely than other words than that it is one of
+    these. Counted for that are texts that have any such end. A short number with the word before it is judged like a title if it (almost)
+    always has its stop (an ordinal). ``start``: a word that begins paragraphs at least once for 50 times that it follows a stop.
+    """
+    after = pairs.filter("next <> ''").groupBy("next").agg(F.sum("n").alias("m"))
+    first = starts.join(after, starts["key"] == after["next"], "left").filter(F.col("m").isNull() | (F.col("n") * 50 >= F.col("m")))
+    first = materialize(first.select(F.lit(FIRST).alias("kind"), "key", F.lit(START).alias("verdict"), (F.col("n") + F.coalesce("m", F.lit(0))).alias("n")), "first-words")
+
+    words = first.select(F.col("key").alias("next"))
+    small = words.filter(F.col("next").rlike(r"^\p{Ll}"))  # names with a small first letter that begin sentences: a stop before one shows nothing
+    no_sign = pairs.filter("n_small > 0").join(small, "next", "left_semi").groupBy("key").agg(F.sum("n_small").alias("n_begun"))
+    sums = pairs.filter("key <> ''").groupBy("key").agg(*[F.sum(c).alias(c) for c in EVIDENCE]).join(no_sign, "key", "left")
+    keys = materialize(sums.withColumn("n_small", F.col("n_small") - F.coalesce("n_begun", F.lit(0))).drop("n_begun"), "stops")
+    n, end = F.col("n"), F.col("n_end")
+    is_word, is_number = F.col("key").rlike(_ABBREVIATION), F.col("key").rlike(r" #$")
+    brief = is_number | is_word & (F.length("key") <= SHORT_WORD)
+    whole = keys.filter(~F.contains("key", F.lit(" "))).agg(F.sum("n_end"), F.sum("n_open")).first()
+    share = min(0.99, max(1e-6, float(whole[0] or 0) / max(whole[1] or 0, 1)))
+    odds = F.lit(-math.log(RARELY)) * F.least(end, "n_open") + F.lit(math.log((1 - share / RARELY) / (1 - share))) * (F.col("n_open") - F.least(end, "n_open"))
+    maybe = keys.filter(brief & (odds >= math.log(ODDS))).select("key")
+    named = pairs.filter("next <> '' AND n_small + n_number < n").join(maybe, "key").join(words, "next", "left_anti").groupBy("key").agg(F.sum("n").alias("n_name"))
+    judged = keys.join(named, "key", "left").withColumn("named", F.coalesce(F.col("n_name") * 2 >= n, F.lit(False)))
+    judged = judged.join(bare.select("key", F.col("n").alias("n_bare")), "key", "left")
+    title = F.when(is_number, F.coalesce("n_bare", F.lit(0)) * 10 <= n).otherwise(F.col("n_title") * 10 >= n * 3)
+    short = F.col("named") & title | is_word & ((F.col("n_small") + F.col("n_number")) * 10 >= n * 3)
+    can_end = end * 100 >= n
+    is_letter = F.contains("key", F.lit(" ")) & ~is_number
+    verdict = F.when(can_end & (brief | is_letter | short), ENDS).when(short & ~can_end, NEVER)
+    return judged.select(F.lit(WORD).alias("kind"), "key", verdict.alias("verdict"), "n").filter("verdict IS NOT NULL").unionByName(first)
 
 
-def _emit(b: pa.RecordBatch, keep: list[int], places: list[list[tuple[int, int]]]) -> pa.RecordBatch:
-    counts = [len(p) for p in places]
-    row = np.repeat(np.arange(len(places)), counts)
-    flat = [xy for p in places for xy in p]
-    numbers = [k + 1 for n in counts for k in range(n)]
-    at = pa.array(row, pa.int64())
-    return pa.RecordBatch.from_arrays(
-        [*(b.column(i).take(at) for i in keep), pa.array(numbers, pa.int32()), pa.array([x for x, _ in flat], pa.int32()), pa.array([y for _, y in flat], pa.int32())],
-        names=[*(b.schema.names[i] for i in keep), *(c.split()[0] for c in SENTENCE_SCHEMA.split(", "))],
-    )
+# ---------------------------------------------------------------- over tables
+
+SCAN_SCHEMA = "__first int, __ends array<int>, __nexts array<int>, __places array<int>, __keys array<string>, __words array<string>, __bits array<int>, __starts array<string>, __bare array<string>, __has_end boolean"
+SENTENCE_SCHEMA = "sentence_no int, start_at int, end_at int"
+SCAN_ROWS = 1_000
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _lists(values: list[list], kind: pa.DataType) -> pa.Array:
+    offsets = np.zeros(len(values) + 1, dtype=np.int32)
+    np.cumsum([len(v) for v in values], out=offsets[1:])
+    return pa.ListArray.from_arrays(offsets, pa.array([*chain.from_iterable(values)], kind))
+
+
+def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    nothing = Scan("")
+    for whole in batches:
+        for at in range(0, whole.num_rows, SCAN_ROWS):
+            b = whole.slice(at, SCAN_ROWS)
+            t = b.schema.names.index("__text")
+            found = [Scan(x) if x else nothing for x in b.column(t).to_pylist()]
+            lists = [_lists([getattr(x, name) for x in found], kind) for name, kind in (("ends", pa.int32()), ("nexts", pa.int32()), ("places", pa.int32()), ("keys", pa.string()), ("words", pa.string()), ("bits", pa.int32()), ("starts", pa.string()), ("bare", pa.string()))]
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(i) for i in range(b.num_columns) if i != t), pa.array([x.first for x in found], pa.int32()), *lists, pa.array([x.has_end for x in found], pa.bool_())],
+                names=[*(n for n in b.schema.names if n != "__text"), *_names(SCAN_SCHEMA)],
+            )
+
+
+def _pieces(column: pa.Array) -> Callable[[int], list]:
+    """The list of each row of a list column, as Python values."""
+    offsets, values = column.offsets.to_pylist(), column.values.to_pylist()
+    return lambda r: values[offsets[r] : offsets[r + 1]]
+
+
+def _spans(b: pa.RecordBatch, dropped: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, number, start and end of every sentence of a batch of scans, less the ``dropped`` (row, number in ``__ends``)."""
+    ends, nexts = (b.column(b.schema.names.index(n)) for n in ("__ends", "__nexts"))
+    counts = np.diff(ends.offsets.to_numpy())
+    base = np.concatenate(([0], np.cumsum(counts)))
+    at, after = ends.flatten().to_numpy(), nexts.flatten().to_numpy()
+    kept = np.ones(len(at), dtype=bool)
+    kept[[base[r] + p for r, p in dropped]] = False
+    row, at, after = np.repeat(np.arange(b.num_rows), counts)[kept], at[kept], after[kept]
+    opens = np.ones(len(row), dtype=bool)
+    opens[1:] = row[1:] != row[:-1]
+    begin = np.empty_like(at)
+    begin[1:] = after[:-1]
+    begin[opens] = b.column(b.schema.names.index("__first")).to_numpy()[row[opens]]
+    there = begin < at
+    row, begin, at = row[there], begin[there], at[there]
+    index = np.arange(len(row))
+    opens = np.ones(len(row), dtype=bool)
+    opens[1:] = row[1:] != row[:-1]
+    number = index - np.maximum.accumulate(np.where(opens, index, 0)) + 1 if len(row) else index
+    return row, number, begin, at
 
 
 def sentences(docs: DataFrame, id_cols: list[str], text_col: str, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
@@ -535,49 +611,85 @@ def sentences(docs: DataFrame, id_cols: list[str], text_col: str, broadcast_keys
 
     Places count code points from 0, end exclusive, without outer white space; ``sentence_no`` counts from 1.
     Null, empty and blank texts have no sentences. Texts are split whole, whatever their length. Equal
-    rows give equal rows. Other columns are ignored.
+    rows give equal rows. Other columns are ignored. A run of more than ``LONGEST`` characters without a space is no word.
+
+    The verdicts of the ``broadcast_keys`` most frequent keys are broadcast; those of all others come to the
+    scans that hold their keys by a join on the key, in which no key has more than ``1 / broadcast_keys`` of the rows.
     """
     spark = docs.sparkSession
     ship(spark)
-    table = materialize(decisive(materialize(corpus_evidence(docs, text_col), "evidence")), "verdicts")
-    rows = docs.select(*[F.col(c) for c in id_cols], F.col(text_col).cast("string").alias("__text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "__text")
-    if table.count() <= broadcast_keys:
-        shared = spark.sparkContext.broadcast([(r[0], r[1]) for r in table.collect()])
-    else:
-        shared = None
-        rows = _with_knowledge(rows, table)
+    ids = [F.col(c).alias(f"__id_{k}") for k, c in enumerate(id_cols)]
+    rows = docs.select(*ids, F.monotonically_increasing_id().alias("__row"), F.col(text_col).cast("string").alias("__text"))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "__text"]
+    scanned = materialize(rows.mapInArrow(_scan, ", ".join([*fields, SCAN_SCHEMA])), "scans")
+    pairs, starts, bare = corpus_evidence(scanned)
+    table = materialize(decisive(materialize(pairs, "pairs"), starts, bare), "verdicts")
+    many = table.count() > broadcast_keys
+    hot = table.orderBy(F.desc("n"), "kind", "key").limit(broadcast_keys) if many else table
+    shared = spark.sparkContext.broadcast([tuple(r) for r in hot.select("kind", "key", "verdict").collect()])
+    scanned = _with_rare(scanned, table, broadcast_keys) if many else scanned.withColumn("__known", F.lit(None).cast("array<struct<kind:string,key:string,verdict:string>>"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = Splitter(Knowledge(shared.value)) if shared is not None else None
-        for b in batches:
-            names = b.schema.names
-            at = names.index("__text")
-            texts = b.column(at).to_pylist()
-            if split is not None:
-                places = [split(t) if t else [] for t in texts]
-            else:
-                known = b.column(names.index("__known")).to_pylist()
-                places = [Splitter(Knowledge([(r["key"], r["verdict"]) for r in k or []]))(t) if t else [] for t, k in zip(texts, known)]
-            yield _emit(b, [i for i, n in enumerate(names) if n not in ("__text", "__known")], places)
-
-    return rows.mapInArrow(run, f"{fields}, {SENTENCE_SCHEMA}")
-
-
-def _with_knowledge(rows: DataFrame, table: DataFrame) -> DataFrame:
-    """Add to each text the verdicts of the keys that it contains: a join on keys, gathered per text, never all in one place."""
-
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        know = Knowledge(shared.value)
         for b in batches:
-            out: list[tuple[str, str]] = []
-            for t in b.column(0).to_pylist():
-                if t:
-                    e = Evidence()
-                    e.add(t, units(t))
-                    after = {x.next_word(t) for a, s, z, _, _ in units(t) for x in marks(t, s, z) if not x.last}
-                    out += [(t, k) for k in {*e.words, *e.letters, *e.starts, *after} if k]
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.string()), pa.array([y for _, y in out], pa.string())], names=["text", "key"])
-
-    found = rows.select("__text").mapInArrow(keys, "text string, key string").select(F.sha2("text", 256).alias("__sha"), "key").distinct()
-    known = found.join(table, "key").groupBy("__sha").agg(F.collect_list(F.struct("key", "verdict")).alias("__known"))
-    return rows.withColumn("__sha", F.sha2("__text", 256)).join(known, "__sha", "left").drop("__sha")
+            columns = dict(zip(b.schema.names, b.columns))
+            known = columns["__known"].to_pylist() if columns["__known"].null_count < b.num_rows else [None] * b.num_rows
+            places, keys, words, bits, begins = (_pieces(columns[f"__{n}"]) for n in ("places", "keys", "words", "bits", "starts"))
+            dropped = []
+            for r, more in enumerate(known):
+                at = places(r)
+                if at:
+                    own = _joined(know, more) if more else know
+                    dropped += [(r, p) for p in closed(begins(r), at, keys(r), words(r), bits(r), own)]
+            row, number, begin, end = _spans(b, dropped)
+            take = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(columns[f"__id_{k}"].take(take) for k in range(len(id_cols))), pa.array(number, pa.int32()), pa.array(begin, pa.int32()), pa.array(end, pa.int32())], names=[*id_cols, *_names(SENTENCE_SCHEMA)])
+
+    out = ", ".join(f"`{c}` {docs.select(c).schema[0].dataType.simpleString()}" for c in id_cols)
+    return scanned.drop("__row", "__has_end", "__bare").mapInArrow(run, f"{out}, {SENTENCE_SCHEMA}")
+
+
+def _joined(know: Knowledge, more: list[dict]) -> Knowledge:
+    """The shared knowledge and what one text has beside it."""
+    own = Knowledge([(r["kind"], r["key"], r["verdict"]) for r in more])
+    own.verdict = _Both(own.verdict, know.verdict)
+    own.starts = _Either(own.starts, know.starts)
+    return own
+
+
+class _Both(dict):
+    """A text's own few verdicts before the shared ones."""
+
+    def __init__(self, own: dict, shared: dict):
+        super().__init__(own)
+        self.shared = shared
+
+    def get(self, key: str, default: str | None = None) -> str | None:
+        return super().get(key) or self.shared.get(key, default)
+
+    def __contains__(self, key: object) -> bool:
+        return super().__contains__(key) or key in self.shared
+
+
+class _Either(set):
+    """A text's own few first words and the shared ones."""
+
+    def __init__(self, own: set, shared: set):
+        super().__init__(own)
+        self.shared = shared
+
+    def __contains__(self, key: object) -> bool:
+        return super().__contains__(key) or key in self.shared
+
+
+def _with_rare(scanned: DataFrame, table: DataFrame, broadcast_keys: int) -> DataFrame:
+    """Add to each scan the verdicts of its keys that aren't among the most frequent; only keys and row numbers are shuffled."""
+    last = table.orderBy(F.desc("n"), "kind", "key").limit(broadcast_keys).orderBy("n", F.desc("kind"), F.desc("key")).first() if broadcast_keys else None
+    rare = table
+    if last is not None:
+        n, kind, key = F.lit(last["n"]), F.lit(last["kind"]), F.lit(last["key"])
+        rare = table.filter((F.col("n") < n) | (F.col("n") == n) & ((F.col("kind") > kind) | (F.col("kind") == kind) & (F.col("key") > key)))
+    tagged = lambda c, kind: F.transform(c, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("key")))
+    held = scanned.select("__row", F.explode(F.array_distinct(F.concat(tagged("__keys", WORD), tagged("__words", FIRST)))).alias("k")).select("__row", "k.kind", "k.key").filter("key <> ''")
+    found = held.join(rare.select("kind", "key", "verdict"), ["kind", "key"]).groupBy("__row").agg(F.collect_list(F.struct("kind", "key", "verdict")).alias("__known"))
+    return scanned.join(found, "__row", "left")

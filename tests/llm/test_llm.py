@@ -191,11 +191,12 @@ def test_running_sum(spark):
 
 
 def _split(text, corpus=()):
-    e = sentences.Evidence()
-    for t in corpus:
-        e.add(t, sentences.units(t))
-    s = sentences.Splitter(sentences.Knowledge([(k, sentences.START) for k, n in e.starts.items() if n >= 2]))
-    return [text[a:b] for a, b in s(text)]
+    starts, after = Counter(), Counter()
+    for x in map(sentences.Scan, corpus):
+        starts.update(x.starts)
+        after.update(w for w, b in zip(x.words, x.bits) if b & sentences.JOINED in (0, sentences.STOP))
+    know = [(sentences.FIRST, k, sentences.START) for k, n in starts.items() if n * 50 >= after[k]]
+    return [text[a:b] for a, b in sentences.Splitter(sentences.Knowledge(know))(text)]
 
 
 @pytest.mark.parametrize(
@@ -293,15 +294,68 @@ def test_the_corpus_shows_abbreviations_before_names(spark):
     assert got.count() == 200
 
 
+def _places(spark, rows, **more):
+    got = sentences.sentences(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"], "text", **more)
+    return sorted((r.doc_id, r.start_at, r.end_at) for r in got.collect())
+
+
+def test_a_larger_corpus_splits_the_same(spark):
+    from tallyloom.plans.tables import read
+
+    texts = [r.text for r in read(spark, "/root/testdata/sf0.001", "documents").collect()]
+    texts += ["zorptool v1 ran.", "It ended. zorptool ran.", "See Tab. Lund. It fell.", "Ask Zx. Lund now. Lund left."]
+    n = len(texts)
+    once = _places(spark, [*enumerate(texts)])
+    many = _places(spark, [(k + n * copy, t) for copy in range(3) for k, t in enumerate(texts)])
+    assert many == sorted((d + n * copy, a, b) for copy in range(3) for d, a, b in once)
+    assert [(a, b) for d, a, b in once if d == n - 3] == [(0, 9), (10, 23)]
+
+
+def test_more_keys_than_are_broadcast(spark):
+    # 60,000 words that begin sentences and as many abbreviations; one is in every text.
+    def word(k, ending=""):
+        return "".join(chr(97 + int(d)) for d in f"{k:05d}") + ending
+
+    rows = [(k, f"The qq. of {word(k, 'z')} fell. {word(k)} ran {word(k, 'x')}. of it.\n\n{word(k)} ended. Then {word(k)} rose. {word(k)} fell, see {word(k, 'x')}. Lund.") for k in range(60_000)]
+    want = [["The qq. of", "fell."], ["ran", "of it."], ["ended."], ["Then", "rose."], ["fell, see", "Lund."]]
+    got = sentences.sentences(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), ["doc_id"], "text")
+    texts = dict(rows)
+    found = {}
+    for r in got.collect():
+        found.setdefault(r.doc_id, []).append((r.start_at, texts[r.doc_id][r.start_at : r.end_at]))
+    assert len(found) == len(rows)
+    for places in found.values():
+        parts = [t for _, t in sorted(places)]
+        assert len(parts) == 5 and all(p.startswith(w[0]) or w[0] in p for p, w in zip(parts, want)) and all(p.endswith(w[-1]) for p, w in zip(parts, want)), parts
+
+
+def test_the_order_is_document_corpus_lists(spark):
+    # "dr" is listed as an abbreviation; this corpus shows that it ends sentences, and one document does.
+    doctor = [(k, "She saw a dr. We saw another dr.\n\nThey like the dr.") for k in range(50)]
+    assert len(_places(spark, doctor)) == 150
+    assert len(_split("She saw a dr. We left.")) == 1  # nothing known: the list
+    assert len(_split("She saw a dr. We left. He saw the dr.\n\nAll is well.")) == 4  # the document
+    assert len(_split("The qx. of A fell. See qx. Lund today.")) == 2
+
+
+def test_runs_without_spaces(spark):
+    import time
+
+    for part in ("A.B.", "A.", "x.Y", "。A.", "A!B", "«A.» ", "1.A"):
+        t = time.time()
+        sentences.Splitter(sentences.Knowledge())(part * 100_000)
+        assert time.time() - t < 20, part
+
+
 def test_sentence_table_both_ways(spark):
     texts = ["Ask Dr. Velkin. He left.", "", None, "  \n\n", "beadcall ran.\n\nbeadcall ended. beadcall ran.", "One.\n\n" * 50 + "x" * 100_000 + ". End."]
     rows = [(k, t, 1) for k, t in enumerate(texts)] + [(0, texts[0], 1), (None, "A bee. C dee.", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, start_at int")
     results = []
-    for bound in (10_000, 0):
+    for bound in (10_000, 3, 0):
         got = sentences.sentences(df, ["doc_id"], "text", broadcast_keys=bound)
         results.append(sorted((repr(r.doc_id), r.sentence_no, r.start_at, r.end_at) for r in got.collect()))
-    assert results[0] == results[1]
+    assert results[0] == results[1] == results[2]
     assert [r[2:] for r in results[0] if r[0] == "None"] == [(0, 6), (7, 13)]
     assert sum(r[0] == "0" for r in results[0]) == 4
     assert sentences.sentences(df.limit(0), ["doc_id"], "text").collect() == []
