@@ -10,7 +10,8 @@ leaves is shared by the others in proportion to their weights.
 Both running sums (tokens of a source, tokens of the mix) are taken over ranges: rows are split into
 ranges of their order, the sums of the ranges (a bounded number) are accumulated first, and each
 range then adds up only its own rows. A source with a third of all rows is spread like any other.
-The ranges are computed from the row, not sampled, so a task that runs again gives the same result.
+The ranges are computed from the row, not sampled, so a task that runs again gives the same result. At the end the mix is
+range-sorted by its order as a whole.
 """
 
 from __future__ import annotations
@@ -24,20 +25,21 @@ from ..session import materialize, parallelism
 
 MAX_SOURCES = 10_000
 RANGES_PER_TASK = 4
+SUM_ROWS = 1_000_000
 
 
 def running_sum(rows: DataFrame, lanes: list[str], range_no: str, order: list[str], value: str, out: str) -> DataFrame:
     """Add ``out``: the sum of ``value`` over a lane's rows up to and including this one.
 
     ``range_no`` is a whole number that rises with the order; within a range, ``order`` sorts. The sums
-    of the ranges are one row per lane and range; the broadcast of them is bounded by lanes x ranges,
-    which the caller chooses.
+    of the ranges are one row per lane and range; up to ``SUM_ROWS`` of them are broadcast, more are joined.
     """
-    sums = rows.groupBy(*lanes, range_no).agg(F.sum(value).alias("__own"))
+    sums = materialize(rows.groupBy(*lanes, range_no).agg(F.sum(value).alias("__own")), "range-sums")
+    few = sums.limit(SUM_ROWS + 1).count() <= SUM_ROWS
     before = sums.select(*lanes, range_no, (F.sum("__own").over(Window.partitionBy(*lanes).orderBy(range_no)) - F.col("__own")).alias("__before"))
     within = Window.partitionBy(*lanes, range_no).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     summed = rows.withColumn("__within", F.sum(value).over(within))
-    return summed.join(F.broadcast(before), [*lanes, range_no]).withColumn(out, F.col("__before") + F.col("__within")).drop("__before", "__within")
+    return summed.join(F.broadcast(before) if few else before, [*lanes, range_no]).withColumn(out, F.col("__before") + F.col("__within")).drop("__before", "__within")
 
 
 def source_sizes(docs: DataFrame, targets: DataFrame, source: str, size: str) -> list[dict]:
@@ -105,16 +107,16 @@ def mix(docs: DataFrame, targets: DataFrame, doc_id: str = "doc_id", source: str
     # Virtual time passes with the tokens of the mix, so equal steps of it are ranges of about equal size.
     ranged = timed.filter(F.col("finish_time") <= F.lit(end)).withColumn("__range", F.floor(F.col("finish_time") / F.lit(end) * ranges).cast("int"))
     ranged = ranged.select("doc_id", "source", "copy_no", "n_tokens", "finish_time", "__turn", "__range", F.lit(0).alias("__lane"))
-    merged = running_sum(ranged, ["__lane"], "__range", ["finish_time", "source", "copy_no", "__turn", "doc_id", "n_tokens"], "n_tokens", "mix_end")
+    order = ["finish_time", "source", "copy_no", "__turn", "doc_id", "n_tokens"]
+    merged = running_sum(ranged, ["__lane"], "__range", order, "n_tokens", "mix_end")
     cut = merged.filter(F.col("mix_end") <= F.lit(budget))
-    return cut.select("doc_id", "source", "copy_no", "n_tokens", "finish_time", "mix_end"), sizes
+    return cut.orderBy(*order).select("doc_id", "source", "copy_no", "n_tokens", "finish_time", "mix_end"), sizes
 
 
 def report(mixed: DataFrame, sizes: list[dict]) -> DataFrame:
     """One row per listed source: what it has, its target, and what the mix really holds of it.
 
-    ``is_exhausted``: all of its copies are in the mix; ``is_short``: below its target, which
-    all of its copies together wouldn't reach.
+    ``is_exhausted``: all of its copies are in the mix; ``is_short``: all of its copies are in the mix and it is below its target.
     """
     got = mixed.groupBy("source").agg(F.count(F.lit(1)).alias("mix_docs"), F.sum("n_tokens").alias("mix_tokens"), F.max("copy_no").alias("max_copy"))
     schema = "source string, weight double, max_repeats int, n_docs bigint, tokens bigint, capacity bigint, target_tokens double"
@@ -123,4 +125,4 @@ def report(mixed: DataFrame, sizes: list[dict]) -> DataFrame:
     total = F.sum("mix_tokens").over(Window.partitionBy())
     out = listed.join(got, "source", "left").fillna(0, ["mix_docs", "mix_tokens", "max_copy"])  # at most MAX_SOURCES rows
     out = out.withColumn("share", F.try_divide("mix_tokens", total)).withColumn("is_exhausted", F.col("mix_tokens") >= F.col("capacity"))
-    return out.withColumn("is_short", (F.col("capacity") < F.col("target_tokens")) & (F.col("mix_tokens") < F.col("target_tokens")))
+    return out.withColumn("is_short", F.col("is_exhausted") & (F.col("mix_tokens") < F.col("target_tokens")))

@@ -53,13 +53,13 @@ _COMMON = {"gene": ("1/2", "cell_label"), "cell_label": ("1/4", "gene")}
 
 def p5_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every gene its molecules and cell labels, for every cell label its molecules and genes, with a verdict."""
-    pairs = termfreq.weighted_tokens(newest_molecules(spark, sf_dir), {"cell_label": F.col("cell_label"), "gene": F.col("gene")})
+    molecules = materialize(newest_molecules(spark, sf_dir).select("cell_label", "gene").dropna(), "molecules")
     both = F.array(
         F.struct(F.lit("gene").alias("key_kind"), F.col("gene").alias("key_value"), F.col("cell_label").alias("record")),
         F.struct(F.lit("cell_label").alias("key_kind"), F.col("cell_label").alias("key_value"), F.col("gene").alias("record")),
     )
-    tokens = pairs.select(F.explode(both).alias("t"), "weight").select("t.*", "weight")
-    counts = materialize(termfreq.term_counts(tokens, "key_kind", "key_value", "record", "weight"), "term-counts")
+    tokens = molecules.select(F.explode(both).alias("t")).select("t.*")
+    counts = materialize(termfreq.term_counts(tokens, "key_kind", "key_value", "record"), "term-counts")
     return termfreq.mark(counts, "key_kind", _RARE, _COMMON).withColumnRenamed("occurrences", "n_molecules")
 
 

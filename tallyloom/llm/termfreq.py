@@ -2,43 +2,51 @@
 
 Method: last-seen counters. Tokens are hash-partitioned by term and ordered by record within it; a
 scan keeps for each term its occurrences, its records and the record seen last, and adds to the
-records only when the record changes. No set of records is held for any term.
+records only when the record changes. No set of records is held for any term. Tokens reach the scan as they occur,
+repeated ones too.
 
-A term with a third of all tokens would fill one task. So a term's tokens are split by a hash of the
-record: all tokens of one (term, record) pair stay together, and the counters of the splits add up.
-``weighted_tokens`` makes equal (term, record) tokens one weighted token by an aggregate with its own shuffle; of such
-tokens the scan meets each record of a term once. It is not needed for right counts.
+A term with a third of all tokens would fill one task. So the tokens of a heavy term, one with more than a task's equal share of all tokens,
+are split by a hash of the record into as many parts as it has shares: all tokens of one (term, record) pair stay together, and the
+counters of the parts add up. There are fewer heavy terms than tasks, which bounds their list.
 """
 
 from __future__ import annotations
 
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SPLITS = 64
+from ..session import materialize, parallelism
 
 
-def weighted_tokens(rows: DataFrame, by: dict[str, Column]) -> DataFrame:
-    """Distinct tokens with their number ``weight``, combined in each task before they are shuffled.
+def heavy_terms(tokens: DataFrame, kind: str, term: str, tasks: int) -> list[tuple[str, str, int]]:
+    """``kind, term, parts`` of the terms with more than ``1 / tasks`` of all tokens; there are fewer than ``tasks``."""
+    counts = materialize(tokens.groupBy(kind, term).agg(F.count(F.lit(1)).alias("n")), "token-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return [(r[0], r[1], -(-r[2] * tasks // total)) for r in counts.filter(F.col("n") * F.lit(tasks) > F.lit(total)).collect()]
 
-    Rows with a null in any of the columns are dropped.
-    """
-    kept = rows.select(*[c.alias(k) for k, c in by.items()]).dropna()
-    return kept.groupBy(*by).agg(F.count(F.lit(1)).alias("weight"))
+
+def laid_out(tokens: DataFrame, kind: str, term: str, record: str, tasks: int) -> DataFrame:
+    """``kind, term, record, __part``: the tokens as the scan meets them, partitioned by term and, for heavy terms, by part."""
+    kept = tokens.select(F.col(kind).cast("string").alias(kind), F.col(term).cast("string").alias(term), record).dropna()
+    heavy = tokens.sparkSession.createDataFrame(heavy_terms(kept, kind, term, tasks), "__kind string, __term string, __parts int")
+    joined = kept.join(F.broadcast(heavy), (F.col(kind) == F.col("__kind")) & (F.col(term) == F.col("__term")), "left")
+    part = F.pmod(F.xxhash64(record), F.coalesce("__parts", F.lit(1))).alias("__part")
+    return joined.select(kind, term, record, part).repartition(kind, term, "__part")
 
 
-def term_counts(tokens: DataFrame, kind: str, term: str, record: str, weight: str, splits: int = SPLITS) -> DataFrame:
-    """``kind, term, occurrences, n_records`` from weighted tokens, by last-seen counters.
+def term_counts(tokens: DataFrame, kind: str, term: str, record: str, tasks: int | None = None) -> DataFrame:
+    """``kind, term, occurrences, n_records`` from tokens, by last-seen counters.
 
-    ``kind`` separates vocabularies counted in one pass. The tokens may repeat in any way.
+    ``kind`` separates vocabularies counted in one pass. A row is one token; the tokens may repeat in any way. Tokens with a null kind, term or
+    record don't count; an empty text is a term. No tokens give no rows. Other columns are ignored. The tokens are read twice, so they
+    should be cheap to read.
     """
-    split = F.pmod(F.xxhash64(record), F.lit(splits)).alias("__split")
-    laid = tokens.select(kind, term, record, weight, split).repartition(kind, term, "__split")
-    scan = Window.partitionBy(kind, term, "__split").orderBy(record)
+    laid = laid_out(tokens, kind, term, record, tasks or parallelism(tokens.sparkSession))
+    scan = Window.partitionBy(kind, term, "__part").orderBy(record)
     seen = laid.withColumn("__new", F.when(F.lag(record).over(scan).eqNullSafe(F.col(record)), 0).otherwise(1))
-    parts = seen.groupBy(kind, term, "__split").agg(F.sum(weight).alias("occurrences"), F.sum("__new").alias("n_records"))
+    parts = seen.groupBy(kind, term, "__part").agg(F.count(F.lit(1)).alias("occurrences"), F.sum("__new").alias("n_records"))
     return parts.groupBy(kind, term).agg(F.sum("occurrences").alias("occurrences"), F.sum("n_records").alias("n_records"))
 
 

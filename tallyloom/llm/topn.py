@@ -1,14 +1,12 @@
 """The N best items of every group, with a total order, when some groups are huge.
 
-Method: hot-cold split. Exact group counts (a partial aggregate, one state per group and task) tell
-the heavy groups. Light groups are hashed to their task and ranked by an ordinary window. Heavy
-groups are range-partitioned by their sort order, with a salt that also splits ties, so that one
-group spreads over many tasks; each task keeps the first N of its range before anything is shuffled
-again, and a last window ranks those few. Both parts are united.
-
-The heavy groups are the ``HEAVY_SPLIT`` largest of those with at least ``LEAST_HEAVY`` rows. That bounds
-the list that is broadcast, whatever the data; a light group has fewer rows than ``LEAST_HEAVY`` or, as
-so many groups are larger, at most ``1 / HEAVY_SPLIT`` of all rows, about one task's share.
+Method: hot-cold split. The first row of every item of a group is found once, spread by group and item, and written. Exact counts
+of these (a partial aggregate, one state per group and task) tell the heavy groups. Light groups are ranked by an ordinary
+window. Heavy groups are range-partitioned by their sort order, with a salt that also splits ties, so that one
+group spreads over many tasks; each task keeps the first N of its range, and a last window ranks those few. Both parts are united.
+
+A group is heavy if it has more rows than a task's equal share of all rows. So there are fewer heavy groups than tasks,
+which bounds their list, and a light group fits into a task, whatever the data.
 """
 
 from __future__ import annotations
@@ -16,47 +14,48 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HEAVY_SPLIT = 2_000
-LEAST_HEAVY = 5_000
+from ..session import materialize, parallelism
 
 
-def heavy_groups(rows: DataFrame, group: str, split: int = HEAVY_SPLIT, least: int = LEAST_HEAVY) -> list:
-    """The ``split`` largest groups of at least ``least`` rows, by exact counts.
+def heavy_groups(rows: DataFrame, group: str, tasks: int) -> list:
+    """The groups with more than ``1 / tasks`` of all rows, by exact counts, largest first; there are fewer than ``tasks``."""
+    counts = materialize(rows.groupBy(group).agg(F.count(F.lit(1)).alias("n")), "group-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return [r[0] for r in counts.filter(F.col("n") * F.lit(tasks) > F.lit(total)).orderBy(F.desc("n"), group).collect()]
 
-    A group that isn't among them has fewer than ``least`` rows, or at most ``1 / split`` of all rows.
-    """
-    counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
-    return [r[0] for r in counts.orderBy(F.desc("n"), group).limit(split).collect()]
 
+def _ranked(rows: DataFrame, by: list[str], order: list[Column], n: int, out: str = "rank_no") -> DataFrame:
+    return rows.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col(out) <= n)
 
-def _ranked(rows: DataFrame, group: str, order: list[Column], n: int) -> DataFrame:
-    return rows.withColumn("rank_no", F.row_number().over(Window.partitionBy(group).orderBy(*order))).filter(F.col("rank_no") <= n)
 
+def first_of_ranges(rows: DataFrame, group: str, order: list[Column], n: int) -> DataFrame:
+    """The first ``n`` rows of each group in each partition of ``rows``.
 
-def _first_of_item(rows: DataFrame, group: str, item: str, order: list[Column]) -> DataFrame:
-    w = Window.partitionBy(group, item).orderBy(*order)
-    return rows.withColumn("__k", F.row_number().over(w)).filter(F.col("__k") == 1).drop("__k")
+    Spark does that itself below the next shuffle, as a limit of each group, but only up to a set ``n``. Beyond it the partitions are
+    ranked by a window of their own.
+    """
+    if n <= int(rows.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        return rows
+    numbered = rows.withColumn("__range_no", F.spark_partition_id())
+    return _ranked(numbered, ["__range_no", group], order, n, "__range_rank").drop("__range_no", "__range_rank")
 
 
-def top_n(rows: DataFrame, group: str, item: str, order: list[Column], n: int, split: int = HEAVY_SPLIT, least: int = LEAST_HEAVY, tasks: int | None = None) -> DataFrame:
+def top_n(rows: DataFrame, group: str, item: str, order: list[Column], n: int, tasks: int | None = None) -> DataFrame:
     """``rows`` restricted to the first ``n`` items of each group, with ``rank_no`` from 1.
 
     ``order`` sorts the rows of a group and must end with ``item``, so that equal scores have one
     order; an item with several rows counts once, by its first row. Groups with fewer items keep all
     of them. Rows with a null group or item are dropped; an empty input gives no rows; equal rows
-    count once. ``tasks`` is how many ranges the heavy groups are spread over.
+    count once. ``tasks`` is how many parts the rows are meant to be spread over, by default the shuffle partitions.
     """
+    tasks = tasks or parallelism(rows.sparkSession)
     rows = rows.filter(F.col(group).isNotNull() & F.col(item).isNotNull())
-    hot = heavy_groups(rows, group, split, least)
+    once = materialize(_ranked(rows, [group, item], order, 1, "__k").drop("__k"), "first-of-item")
+    hot = heavy_groups(once, group, tasks)
     is_hot = F.col(group).isin(hot) if hot else F.lit(False)
-    cold = rows.filter(~is_hot).repartition(group)
-    best = _ranked(_first_of_item(cold, group, item, order), group, order, n)
+    best = _ranked(once.filter(~is_hot), [group], order, n)
     if not hot:
         return best
-    # Repeated items meet first: each task keeps one row per item, then one shuffle by (group, item).
-    once = _first_of_item(rows.filter(is_hot), group, item, order)
-    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(1024))
-    spread = [F.col(group), *order, salt]
-    ranges = once.repartitionByRange(tasks, *spread) if tasks else once.repartitionByRange(*spread)
-    # The rank filter is pushed below the next shuffle: every range passes on its own first n rows only.
-    return best.unionByName(_ranked(ranges, group, order, n))
+    salt = F.pmod(F.xxhash64(*once.columns), F.lit(1024))
+    ranges = once.filter(is_hot).repartitionByRange(tasks, F.col(group), *order, salt)
+    return best.unionByName(_ranked(first_of_ranges(ranges, group, order, n), [group], order, n))

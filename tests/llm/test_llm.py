@@ -29,24 +29,43 @@ def _top_by_hand(rows, n):
     return {(g, r, i) for g, items in groups.items() for r, (_, i) in enumerate(sorted(items)[:n], 1)}
 
 
-@pytest.mark.parametrize("least", [1, 40, 10_000])
-def test_top_n(spark, least):
-    rnd = random.Random(least)
+@pytest.mark.parametrize("tasks", [1, 5, 1000])
+def test_top_n(spark, tasks):
+    rnd = random.Random(tasks)
     names = [None, "hot", "hot", "hot", "warm", *[f"g{i}" for i in range(30)]]
     rows = [(rnd.choice(names), rnd.choice([None, *[f"i{k}" for k in range(25)]]), float(rnd.randrange(6)), rnd.choice([None, 0.5, 1.5])) for _ in range(3000)]
     rows += rows[:50]
     df = spark.createDataFrame(rows, "g string, i string, s double, e double")
     order = [F.desc("s"), F.asc_nulls_last("e"), F.asc("i")]
-    got = topn.top_n(df, "g", "i", order, 3, least=least, split=5, tasks=7)
+    got = topn.top_n(df, "g", "i", order, 3, tasks=tasks)
     mine = [(r.g, r.rank_no, r.i) for r in got.collect()]
     assert len(mine) == len({*mine}) and {*mine} == _top_by_hand(rows, 3)
-    assert topn.top_n(df.limit(0), "g", "i", order, 3, least=least).collect() == []
+    assert topn.top_n(df.limit(0), "g", "i", order, 3, tasks=tasks).collect() == []
 
 
 def test_heavy_groups_are_bounded(spark):
-    df = spark.createDataFrame([(i % 10,) for i in range(1000)], "g int")
-    assert topn.heavy_groups(df, "g", split=4, least=1) == [0, 1, 2, 3]
-    assert topn.heavy_groups(df, "g", split=4, least=101) == []
+    df = spark.createDataFrame([(i % 10 if i < 900 else 77,) for i in range(1000)], "g int")
+    assert topn.heavy_groups(df, "g", 9) == []
+    assert topn.heavy_groups(df, "g", 10) == []
+    assert topn.heavy_groups(df, "g", 11) == [77]
+    assert topn.heavy_groups(df, "g", 12) == [77, *range(10)]
+    assert topn.heavy_groups(df.limit(0), "g", 4) == []
+
+
+@pytest.mark.parametrize("n", [3, 1500])
+def test_a_group_of_half_the_rows_stays_split(spark, n):
+    # No task of the last window may get more than the first n of every range.
+    df = spark.range(40_000).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 997)).alias("g"), F.col("id").cast("string").alias("i"), (F.col("id") % 5000).cast("double").alias("s"))
+    order = [F.desc("s"), F.asc("i")]
+    hot = df.filter("g = 'hot'")
+    ranges = hot.repartitionByRange(8, "g", *order)
+    assert topn.first_of_ranges(ranges, "g", order, n).count() == (20_000 if n == 3 else 12_000)  # 8 ranges of 2,500 rows, cut to 1,500 each
+    got = topn.top_n(df, "g", "i", order, n, tasks=8)
+    if n == 3:
+        assert "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString()
+    want = sorted(((-(k % 5000)), str(k)) for k in range(0, 40_000, 2))[:n]
+    assert [r.i for r in got.filter("g = 'hot'").orderBy("rank_no").collect()] == [i for _, i in want]
+    assert got.filter("g <> 'hot'").count() == sum(min(n, c) for c in Counter(k % 997 for k in range(1, 40_000, 2)).values())
 
 
 # ---------------------------------------------------------------- 5: terms
@@ -56,20 +75,23 @@ def test_term_counts(spark):
     rnd = random.Random(3)
     rows = [(rnd.choice([None, "t", "t", "t", "u", "v", ""]), rnd.choice([None, *[f"r{k}" for k in range(40)]])) for _ in range(2000)] + [("once", "r1")]
     df = spark.createDataFrame(rows, "term string, record string")
-    pairs = termfreq.weighted_tokens(df, {"term": F.col("term"), "record": F.col("record")}).withColumn("kind", F.lit("k"))
     n, records = Counter(), defaultdict(set)
     for t, r in rows:
         if t is not None and r is not None:
             n[t] += 1
             records[t].add(r)
     want = {t: (n[t], len(records[t])) for t in n}
-    for tokens in (pairs, pairs.union(pairs.limit(0)), df.dropna().withColumn("kind", F.lit("k")).withColumn("weight", F.lit(1))):
-        for splits in (1, 8):
-            got = termfreq.term_counts(tokens, "kind", "term", "record", "weight", splits)
-            assert {r.term: (r.occurrences, r.n_records) for r in got.collect()} == want
-    marked = termfreq.mark(termfreq.term_counts(pairs, "kind", "term", "record", "weight"), "kind", {"k": 2}, {"k": ("1/2", "k")})
+    tokens = df.withColumn("kind", F.lit("k"))
+    for tasks in (1, 4, 100):
+        got = termfreq.term_counts(tokens, "kind", "term", "record", tasks)
+        assert {r.term: (r.occurrences, r.n_records) for r in got.collect()} == want
+        laid = termfreq.laid_out(tokens, "kind", "term", "record", tasks)
+        assert laid.count() == sum(n.values()) > laid.distinct().count()  # repeated tokens reach the scan
+    parts = {r.term: r.parts for r in laid.groupBy("term").agg(F.countDistinct("__part").alias("parts")).collect()}
+    assert parts["once"] == 1 and parts["t"] > 20  # a heavy term is split
+    marked = termfreq.mark(termfreq.term_counts(tokens, "kind", "term", "record"), "kind", {"k": 2}, {"k": ("1/2", "k")})
     assert {r.term: r.verdict for r in marked.collect()} == {t: "rare" if len(records[t]) < 2 else "common" if len(records[t]) * 2 > len(want) else None for t in want}
-    assert termfreq.mark(termfreq.term_counts(pairs.limit(0), "kind", "term", "record", "weight"), "kind", {"k": 2}, {"k": ("1/2", "k")}).collect() == []
+    assert termfreq.mark(termfreq.term_counts(tokens.limit(0), "kind", "term", "record"), "kind", {"k": 2}, {"k": ("1/2", "k")}).collect() == []
 
 
 # ---------------------------------------------------------------- 6: encoding
@@ -176,7 +198,9 @@ def test_mix_of_nothing(spark):
     assert mixed.collect() == [] and mixing.report(mixed, sizes).collect() == []
 
 
-def test_running_sum(spark):
+@pytest.mark.parametrize("few", [0, 1000])
+def test_running_sum(spark, few, monkeypatch):
+    monkeypatch.setattr(mixing, "SUM_ROWS", few)
     rnd = random.Random(9)
     rows = [(rnd.choice("xy"), k, rnd.randrange(10)) for k in range(500)]
     df = spark.createDataFrame(rows, "lane string, at int, v long").withColumn("part", F.floor(F.col("at") / 60).cast("int"))
@@ -367,7 +391,7 @@ def test_sentence_table_both_ways(spark):
 def test_clashing_names(spark):
     rows = [("g", "a", 1.0, None, 7, 7), ("g", "b", 2.0, None, 7, 7)]
     df = spark.createDataFrame(rows, "g string, i string, s double, e double, rank_no int, __k int")
-    got = topn.top_n(df, "g", "i", [F.desc("s"), F.asc("i")], 1, least=1)
+    got = topn.top_n(df, "g", "i", [F.desc("s"), F.asc("i")], 1, tasks=9)
     assert [(r.i, r.rank_no) for r in got.collect()] == [("b", 1)]
     docs = spark.createDataFrame([(1, "a", 5, 1, 1.0, 1)], "doc_id long, source string, n_tokens long, copy_no int, weight double, tokens int")
     targets = spark.createDataFrame([("a", 1.0, 2, 3)], "source string, weight double, max_repeats int, n_docs int")
@@ -377,7 +401,7 @@ def test_clashing_names(spark):
     assert sentences.sentences(texts, ["doc_id"], "text").count() == 2
     assert tokenize.encode(texts, ["doc_id"], "text", VOCABULARY).count() == 1
     terms = spark.createDataFrame([("t", "r", 1, "k")], "term string, record string, weight int, kind string")
-    assert termfreq.weighted_tokens(terms, {"term": F.col("term"), "record": F.col("record")}).first().weight == 1
+    assert termfreq.term_counts(terms, "kind", "term", "record").first().n_records == 1
 
 
 def test_mix_with_one_source_of_a_third_of_many_rows(spark):

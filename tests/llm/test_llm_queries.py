@@ -43,13 +43,38 @@ def test_short_sources(spark, library):
     assert {r.source for r in QUERIES["p7_found"](spark, SF).collect()} == want and want
 
 
-def test_mix_repeats_and_budget(spark):
+def test_mix_against_brute_force(spark, library):
+    from tallyloom.functions.text import WHITE_SPACE
+
     rows = QUERIES["p7_mix"](spark, SF).collect()
-    caps = {t.source: t.max_repeats for t in read(spark, SF, "mix_targets").collect()}
-    seen = {}
+    targets = {t.source: t for t in read(spark, SF, "mix_targets").collect()}
+    sizes, docs = {}, {}
+    for r in read(spark, SF, "documents").collect():
+        s = r.source.strip(WHITE_SPACE).lower() if r.source is not None else None
+        if s in targets:
+            docs.setdefault(s, []).append((r.doc_id, len(library(r.text))))
+            sizes[s] = sizes.get(s, 0) + docs[s][-1][1]
+    budget = sum(sizes.values())
+    # In order, each appearance once, copies up to the cap, sizes right, within the budget, short of it by less than a document.
+    assert [r.finish_time for r in rows] == sorted(r.finish_time for r in rows)
+    seen, own, total = {}, {}, 0
     for r in rows:
-        seen.setdefault((r.source, r.doc_id), set()).add(r.copy_no)
-    assert all(max(v) <= caps[s] and len(v) == max(v) for (s, _), v in seen.items())
+        seen.setdefault((r.source, r.doc_id), []).append(r.copy_no)
+        own[r.source] = own.get(r.source, 0) + r.n_tokens
+        total += r.n_tokens
+        assert r.mix_end == total and (r.doc_id, r.n_tokens) in docs[r.source]
+        assert abs(r.finish_time * targets[r.source].weight - own[r.source]) < 1e-6 * own[r.source] + 1e-9
+    assert all(sorted(v) == [*range(1, len(v) + 1)] and len(v) <= targets[s].max_repeats for (s, _), v in seen.items())
+    largest = max(n for d in docs.values() for _, n in d)
+    assert budget - largest < total <= budget
+    # Whoever isn't exhausted has its share of the virtual time that has passed.
+    end = rows[-1].finish_time
+    shares = {r.source: r for r in QUERIES["p7_shares"](spark, SF).collect()}
+    for s, t in targets.items():
+        capacity = sizes.get(s, 0) * t.max_repeats
+        assert shares[s].mix_tokens == own.get(s, 0) and abs(shares[s].share - own.get(s, 0) / total) < 1e-9
+        assert own.get(s, 0) <= min(capacity, t.weight * end + 1e-6) and own.get(s, 0) > min(capacity, t.weight * end) - largest - 1
+        assert shares[s].is_exhausted == (own.get(s, 0) == capacity)
 
 
 def test_sentences_cover_the_documents(spark):
