@@ -1,9 +1,10 @@
 """Entity-attribute-value rows to one typed row per entity.
 
 Method: the rows are partitioned by attribute into typed narrow tables ``(entity, values...)``, each
-in its own part of one written table, so that a narrow table reads only its own rows. The narrow
-tables are then combined pairwise in a balanced tree of full outer joins on the entity: a value
-passes through log2(attributes) joins instead of up to as many as there are attributes.
+in its own part of one written table, so that a narrow table reads only its own rows. A spine of the distinct entities and all
+narrow tables are co-partitioned by the entity: each is shuffled by it once. Groups of narrow tables are joined to the spine by
+left outer joins, which keep the spine's partitioning and order, and the groups meet pairwise on the spine in a balanced tree. Since
+every entity of a narrow table is in the spine, the result is that of full outer joins, but no joined row is shuffled again.
 
 An entity with very many rows doesn't unbalance the joins: after the newest version of every
 (entity, attribute) is chosen by an aggregate, an entity has one row in each narrow table.
@@ -21,7 +22,12 @@ from ..session import materialize
 from .latest import latest_by
 
 MAX_ATTRIBUTES = 500
-PLAN_TABLES = 8
+PLAN_TABLES = 32
+GROUP_TABLES = 8
+
+
+def _named(attribute: str, value: str) -> str:
+    return f"{attribute}_{value}"
 
 
 def narrow_rows(df: DataFrame, entity: Column, attribute: Column, stamp: Column, values: dict[str, Column]) -> DataFrame:
@@ -33,43 +39,73 @@ def attributes_of(narrow: DataFrame, limit: int = MAX_ATTRIBUTES) -> list[str]:
     """The attributes that occur, in code point order. They become columns, so more than ``limit`` is an error."""
     found = sorted(r[0] for r in narrow.select("attribute").distinct().limit(limit + 1).collect())
     if len(found) > limit:
-        raise ValueError(f"more than {limit} attributes: wide tables of so many columns aren't readable; filter or block them")
+        raise ValueError(f"more than {limit} attributes: so many columns make no readable table; use `blocks`, which gives several tables")
     return found
 
 
-def balanced_outer_join(tables: list[DataFrame], key: str, plan_tables: int = PLAN_TABLES) -> DataFrame:
-    """Full outer join of all tables on ``key``, pairwise, level by level.
+def _cuts(n: int, most: int) -> list[tuple[int, int]]:
+    """``range(n)`` in the fewest parts of at most ``most``, about equally long."""
+    parts = max(1, -(-n // most))
+    at = [n * i // parts for i in range(parts + 1)]
+    return [*zip(at, at[1:])]
+
 
-    One plan joins at most ``plan_tables`` tables. Of more, equally large groups are joined and written first, so that
-    plans stay small however many tables there are, and a lost executor costs one group's work.
+def joined_on_spine(spine: DataFrame, tables: list[DataFrame], key: str, plan_tables: int = PLAN_TABLES, group_tables: int = GROUP_TABLES) -> DataFrame:
+    """One row for each of ``spine``'s distinct keys with the columns of all ``tables``, null where a table lacks the key.
+
+    Groups of ``group_tables`` are joined to the spine, and the groups pairwise. One plan joins at most ``plan_tables`` tables. Of more, equally
+    large parts are joined and written first, so that plans stay small however many tables there are, and a lost executor costs one part's work.
     """
     while len(tables) > plan_tables:
-        n = -(-len(tables) // plan_tables)
-        cuts = [len(tables) * i // n for i in range(n + 1)]
-        tables = [materialize(balanced_outer_join(tables[a:b], key, plan_tables), "joined") for a, b in zip(cuts, cuts[1:])]
-    while len(tables) > 1:
-        pairs = [tables[i : i + 2] for i in range(0, len(tables), 2)]
-        tables = [p[0].join(p[1], key, "full_outer") if len(p) == 2 else p[0] for p in pairs]
-    return tables[0]
+        tables = [materialize(joined_on_spine(spine, tables[a:b], key, plan_tables, group_tables), "joined") for a, b in _cuts(len(tables), plan_tables)]
+    groups = [reduce(lambda left, t: left.join(t, key, "left"), tables[a:b], spine) for a, b in _cuts(len(tables), group_tables)]
+    while len(groups) > 1:
+        pairs = [groups[i : i + 2] for i in range(0, len(groups), 2)]
+        groups = [p[0].join(p[1], key) if len(p) == 2 else p[0] for p in pairs]
+    return groups[0]
+
+
+def stored_narrow(narrow: DataFrame, values: dict[str, str], entity: str) -> DataFrame:
+    """The typed narrow tables as parts of one written table.
+
+    The rows are brought together by attribute before they are written, in files of even size whatever the attributes' sizes, so there
+    are about as many files as the data need and not tasks times attributes.
+    """
+    typed = narrow.select(F.col("entity").alias(entity), "attribute", *[F.col(v).try_cast(t).alias(v) for v, t in values.items()])
+    return materialize(typed.hint("rebalance", "attribute"), "narrow", partition_by=["attribute"])
 
 
-def widen(narrow: DataFrame, values: dict[str, str], column: Callable[[str, str], str] = lambda attribute, value: f"{attribute}_{value}", entity: str = "entity", limit: int = MAX_ATTRIBUTES, plan_tables: int = PLAN_TABLES) -> DataFrame:
+def _wide(stored: DataFrame, spine: DataFrame, names: list[str], values: dict[str, str], column: Callable[[str, str], str], entity: str, plan_tables: int) -> DataFrame:
+    tables = [stored.filter(F.col("attribute") == a).select(entity, *[F.col(v).alias(column(a, v)) for v in values]) for a in names]
+    return joined_on_spine(spine, tables, entity, plan_tables)
+
+
+def widen(narrow: DataFrame, values: dict[str, str], column: Callable[[str, str], str] = _named, entity: str = "entity", limit: int = MAX_ATTRIBUTES, plan_tables: int = PLAN_TABLES) -> DataFrame:
     """One row per entity with a column for each attribute and value, of the types in ``values``.
 
     ``narrow`` is what ``narrow_rows`` gives. A value that doesn't fit its type is null, as is a missing
     one. An entity all of whose values are null still has its row. An empty input gives only the
     entity column. ``column`` names the columns; they are ordered by attribute.
     """
-    typed = narrow.select(F.col("entity").alias(entity), "attribute", *[F.col(v).try_cast(t).alias(v) for v, t in values.items()])
-    stored = materialize(typed, "narrow", partition_by=["attribute"])
+    stored = stored_narrow(narrow, values, entity)
     names = attributes_of(stored, limit)
     if not names:
         return stored.select(entity)
-    tables = [stored.filter(F.col("attribute") == a).select(entity, *[F.col(v).alias(column(a, v)) for v in values]) for a in names]
-    return balanced_outer_join(tables, entity, plan_tables)
+    return _wide(stored, stored.select(entity).distinct(), names, values, column, entity, plan_tables)
+
+
+def blocks(narrow: DataFrame, values: dict[str, str], column: Callable[[str, str], str] = _named, entity: str = "entity", limit: int = MAX_ATTRIBUTES, plan_tables: int = PLAN_TABLES) -> list[tuple[list[str], DataFrame]]:
+    """Like ``widen`` for any number of attributes: several wide tables, each of at most ``limit`` attributes and with all entities.
+
+    Given are the attributes of each table and the table. The list of the attributes is held by the driver, as the names of columns are.
+    """
+    stored = stored_narrow(narrow, values, entity)
+    names = sorted(r[0] for r in stored.select("attribute").distinct().collect())
+    spine = materialize(stored.select(entity).distinct(), "entities")
+    return [(names[a:b], _wide(stored, spine, names[a:b], values, column, entity, plan_tables)) for a, b in _cuts(len(names), limit) if b > a]
 
 
-def filled(wide: DataFrame, entity: str, names: list[str], values: list[str], column: Callable[[str, str], str] = lambda attribute, value: f"{attribute}_{value}") -> DataFrame:
+def filled(wide: DataFrame, entity: str, names: list[str], values: list[str], column: Callable[[str, str], str] = _named) -> DataFrame:
     """``entity, attribute`` of the places of a wide table whose values are all given: the wide table read back."""
     if not names:
         return wide.select(entity, F.lit(None).cast("string").alias("attribute")).limit(0)

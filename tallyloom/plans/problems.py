@@ -98,12 +98,14 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _SQL_TAG = f"""lower({sql_strip(f"split_part({sql_strip('tag')}, '|', 1)")})"""
 
-SQL_P4 = f"""SELECT cell, tag FROM (
+SQL_TAGS = f"""SELECT cell, tag, CASE WHEN reads >= 0 THEN reads END AS reads, CASE WHEN raw_mols >= 0 THEN raw_mols END AS raw_mols FROM (
   SELECT cell, reads, raw_mols, 'SampleTag' || lpad(regexp_extract(t, '^sampletag([0-9]{{1,2}})_', 1), 2, '0') || '_' || regexp_extract(t, '_([a-z]+)$', 1) AS tag,
     row_number() OVER (PARTITION BY cell, regexp_replace(t, '^sampletag0?([0-9])_', 'sampletag0\\1_') ORDER BY loaded_at DESC NULLS LAST) AS k
   FROM (SELECT *, {_SQL_TAG} AS t FROM sample_tag_cell WHERE cell IS NOT NULL)
   WHERE regexp_full_match(t, 'sampletag[0-9]{{1,2}}_[a-z]+'))
-WHERE k = 1 AND reads >= 0 AND raw_mols >= 0"""
+WHERE k = 1"""
+
+SQL_P4_WIDE = f"""SELECT * FROM (PIVOT ({SQL_TAGS}) ON tag USING CAST(first(reads) AS INTEGER) AS reads, CAST(first(raw_mols) AS INTEGER) AS raw_mols GROUP BY cell)"""
 
 QUERIES = {
     "p1_found": p1_found,
@@ -120,5 +122,6 @@ QUERIES = {
 SQL = {
     "p1_found": f"{SQL_P1} SELECT key_kind, key_value FROM marked WHERE is_heavy",
     "p1_counts": f"{SQL_P1} SELECT * FROM marked",
-    "p4_found": SQL_P4,
+    "p4_found": f"SELECT cell, tag FROM ({SQL_TAGS}) WHERE reads IS NOT NULL AND raw_mols IS NOT NULL",
+    "p4_wide": SQL_P4_WIDE,
 }

@@ -261,5 +261,17 @@ def test_wide_edges(spark):
     assert _widen(df.limit(0)).columns == ["cell"]
     more = df.union(df.withColumn("tag", F.lit("b"))).union(df.withColumn("tag", F.lit("c.`d")))
     assert {r["cell"]: r["a b/=%_reads"] for r in _widen(more, plan_tables=2).collect()} == {1: 12, 2: None}
+    two = df.union(df.withColumn("tag", F.lit("b")))
     with pytest.raises(ValueError, match="more than 1 attributes"):
-        _widen(df.union(df.withColumn("tag", F.lit("b"))), limit=1)
+        _widen(two, limit=1)
+    rows = wide.narrow_rows(two, F.col("cell"), F.col("tag"), F.col("at"), {"reads": F.col("reads"), "mols": F.col("mols")})
+    parts = wide.blocks(rows, {"reads": "int", "mols": "int"}, entity="cell", limit=1)
+    assert [(names, t.columns, {r["cell"]: r[1] for r in t.collect()}) for names, t in parts] == [(["a b/=%"], ["cell", "a b/=%_reads", "a b/=%_mols"], {1: 12, 2: None}), (["b"], ["cell", "b_reads", "b_mols"], {1: 12, 2: None})]
+
+
+def test_wide_moves_each_row_once(spark):
+    df = spark.createDataFrame([(c, f"t{c * a % 19:02d}", a, a, T[0]) for c in range(200) for a in range(30)], "cell int, tag string, reads int, mols int, at timestamp")
+    w = _widen(df)
+    assert len(w.columns) == 39
+    plan = w._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 19 + 3  # each narrow table, and the spine once for each group
