@@ -70,7 +70,7 @@ _WORD = re.compile(r"[^\W_](?:[^\W_]|[-'’\xad](?=[^\W_]))*")
 _CHUNK_EDGE = "\"“”„‚‘’'«»‹›()[]{}（）「」『』【】—–-¿¡*#"
 _DEVANAGARI = re.compile(r"[ऀ-ॿ]")
 _LETTERS = re.compile(r"[^\W\d_][^\d_/@]*\Z")  # numbers, file names and the like are no abbreviations
-_BARE = re.compile(r"([^\W\d_]+) \d{1,2}(?=[\s,;:])")
+_BARE = re.compile(r" \d{1,2}(?=[\s,;:])")
 _ABBREVIATION = r"^[\p{L}\p{M}]+([.'’-][\p{L}\p{M}]+)*$"
 _PLAIN = frozenset("abcdefghijklmnopqrstuvwxyz0123456789_/\\@")  # no stop before one of these ends anything
 _LEADS = frozenset(OPENERS + "—–-")
@@ -195,7 +195,7 @@ class Scan:
         self.first, self.ends, self.nexts = -1, [], []
         self.places, self.keys, self.words, self.bits, self.starts = [], [], [], [], []
         found = units(text)
-        self.bare = [f"{m.group(1).casefold()} #" for m in _BARE.finditer(text)]
+        self.bare = [k for m in _BARE.finditer(text) if (k := _key_of_number(text, m.start()))]
         self.has_end = text.rstrip(WHITE_SPACE + CLOSERS).endswith(".") or any(u[4] for u in found)
         thai = not text.isascii() and _THAI.search(text) is not None
         paired = _PAIRED.search(text) is not None
@@ -231,8 +231,10 @@ class Scan:
 
     def _marks(self, text: str, a: int, b: int, blank: bool, pairs: dict[int, int]) -> None:
         opens = sorted(pairs.values())
-        closing = {o: c for c, o in pairs.items()}
-        reach = [*accumulate((closing[o] for o in opens), max)]  # how far what opened so far extends
+        if opens:
+            closing = {o: c for c, o in pairs.items()}
+            reach = [*accumulate((closing[o] for o in opens), max)]  # how far what opened so far extends
+        apart = any(text[c] in "»›" for c in pairs)  # a quotation may be closed after a space
         done = a  # what is before belongs to an earlier mark
         seen, start = a, a  # the chunk of the last mark looked at begins at `start`
         for m in _MARKS.finditer(text, a, b):
@@ -243,9 +245,12 @@ class Scan:
             stop = run == "."
             if stop and j < b and text[j] in _PLAIN:
                 continue
-            j, opened = _belongs(text, i, j, b, pairs)
-            done = j
-            k = _skip(text, j, b)
+            opened = None
+            if j < b and (apart or text[j] != " "):
+                j, opened = _belongs(text, i, j, b, pairs)
+            done = k = j
+            while k < b and text[k].isspace():
+                k += 1
             gap, last = k > j, k >= b
             inside = False
             if opens:
@@ -257,16 +262,19 @@ class Scan:
             while k < b and (text[k] in _LEADS or text[k].isspace()):
                 k += 1
             skipped, ch = text[lead:k], text[k] if k < b else ""
-            s = i
-            while s > seen and not text[s - 1].isspace():
-                s -= 1
+            s = text.rfind(" ", seen, i) + 1 or seen
+            piece = text[s:i]
+            if len(piece.split()) != 1 or piece[0].isspace() or piece[-1].isspace():  # other white space
+                s = i
+                while s > seen and not text[s - 1].isspace():
+                    s -= 1
             if s > seen or s == a or text[s - 1].isspace():
                 start = s
             seen = i
             chunk = text[max(start, i - LONGEST) : i].lstrip(_CHUNK_EDGE)
             m = _WORD.match(text, k)
             word = m.group() if m else ""
-            low = word[:1].islower() and not any(c.isupper() for c in word)
+            low = word.islower() and word[0].islower()  # no capital inside either, as names like mRNA have
             key, bits = "", 0
             if stop and chunk:
                 key, bits = _key(text, a, start, chunk)
@@ -310,13 +318,12 @@ class Scan:
                     k -= 1
                 return int(k > a and text[k - 1] in INTRODUCES)
             return _call(skipped, ch, low) if gap else int(ch.isupper() or bool(skipped))
-        if any(c in HARD for c in run):
-            return int(not (run == "．" and i and text[i - 1].isdigit() and after.isdigit()))
-        if "!" in run or "?" in run:
-            if not gap:
-                return int(ch.isupper() or _is_caseless(ch) or bool(skipped))
-            return _call(skipped, ch, low)
-        if run != ".":  # an ellipsis
+        if run != ".":
+            if any(c in HARD for c in run):
+                return int(not (run == "．" and i and text[i - 1].isdigit() and after.isdigit()))
+            if "!" in run or "?" in run:
+                return _call(skipped, ch, low) if gap else int(ch.isupper() or _is_caseless(ch) or bool(skipped))
+            # an ellipsis
             return int(gap and (ch.isupper() or ch.isdigit()) and skipped[:1] not in ("—", "–", "-"))
         if not chunk:
             return int(gap and not low)
@@ -333,7 +340,7 @@ class Scan:
             return JOINED
         if is_thai:
             return 0
-        if _DEVANAGARI.search(chunk):
+        if not chunk.isascii() and _DEVANAGARI.search(chunk):
             return int(sum(c.isalpha() for c in chunk) > 3)
         if low:
             return 0 if skipped.strip(_FREE) else STOP
@@ -358,8 +365,6 @@ def _belongs(text: str, i: int, j: int, b: int, pairs: dict[int, int]) -> tuple[
     opened = None
     while j < b:
         ch = text[j]
-        if ch == " " and not pairs:
-            break
         if ch in SOFT or ch in HARD:
             j += 1
         elif (ch in CLOSERS or ch == "“") and pairs.get(j, i) < i:
@@ -383,6 +388,14 @@ def _belongs(text: str, i: int, j: int, b: int, pairs: dict[int, int]) -> tuple[
     return j, opened
 
 
+def _key_of_number(text: str, at: int) -> str:
+    """The key of a number that follows the space at ``at``."""
+    s = at
+    while s and text[s - 1].isalpha() and at - s < LONGEST:
+        s -= 1
+    return f"{text[s:at].casefold()} #" if s < at else ""
+
+
 def _key(text: str, a: int, start: int, chunk: str) -> tuple[str, int]:
     """The key of the word before a stop, and its flags; nothing for numbers, file names and the like."""
     letter, number = len(chunk) == 1 and chunk.isalpha(), len(chunk) <= 2 and chunk.isdigit()
