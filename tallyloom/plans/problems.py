@@ -70,6 +70,68 @@ def p3_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shred.level_table(read(spark, sf_dir, "pyir_records"))
 
 
+_SQL_NUMBER = r"[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?"
+
+
+def _sql_text(path: str) -> str:
+    """A field of ``j`` that is a text and not blank, trimmed."""
+    return f"CASE WHEN json_type(j, '{path}') = 'VARCHAR' THEN nullif({sql_strip(f"json_extract_string(j, '{path}')")}, '') END"
+
+
+def _sql_number(path: str) -> str:
+    """A field of ``j`` that is a number, or a text that reads as one."""
+    t = sql_strip(f"json_extract_string(j, '{path}')")
+    numeric = f"json_type(j, '{path}') IN ('BIGINT', 'UBIGINT', 'HUGEINT', 'DOUBLE')"
+    return f"CASE WHEN {numeric} OR json_type(j, '{path}') = 'VARCHAR' AND regexp_full_match({t}, '{_SQL_NUMBER}') THEN try_cast({t} AS DOUBLE) END"
+
+
+def _sql_int(path: str) -> str:
+    x = _sql_number(path)
+    return f"CASE WHEN {x} = floor({x}) AND abs({x}) < 2147483648 THEN CAST({x} AS INTEGER) END"
+
+
+def _sql_child(of: str, name: str) -> str:
+    return f"""json_extract({of}, '$."' || {name} || '"')"""
+
+
+#: One payload a record; its objects outside arrays; the record among them; its Hits, decoded if they are held as text; a walk in document order that
+#: stops at each hit.
+SQL_RECORDS = f"""WITH RECURSIVE chosen AS (
+  SELECT record_id, arg_max(payload, struct_pack(a := CASE WHEN {sql_strip("payload")} LIKE '%}}' THEN 1 ELSE 0 END, b := coalesce(loaded_at, TIMESTAMP '0001-01-01'), c := payload)) AS payload
+  FROM pyir_records WHERE record_id IS NOT NULL AND payload IS NOT NULL GROUP BY record_id),
+parsed AS (SELECT record_id, CAST(payload AS JSON) AS j FROM chosen WHERE json_valid(payload)),
+objects AS (
+  SELECT record_id, 0 AS depth, '' AS place, j FROM parsed WHERE json_type(j) = 'OBJECT'
+  UNION ALL
+  SELECT record_id, depth + 1, place || lpad(CAST(k.i AS VARCHAR), 6, '0'), {_sql_child("j", "k.name")}
+  FROM objects, LATERAL (SELECT unnest(json_keys(j)) AS name, generate_subscripts(json_keys(j), 1) AS i) k WHERE json_type({_sql_child("j", "k.name")}) = 'OBJECT'),
+records AS (
+  SELECT record_id, arg_min(j, struct_pack(a := CASE WHEN list_contains(json_keys(j), 'Hits') THEN 0 ELSE 1 END, b := depth, c := place)) AS j
+  FROM objects WHERE list_contains(json_keys(j), 'Hits') OR list_contains(json_keys(j), 'Sequence ID') GROUP BY record_id),
+texts AS (
+  SELECT record_id, json_extract(j, '$.Hits') AS hits, 0 AS turn FROM records
+  UNION ALL SELECT record_id, CAST(json_extract_string(hits, '$') AS JSON), turn + 1 FROM texts WHERE json_type(hits) = 'VARCHAR' AND json_valid(json_extract_string(hits, '$'))),
+walk AS (
+  SELECT record_id, '' AS place, j, json_type(j) = 'OBJECT' AND list_contains(json_keys(j), 'gene') AS is_hit
+  FROM (SELECT record_id, arg_max(hits, turn) AS j FROM texts GROUP BY record_id) WHERE json_type(j) IN ('OBJECT', 'ARRAY')
+  UNION ALL
+  SELECT record_id, place || lpad(CAST(c.i AS VARCHAR), 6, '0'), c.j, json_type(c.j) = 'OBJECT' AND list_contains(json_keys(c.j), 'gene')
+  FROM walk, LATERAL (
+    SELECT unnest(CASE WHEN json_type(walk.j) = 'ARRAY' THEN CAST(walk.j AS JSON[]) ELSE list_transform(json_keys(walk.j), lambda k: {_sql_child("walk.j", "k")}) END) AS j,
+      unnest(range(CASE WHEN json_type(walk.j) = 'ARRAY' THEN CAST(json_array_length(walk.j) AS BIGINT) ELSE len(json_keys(walk.j)) END)) AS i) c
+  WHERE NOT is_hit AND json_type(c.j) IN ('OBJECT', 'ARRAY')),
+hits AS (SELECT record_id, CAST(row_number() OVER (PARTITION BY record_id ORDER BY place) AS INTEGER) AS hit_no, j FROM walk WHERE is_hit),
+hit_table AS (
+  SELECT record_id, hit_no, {_sql_text("$.gene")} AS gene, {_sql_number("$.bit_score")} AS bit_score, {_sql_number("$.e_value")} AS e_value, {_sql_text("$.gene_type")} AS gene_type,
+    {_sql_number("$.percent_identity")} AS percent_identity, {_sql_text("$.percent_fraction")} AS percent_fraction, {_sql_int("$.alignment_start")} AS alignment_start, {_sql_int("$.alignment_end")} AS alignment_end
+  FROM hits),
+record_table AS (
+  SELECT record_id, c.record_id = r.record_id IS TRUE AS is_complete, {_sql_text('$."Sequence ID"')} AS sequence_id, {_sql_int('$."Sequence Length"')} AS sequence_length, {_sql_text('$."Domain Classification"')} AS domain,
+    {_sql_text('$."Chain type"')} AS chain_type, {_sql_text("$.Productive")} AS productive, {_sql_text("$.CDR3.NT")} AS cdr3_nt, {_sql_int('$.CDR3.Quality."Lowest Phred"')} AS lowest_phred,
+    CAST(coalesce(n, 0) AS INTEGER) AS n_hits
+  FROM chosen c LEFT JOIN records r USING (record_id) LEFT JOIN (SELECT record_id, count(*) AS n FROM hits GROUP BY record_id) USING (record_id))"""
+
+
 # ------------------------------------------------------- 4: attribute-value rows to wide tables
 
 _TAG_VALUES = {"reads": "int", "raw_mols": "int"}
@@ -122,6 +184,9 @@ QUERIES = {
 SQL = {
     "p1_found": f"{SQL_P1} SELECT key_kind, key_value FROM marked WHERE is_heavy",
     "p1_counts": f"{SQL_P1} SELECT * FROM marked",
+    "p3_found": f"{SQL_RECORDS} SELECT record_id, hit_no, gene FROM hit_table WHERE gene IS NOT NULL AND bit_score IS NOT NULL",
+    "p3_hits": f"{SQL_RECORDS} SELECT h.*, sequence_id FROM hit_table h JOIN record_table USING (record_id)",
+    "p3_records": f"{SQL_RECORDS} SELECT * FROM record_table",
     "p4_found": f"SELECT cell, tag FROM ({SQL_TAGS}) WHERE reads IS NOT NULL AND raw_mols IS NOT NULL",
     "p4_wide": SQL_P4_WIDE,
 }
