@@ -111,9 +111,10 @@ def correct_substitutions(molecules: DataFrame, keys: list[str], umi: str = "umi
     """
     ship(molecules.sparkSession)
     clean = molecules.select(*keys, F.col(umi).alias("umi"), F.col(reads).cast("bigint").alias("raw_reads")).dropna().groupBy(*keys, "umi").agg(F.sum("raw_reads").alias("raw_reads"))
+    clean = materialize(clean, "molecule-reads")
     pairs = neighbour_pairs(clean, keys, "umi")
     touched = pairs.select(*keys, F.explode(F.array("umi_a", "umi_b")).alias("umi")).distinct()
-    marked = clean.join(touched.withColumn("__near", F.lit(True)), [*keys, "umi"], "left")
+    marked = materialize(clean.join(touched.withColumn("__near", F.lit(True)), [*keys, "umi"], "left"), "near-molecules")
     alone = marked.filter("__near IS NULL").select(*keys, "umi", "raw_reads", F.col("raw_reads").alias("rsec_reads"), F.lit(None).cast("string").alias("parent_umi"))
     near = marked.filter("__near").drop("__near")
     schema = T.StructType([*[f for f in clean.schema if f.name in keys], T.StructField("umi", T.StringType()), T.StructField("raw_reads", T.LongType()), T.StructField("rsec_reads", T.LongType()), T.StructField("parent_umi", T.StringType())])
@@ -166,42 +167,91 @@ def depth_branches(molecules: DataFrame, gene: str = "gene", reads: str = "rsec_
     return stats.withColumn("branch", branch)
 
 
-def _log_nb(k: np.ndarray, size: float, mu: float) -> np.ndarray:
-    lg = np.vectorize(math.lgamma)
-    return lg(k + size) - math.lgamma(size) - lg(k + 1.0) + size * math.log(size / (size + mu)) + k * math.log(mu / (size + mu))
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    """Of positive numbers, by Stirling's series after a shift beyond 10."""
+    x = np.asarray(x, dtype=float)
+    shift = np.zeros_like(x)
+    for _ in range(10):
+        low = x < 10
+        if not low.any():
+            break
+        shift[low] -= np.log(x[low])
+        x = np.where(low, x + 1, x)
+    inverse = 1 / (x * x)
+    series = (1 / 12 - inverse * (1 / 360 - inverse * (1 / 1260 - inverse / 1680))) / x
+    return shift + (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + series
+
+
+def _log_nb(k: np.ndarray, constant: np.ndarray, size: float, mu: np.ndarray | float) -> np.ndarray:
+    return constant + size * np.log(size / (size + mu)) + k * np.log(mu / (size + mu))
 
 
-def separation_cutoff(counts: dict[int, float], size: float = 10.0, rounds: int = 200) -> int | None:
-    """Least number of reads at which the signal is as likely as the noise, or None without two peaks.
+def separation_cutoffs(fitted: list[dict[int, float]], observed: list[list[int]], size: float = 10.0, rounds: int = 200) -> list[int | None]:
+    """Per gene the least number of reads at which the signal is as likely as the noise, or None without two peaks.
 
     Two negative binomials of one given size are fitted by expectation-maximisation to a histogram of reads
-    per molecule; the noise's mean stays at 1. A cutoff whose predecessor lies above half of the range is 2.
+    per molecule, those of all genes together; the noise's mean stays at 1. The cutoff is the first of the ``observed`` counts,
+    other than the least, that is as likely under the signal; if the one before it lies above half of the greatest, the cutoff is 2.
     """
-    k = np.array(sorted(counts), dtype=float)
-    w = np.array([counts[int(x)] for x in k], dtype=float)
-    if len(k) < 3:
-        return None
-    mu, share = float(max(k[-3], 2.0)), 0.5
-    noise = _log_nb(k, size, 1.0)
+    out: list[int | None] = [None] * len(fitted)
+    at = [g for g, c in enumerate(fitted) if len(c) >= 3]
+    if not at:
+        return out
+    sorted_counts = [sorted(fitted[g]) for g in at]
+    lengths = np.array([len(c) for c in sorted_counts])
+    starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+    gene = np.repeat(np.arange(len(at)), lengths)
+    k = np.concatenate([np.array(c, dtype=float) for c in sorted_counts])
+    w = np.array([fitted[g][x] for g, c in zip(at, sorted_counts) for x in c], dtype=float)
+    constant = _log_gamma(k + size) - math.lgamma(size) - _log_gamma(k + 1.0)
+    noise = _log_nb(k, constant, size, 1.0)
+    mu = np.array([max(c[-3], 2.0) for c in sorted_counts], dtype=float)
+    share = np.full(len(at), 0.5)
+    whole = np.add.reduceat(w, starts)
+    failed = np.zeros(len(at), dtype=bool)
+    running = np.ones(len(at), dtype=bool)
     for _ in range(rounds):
-        signal = _log_nb(k, size, mu)
-        top = np.maximum(noise, signal)
-        a, b = (1 - share) * np.exp(noise - top), share * np.exp(signal - top)
-        r = b / (a + b)
-        if (r * w).sum() <= 0:
-            return None
-        new = float((r * w * k).sum() / (r * w).sum())
-        share = float(np.clip((r * w).sum() / w.sum(), 1e-6, 1 - 1e-6))
-        if abs(new - mu) < 1e-9:
-            break
+        odds = np.log(share / (1 - share))[gene] + _log_nb(k, constant, size, mu[gene]) - noise
+        r = w / (1 + np.exp(-np.clip(odds, -700, 700)))
+        taken = np.add.reduceat(r, starts)
+        failed |= running & (taken <= 0)
+        running &= ~failed
+        new = np.where(running, np.add.reduceat(r * k, starts) / np.maximum(taken, 1e-300), mu)
+        share = np.where(running, np.clip(taken / whole, 1e-6, 1 - 1e-6), share)
+        running &= np.abs(new - mu) >= 1e-9
         mu = new
-    if mu <= 1.5:
-        return None
-    signal = _log_nb(k, size, mu)
-    for j in range(1, len(k)):
-        if signal[j] >= noise[j]:
-            return 2 if k[j - 1] > k[-1] / 2 else int(k[j])
-    return None
+        if not running.any():
+            break
+    for n, g in enumerate(at):
+        if failed[n] or mu[n] <= 1.5:
+            continue
+        x = np.array(sorted(observed[g]), dtype=float)
+        more = x * math.log(mu[n] * (size + 1) / (size + mu[n])) + size * math.log((size + 1) / (size + mu[n]))  # signal less noise
+        later = np.flatnonzero(more[1:] >= 0) + 1
+        if len(later):
+            j = int(later[0])
+            out[g] = 2 if x[j - 1] > x[-1] / 2 else int(x[j])
+    return out
+
+
+def separation_cutoff(counts: dict[int, float], observed: list[int] | None = None) -> int | None:
+    """``separation_cutoffs`` of one gene; the observed counts are by default those that are fitted."""
+    return separation_cutoffs([counts], [observed if observed is not None else [*counts]])[0]
+
+
+def fitted_counts(observed: dict[int, int], doublets: float = 0, enough_counts: int = 10) -> dict[int, float]:
+    """The histogram that is fitted: without the ``doublets`` greatest molecules, or, if there are few distinct counts, with one pseudo-molecule
+    for every count from 0 that doesn't occur to a hundred for each that does."""
+    if len(observed) < enough_counts:
+        return {c: observed[c] * 100.0 if c in observed else 1.0 for c in range(max(observed) + 1)}
+    counts, left = {c: float(n) for c, n in observed.items()}, doublets
+    for c in sorted(counts, reverse=True):
+        off = min(left, counts[c])
+        counts[c] -= off
+        left -= off
+        if not left:
+            break
+    return {c: n for c, n in counts.items() if n > 0}
 
 
 def doublet_rate(n: int, barcodes: int = BARCODES) -> float:
@@ -229,25 +279,35 @@ def depth_cutoffs(molecules: DataFrame, gene: str = "gene", cell: str = "cell",
     histogram = fit.groupBy(gene, "count").agg(F.sum("freq").alias("freq")).join(doublets, gene, "left").fillna(0, ["doublets"])
     schema = T.StructType([T.StructField(gene, T.StringType()), T.StructField("status", T.StringType()), T.StructField("cutoff", T.IntegerType())])
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        counts = dict(zip(group["count"].astype(int), group["freq"].astype(float)))
-        if len(counts) >= enough_counts:
-            left = float(group["doublets"].iloc[0])
-            for c in sorted(counts, reverse=True):
-                off = min(left, counts[c])
-                counts[c] -= off
-                left -= off
-            counts = {c: f for c, f in counts.items() if f > 0}
-        else:
-            counts = {c: counts[c] * 100 if c in counts else 1.0 for c in range(1, max(counts) + 1)}
-        cut = separation_cutoff(counts)
-        return pd.DataFrame({gene: [group[gene].iloc[0]], "status": ["pass" if cut else "separation_failed"], "cutoff": [cut or 2]})
-
-    fitted = histogram.groupBy(gene).applyInPandas(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for genes, observed, doublets in _whole_genes(batches):
+            cuts = separation_cutoffs([fitted_counts(o, d, enough_counts) for o, d in zip(observed, doublets)], [[*o] for o in observed])
+            yield pa.RecordBatch.from_arrays([pa.array(genes, pa.string()), pa.array(["pass" if c else "separation_failed" for c in cuts], pa.string()), pa.array([c or 2 for c in cuts], pa.int32())], names=schema.names)
+
+    # The genes of a sorted partition are fitted many at a time.
+    laid = histogram.select(F.col(gene).cast("string").alias(gene), "count", "freq", F.col("doublets").cast("double").alias("doublets")).repartition(gene).sortWithinPartitions(gene)
+    fitted = laid.mapInArrow(run, schema)
     plain = branches.filter("branch != 'fit'").select(gene, "branch", F.when(F.col("branch") == "low_depth", "low_depth").otherwise("pass").alias("status"), F.lit(0).alias("cutoff"))
     return plain.unionByName(fitted.select(gene, F.lit("fit").alias("branch"), "status", "cutoff"))
 
 
+def _whole_genes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], list[dict[int, int]], list[float]]]:
+    """Genes, observed counts and doublets from sorted rows; a gene that goes on in the next batch waits for its rest."""
+    genes, observed, doublets = [], [], []
+    for b in batches:
+        for g, c, f, d in zip(*(x.to_pylist() for x in b.columns)):
+            if not genes or genes[-1] != g:
+                genes.append(g)
+                observed.append({})
+                doublets.append(d)
+            observed[-1][c] = f
+        if len(genes) > 1:
+            yield genes[:-1], observed[:-1], doublets[:-1]
+            genes, observed, doublets = genes[-1:], observed[-1:], doublets[-1:]
+    if genes:
+        yield genes, observed, doublets
+
+
 def _doublets(bars: DataFrame, gene: str, cell: str, barcodes: int, least_cell: int) -> DataFrame:
     """Molecules above the doublet percentile of their cell, per gene; from (gene, cell, count, freq), no list of a cell's molecules."""
     from pyspark.sql import Window

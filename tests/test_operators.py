@@ -133,6 +133,40 @@ def test_depth_branches_and_cutoffs(spark):
     assert marked.filter("dbec_reads > rsec_reads").count() == 0
 
 
+def test_log_gamma():
+    x = [0.5, 1.0, 2.0, 3.7, 9.99, 10.0, 11.0, 250.0, 1e6]
+    assert all(abs(a - math.lgamma(v)) <= 1e-9 * max(1.0, abs(math.lgamma(v))) for a, v in zip(mo._log_gamma(x), x))
+
+
+def test_the_cutoff_is_an_observed_count():
+    two = {1: 400.0, 2: 60.0} | {n: 6.0 for n in range(15, 46)}
+    # A trimmed top doesn't change which counts are looked at.
+    assert mo.separation_cutoff(two) == 15
+    trimmed = mo.fitted_counts({c: int(n) for c, n in two.items()}, doublets=6 * 26)
+    assert max(trimmed) == 19 and mo.separation_cutoff(trimmed, [*two]) == 15
+    # After trimming 15 lies above half of what is left (19), but not above half of what was observed.
+    assert mo.separation_cutoff(trimmed, [1, 2, 15, 16, 19, 45]) == 15
+    # The signal leads from 7 on; the first observed count of at least that is the cutoff, or 2 if its predecessor lies above half of the greatest.
+    assert [mo.separation_cutoff(two, [1, j]) for j in (6, 7, 8, 15)] == [None, 7, 8, 15]
+    assert mo.separation_cutoff(two, [1, 4, 7]) == 2
+    assert mo.separation_cutoff(two, [1, 4, 7, 8]) == 7
+    assert mo.separation_cutoff(two, [2, 3]) is None
+
+
+def test_few_counts_are_filled_from_zero():
+    assert mo.fitted_counts({1: 3, 4: 2}) == {0: 1.0, 1: 300.0, 2: 1.0, 3: 1.0, 4: 200.0}
+    # Filled counts are fitted, but the cutoff is one that occurs.
+    few = {1: 50, 20: 9, 22: 9, 25: 9}
+    assert mo.separation_cutoff(mo.fitted_counts(few), [*few]) == 20
+    assert mo.separation_cutoff(mo.fitted_counts(few)) < 20
+
+
+def test_many_genes_at_once_are_fitted_like_each():
+    rnd = random.Random(4)
+    some = [{rnd.choice([1, 2, 3, *range(8, 40)]): rnd.randrange(1, 90) for _ in range(rnd.randrange(1, 25))} for _ in range(60)]
+    assert mo.separation_cutoffs(some, [[*c] for c in some]) == [mo.separation_cutoff(c) for c in some]
+
+
 def test_separation_fails_on_one_peak():
     assert mo.separation_cutoff({1: 100.0}) is None
     assert mo.doublet_rate(0) == 0.0
