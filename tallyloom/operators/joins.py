@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize, parallelism
+
 BROADCAST_ROWS = 100_000
 
 
@@ -32,17 +34,38 @@ def join_by_id(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return both.filter(whole).drop("__l", "__r")
 
 
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], tasks: int | None = None) -> DataFrame:
+    """Inner join on ``keys`` when a key may hold a large part of ``left``.
+
+    A key with more than a task's equal share of ``left`` is split by a hash of the row into as many parts as it has shares, and the rows of
+    ``right`` with that key are laid out for each part. There are fewer such keys than tasks, which bounds what is broadcast. The keys
+    of ``left`` are counted first, so it is read twice.
+    """
+    spark = left.sparkSession
+    tasks = tasks or parallelism(spark)
+    counts = materialize(left.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")), "key-counts")
+    total = counts.agg(F.sum("__n")).first()[0] or 0
+    heavy = counts.filter(F.col("__n") * F.lit(tasks) > F.lit(total)).select(*keys, F.ceil(F.col("__n") * F.lit(tasks) / F.lit(max(total, 1))).cast("int").alias("__parts"))
+    if not total or heavy.limit(1).count() == 0:
+        return left.join(right, keys)
+    heavy = F.broadcast(heavy)
+    parts = F.coalesce("__parts", F.lit(1))
+    a = left.join(heavy, keys, "left").withColumn("__salt", F.pmod(F.xxhash64(*left.columns), parts).cast("int")).drop("__parts")
+    b = right.join(heavy, keys, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
+    return a.join(b, [*keys, "__salt"]).drop("__salt")
+
+
 def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], width: int, left_span: tuple[str, str] = ("start", "end"), right_span: tuple[str, str] = ("f_start", "f_end")) -> DataFrame:
     """Pairs whose closed intervals overlap, within equal ``keys``: an equi-join on bins, not a comparison of all pairs.
 
     Each interval is filed under the bins of ``width`` that it touches; a pair is kept in the bin where the later of
-    the two starts lies, so it comes once and nothing is made distinct afterwards. Choose ``width`` near the usual length: an
-    interval is copied once per bin. Intervals with a null end, or that end before they start, match nothing.
+    the two starts lies, so it comes once and nothing is made distinct afterwards. A bin with a pile of left intervals is split
+    (``salted_join``). Choose ``width`` near the usual length: an interval is copied once per bin. Intervals with a null end, or that end before they start, match nothing.
     """
     (ls, le), (rs, re_) = left_span, right_span
     binned = lambda d, s, e: d.filter(F.col(s) <= F.col(e)).withColumn("__bin", F.explode(F.sequence(F.floor(F.col(s) / width), F.floor(F.col(e) / width))))
     a, b = binned(left, ls, le), binned(right, rs, re_)
-    met = a.join(b, [*keys, "__bin"]).filter((F.col(ls) <= F.col(re_)) & (F.col(rs) <= F.col(le)))
+    met = salted_join(a, b, [*keys, "__bin"]).filter((F.col(ls) <= F.col(re_)) & (F.col(rs) <= F.col(le)))
     return met.filter(F.col("__bin") == F.floor(F.greatest(ls, rs) / width)).drop("__bin")
 
 

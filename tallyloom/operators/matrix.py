@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..session import ship
 from .joins import bounded
+from .running import accumulated, join_groups, ranges
 
 # ---------------------------------------------------------------- genes and normalising
 
@@ -45,11 +46,12 @@ def unit_length(x: DataFrame, row: str, value: str, out: str = "x") -> DataFrame
 
 
 def average_ranks(df: DataFrame, group: list[str], value: str, out: str = "rank_no") -> DataFrame:
-    """Ranks within groups, ties sharing their mean rank."""
-    w = Window.partitionBy(*group)
-    first = F.rank().over(w.orderBy(value))
-    same = F.count(F.lit(1)).over(Window.partitionBy(*group, value))
-    return df.withColumn(out, first + (same - 1) / 2.0)
+    """Ranks within groups, ties sharing their mean rank; nulls first. What is ranked are the distinct values of a group with their counts."""
+    bars = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("__n"))
+    order = [F.asc_nulls_first(value)]
+    ranked = accumulated(ranges(bars, group, order), group, order, "__upto", "sum", F.col("__n"))
+    found = ranked.select(*group, value, (F.col("__upto") - (F.col("__n") - 1) / 2.0).alias(out))
+    return join_groups(df.drop(out), found, [*group, value])
 
 
 # ---------------------------------------------------------------- vectors

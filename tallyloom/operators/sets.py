@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .joins import bounded
+from .running import join_groups, numbered
 
 
 def sample_exactly(df: DataFrame, ids: list[str], n: int, seed: int = 42) -> DataFrame:
@@ -19,12 +20,11 @@ def sample_share(df: DataFrame, ids: list[str], share: float, seed: int = 42) ->
 
 
 def sample_by_group(df: DataFrame, group: str, ids: list[str], share: float, seed: int = 42) -> DataFrame:
-    """``ceil(share n)`` rows of each group, by least hash. The threshold of each group comes from its count and a window over hashes."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(group).orderBy(F.xxhash64(*ids, F.lit(seed)), *ids)
-    n = F.count(F.lit(1)).over(Window.partitionBy(group))
-    return df.withColumn("__k", F.row_number().over(w)).withColumn("__n", n).filter(F.col("__k") <= F.ceil(F.col("__n") * share)).drop("__k", "__n")
+    """``ceil(share n)`` rows of each group, by least hash. A group's rows are numbered over ranges of their hashes, so it may be of any size."""
+    order = [F.xxhash64(*ids, F.lit(seed)), *[F.col(c) for c in ids]]
+    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("__size"))
+    placed = join_groups(numbered(df, [group], order, "__k"), sizes, [group])
+    return placed.filter(F.col("__k") <= F.ceil(F.col("__size") * share)).drop("__k", "__size")
 
 
 def pivot(df: DataFrame, index: str, column: str, values: list[str], value: Column, fill: object = None) -> DataFrame:

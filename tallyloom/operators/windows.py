@@ -2,24 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .running import accumulated, join_groups, ranges
 
-def running_total(df: DataFrame, value: str, tie: str, least: float = 1) -> DataFrame:
-    """``place`` and ``cum`` of the values above ``least``, greatest first.
 
-    Equal values are indistinguishable in the curve, so the rows are first folded to one per value: the window, which
-    runs in one task, sees only distinct totals. The rows of a value are then laid out again beside it.
-    """
-    bars = df.filter(F.col(value) > least).groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.orderBy(F.desc("v")).rowsBetween(Window.unboundedPreceding, -1)
-    before = bars.select("v", "n", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("n0"), F.coalesce(F.sum(F.col("n") * F.col("v")).over(w), F.lit(0)).alias("c0"))
-    k = Window.partitionBy(value).orderBy(tie)
-    # The numbers of equal values follow each other, in order of the tie column.
-    rows = df.filter(F.col(value) > least).select(tie, value, F.row_number().over(k).alias("k"))
-    out = rows.join(before, rows[value] == before["v"])
-    return out.select(tie, value, (F.col("n0") + F.col("k")).alias("place"), (F.col("c0") + F.col("k") * F.col(value)).alias("cum"))
+def running_total(df: DataFrame, value: str, tie: str, least: float = 1) -> DataFrame:
+    """``place`` and ``cum`` of the values above ``least``, greatest first; equal values in order of the tie column."""
+    order = [F.desc(value), F.asc(tie)]
+    laid = ranges(df.filter(F.col(value) > least).select(tie, value), [], order)
+    placed = accumulated(laid, [], order, "place", "sum", F.lit(1))
+    return accumulated(placed, [], order, "cum", "sum", F.col(value)).drop("__part")
 
 
 def log_log_slope(place: str = "place", cum: str = "cum") -> Column:
@@ -56,9 +52,14 @@ def equal_bins(df: DataFrame, order: list[str], bins: int = 20, out: str = "bin"
 
 def z_in_bins(df: DataFrame, value: str, group: str, population: bool = False) -> DataFrame:
     """``z``: distance from the group's mean in standard deviations; null where that is 0 or undefined."""
-    w = Window.partitionBy(group)
-    sd = (F.stddev_pop if population else F.stddev_samp)(value).over(w)
-    return df.withColumn("z", F.try_divide(F.col(value) - F.avg(value).over(w), F.nullif(sd, F.lit(0.0))))
+    return _z(df, [group], value, "z", F.stddev_pop if population else F.stddev_samp)
+
+
+def _z(df: DataFrame, group: list[str], value: str, out: str, deviation: Callable) -> DataFrame:
+    """Mean and deviation are an aggregate, one row per group, joined back: a group of any size is folded where its rows are."""
+    stats = df.groupBy(*group).agg(F.avg(value).alias("__mean"), deviation(value).alias("__sd"))
+    z = F.try_divide(F.col(value) - F.col("__mean"), F.nullif(F.col("__sd"), F.lit(0.0)))
+    return join_groups(df, stats, group).withColumn(out, z).drop("__mean", "__sd")
 
 
 def variable_genes(stats: DataFrame, gene: str = "gene", bins: int = 20, cutoff: float = 1.7) -> DataFrame:
@@ -118,8 +119,7 @@ def top_with_ties(df: DataFrame, group: list[str], value: str, n: int) -> DataFr
 
 def scaled(df: DataFrame, group: list[str], value: str, out: str = "z") -> DataFrame:
     """z-score within the group, with the sample deviation; null where it is 0."""
-    w = Window.partitionBy(*group)
-    return df.withColumn(out, F.try_divide(F.col(value) - F.avg(value).over(w), F.nullif(F.stddev_samp(value).over(w), F.lit(0.0))))
+    return _z(df, group, value, out, F.stddev_samp)
 
 
 def without_outliers(df: DataFrame, group: list[str], value: str, m: float) -> DataFrame:
@@ -149,11 +149,13 @@ def is_outlier(df: DataFrame, group: list[str], value: str, n_mads: float, lower
 def adjust_p(df: DataFrame, p: str, group: list[str] | None = None, out: str = "q") -> DataFrame:
     """Benjamini-Hochberg: least p n / rank over all greater p, at most 1, within each family of tests."""
     by = group or []
-    n = F.count(p).over(Window.partitionBy(*by))
-    rank = F.rank().over(Window.partitionBy(*by).orderBy(p)) + F.count(p).over(Window.partitionBy(*by, p)) - 1
-    raw = F.col(p) * n / rank
-    w = Window.partitionBy(*by).orderBy(F.desc(p)).rangeBetween(Window.unboundedPreceding, 0)
-    return df.filter(F.col(p).isNotNull()).withColumn("__q", raw).withColumn(out, F.least(F.lit(1.0), F.min("__q").over(w))).drop("__q")
+    bars = df.filter(F.col(p).isNotNull()).groupBy(*by, p).agg(F.count(F.lit(1)).alias("__n"))
+    ranked = accumulated(ranges(bars, by, [F.asc(p)]), by, [F.asc(p)], "__rank", "sum", F.col("__n"))
+    whole = ranked.groupBy(*by).agg(F.sum("__n").alias("__all"))
+    raw = join_groups(ranked, whole, by).withColumn("__raw", F.col(p) * F.col("__all") / F.col("__rank"))
+    least = accumulated(raw, by, [F.desc(p)], "__q", "min", F.col("__raw"), backwards=True)
+    found = least.select(*by, p, F.least(F.lit(1.0), "__q").alias(out))
+    return join_groups(df.filter(F.col(p).isNotNull()).drop(out), found, [*by, p])
 
 
 def clipped(df: DataFrame, value: str, share: float = 0.99) -> DataFrame:

@@ -81,7 +81,9 @@ def _numbered(spark: SparkSession, path: str) -> DataFrame:
 
 def as_matrix_market(triplets: DataFrame, row: str, col: str, value: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Lines of triplets (with the size line's numbers in the names' order), and numbered names of rows and columns."""
-    number = lambda c: triplets.select(c).distinct().withColumn("no", F.row_number().over(Window.orderBy(c)))
+    from ..operators.running import numbered
+
+    number = lambda c: numbered(triplets.select(c).distinct(), [], [F.asc(c)], "no").withColumn("no", F.col("no").cast("int"))
     r, k = number(row), number(col)
     body = triplets.join(r.withColumnRenamed("no", "i"), row).join(k.withColumnRenamed("no", "j"), col)
     return body.select(F.concat_ws(" ", "i", "j", F.col(value)).alias("value")), r, k
