@@ -22,6 +22,17 @@ def strip_or_null(col: Column | str) -> Column:
     return F.nullif(strip(col), F.lit(""))
 
 
+def digest_number(*cols: Column | str, seed: int = 0) -> Column:
+    """A number from 0 below 2 to the power of 32 from the columns' texts, evenly spread and the same everywhere; nulls are skipped."""
+    texts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *texts, F.lit(str(seed)))), 1, 8), 16, 10).cast("bigint")
+
+
+def sql_digest_number(*exprs: str, seed: int = 0) -> str:
+    """``digest_number`` as a DuckDB expression."""
+    return f"('0x' || substr(md5(concat_ws('|', {', '.join(exprs)}, '{seed}')), 1, 8))::BIGINT"
+
+
 def sql_strip(expr: str) -> str:
     """The same trim as a DuckDB expression, for oracle queries."""
     chars = "||".join(f"chr({ord(c)})" for c in WHITE_SPACE)

@@ -133,7 +133,7 @@ def outer_join_all(tables: list[DataFrame], on: list[str], fill: object = 0) ->
     return reduce(lambda x, y: x.join(y, on, "full_outer"), tables).fillna(fill)
 
 
-def pairs_of(items: DataFrame, key: str, limit: int = BROADCAST_ROWS) -> DataFrame:
+def pairs_of(items: DataFrame, key: str, limit: int = 5_000) -> DataFrame:
     """``key_a < key_b`` for all pairs of a small set of items (clusters, conditions), whose size is checked."""
     few = sorted(r[0] for r in items.select(key).filter(F.col(key).isNotNull()).distinct().limit(limit + 1).collect())
     if len(few) > limit:

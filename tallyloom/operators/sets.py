@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import digest_number
 from .joins import bounded
 from .running import join_groups, numbered
 
@@ -16,7 +17,7 @@ def sample_exactly(df: DataFrame, ids: list[str], n: int, seed: int = 42) -> Dat
 
 def sample_share(df: DataFrame, ids: list[str], share: float, seed: int = 42) -> DataFrame:
     """About ``share`` of the rows, by a hash of their ids; no shuffle."""
-    return df.filter(F.pmod(F.xxhash64(*ids, F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000))
+    return df.filter(digest_number(*ids, seed=seed) < int(share * 2**32))
 
 
 def sample_by_group(df: DataFrame, group: str, ids: list[str], share: float, seed: int = 42) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import digest_number
 from .running import accumulated, join_groups, ranges
 
 
@@ -170,7 +171,7 @@ def saturation_curve(reads: DataFrame, read_id: str, gene: str, steps: int = 100
     A read's part is a hash of its id. A gene is new in the least part that has a read of it, so the distinct genes so
     far are a running sum over one row per part; no set of genes is kept.
     """
-    part = F.pmod(F.xxhash64(read_id, F.lit(seed)), F.lit(steps)).cast("int")
+    part = F.pmod(digest_number(read_id, seed=seed), F.lit(steps)).cast("int")
     counted = reads.groupBy(part.alias("step"), gene).agg(F.count(F.lit(1)).alias("n"))
     depth = counted.groupBy("step").agg(F.sum("n").alias("n"))
     fresh = counted.filter(F.col(gene).isNotNull()).groupBy(gene).agg(F.min("step").alias("step")).groupBy("step").agg(F.count(F.lit(1)).alias("g"))

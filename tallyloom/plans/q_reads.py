@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels, reads as rd
 from ..operators import joins, labels as lb, molecules as mo
+from ..session import materialize
 from .bindings import SQL_CALLED, SQL_CELL_GENE, SQL_MOL, SQL_READS, called_cells, cell_gene, molecules, reads
 from .registry_helpers import book
 from .tables import read
@@ -378,7 +379,12 @@ def m04_depth_cutoffs(spark, sf):
     return mo.depth_cutoffs(molecules(spark, sf))
 
 
-@query()
+@query(
+    f"""WITH {SQL_MOL}, c AS (SELECT cell, list_sort(list(rsec_reads)) AS l, count(*) AS n, count(*) / 65536.0 AS lam FROM mol WHERE rsec_reads > 0 GROUP BY cell HAVING count(*) > 40),
+d AS (SELECT l, (1 - round_even((1 - exp(-lam) - lam * exp(-lam)) / (1 - exp(-lam)), 3)) * (n - 1) AS place FROM c),
+e AS (SELECT l, l[floor(place)::BIGINT + 1] + (l[ceil(place)::BIGINT + 1] - l[floor(place)::BIGINT + 1]) * (place - floor(place)) AS depth FROM d)
+SELECT 'all' AS all_genes, sum(len(list_filter(l, lambda x: x > depth)))::BIGINT AS doublets FROM e HAVING count(*) > 0"""
+)
 def m05_doublet_trim(spark, sf):
     m = molecules(spark, sf).filter("rsec_reads > 0")
     bars = m.groupBy(F.lit("all").alias("all_genes"), "cell", F.col("rsec_reads").alias("count")).agg(F.count(F.lit(1)).alias("freq"))
@@ -423,7 +429,7 @@ def m10_split_by_kind(spark, sf):
 
 @query(f"WITH {SQL_READS} SELECT a.read_id, length(a.r1_seq) AS r1, length(b.r2_seq) AS r2 FROM reads a JOIN reads b USING (read_id)")
 def j01_pair_by_id(spark, sf):
-    r = reads(spark, sf)
+    r = materialize(reads(spark, sf), "reads")
     return joins.join_by_id(r.select("read_id", F.length("r1_seq").cast("bigint").alias("r1")), r.select("read_id", F.length("r2_seq").cast("bigint").alias("r2")), "read_id")
 
 
@@ -500,7 +506,7 @@ def j11_outer_index_join(spark, sf):
 
 @query(f"WITH {SQL_READS}, a AS (SELECT library, count(*) AS n FROM reads GROUP BY 1), b AS (SELECT library, count(*) AS mapped FROM reads WHERE status = '1' GROUP BY 1) SELECT library, n, mapped FROM a JOIN b USING (library)")
 def j12_sections_by_library(spark, sf):
-    r = reads(spark, sf)
+    r = materialize(reads(spark, sf), "reads")
     return r.groupBy("library").agg(F.count(F.lit(1)).alias("n")).join(r.filter("status = '1'").groupBy("library").agg(F.count(F.lit(1)).alias("mapped")), "library")
 
 

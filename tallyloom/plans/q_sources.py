@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.text import sql_digest_number
+from ..operators import splits
 from ..operators.wide import attributes_of
 from ..sources import alignments as al, annotation as an, fastq as fq, sequences as sq, tables as tb
 from .bindings import SQL_CALLED, SQL_CELL_GENE, SQL_READS, called_cells, cell_gene, reads
@@ -110,11 +112,29 @@ def s15_paired_files(spark, sf):
     return fq.paired_files(files).select("library", F.regexp_replace("lane", "^0+", "").alias("lane"), "r1", "r2")
 
 
-@query()
+@query(f"WITH {SQL_READS} SELECT read_id FROM reads WHERE {sql_digest_number('read_id', seed=42)} < {int(0.25 * 2**32)}")
 def s16_subsample(spark, sf):
     return fq.subsample(reads(spark, sf), 0.25).select("read_id")
 
 
+@query(f"SELECT o_orderkey, CAST((row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 + 1 AS INTEGER) AS chunk_no FROM orders WHERE {sql_digest_number('o_orderkey', seed=42)} < {2**31}")
+def s17_sampled_chunks(spark, sf):
+    return splits.chunks(read(spark, sf, "orders"), ["o_orderkey"], 1000, 0.5).select("o_orderkey", "chunk_no")
+
+
+@query(
+    """WITH k AS (SELECT l_suppkey, sum(l_quantity) AS w FROM lineitem GROUP BY 1), p AS (SELECT l_suppkey, CAST(floor((sum(w) OVER (ORDER BY l_suppkey) - w) / 20000) + 1 AS INTEGER) AS part_no FROM k)
+SELECT l_orderkey, l_linenumber, l_suppkey, part_no FROM lineitem JOIN p USING (l_suppkey)"""
+)
+def s18_parts_on_key_boundaries(spark, sf):
+    return splits.on_key_boundaries(read(spark, sf, "lineitem"), "l_suppkey", F.col("l_quantity"), 20_000).select("l_orderkey", "l_linenumber", "l_suppkey", "part_no")
+
+
+@query("SELECT p_partkey, CAST(floor((row_number() OVER (ORDER BY p_partkey) - 1) * 7 / count(*) OVER ()) + 1 AS INTEGER) AS part_no FROM part")
+def s19_equal_parts(spark, sf):
+    return splits.parts_of(read(spark, sf, "part"), ["p_partkey"], 7).select("p_partkey", "part_no")
+
+
 @query(f"WITH {SQL_CALLED} SELECT cell, count(*) AS n FROM molecule SEMI JOIN called USING (cell) GROUP BY cell")
 def s20_rows_of_cells(spark, sf):
     m = tb.of_cells(read(spark, sf, "molecule"), called_cells(spark, sf), "cell")
@@ -149,14 +169,8 @@ def s24_feature_counts(spark, sf):
     return tb.feature_counts(t)
 
 
-@query("SELECT p_type AS gene, coalesce(sum(p_size) FILTER (p_brand = 'Brand#1'), 0)::BIGINT AS \"Brand#1\", coalesce(sum(p_size) FILTER (p_brand = 'Brand#2'), 0)::BIGINT AS \"Brand#2\" FROM part GROUP BY 1")
-def s25_stacked_samples(spark, sf):
-    p = read(spark, sf, "part").withColumnRenamed("p_type", "gene")
-    return tb.stacked_samples(p, "gene", "p_brand", "p_size", ["Brand#1", "Brand#2"])
-
-
 @query("SELECT p_type AS gene, coalesce(COLUMNS(* EXCLUDE (p_type)), 0)::BIGINT FROM (PIVOT (SELECT p_type, p_brand, p_size FROM part WHERE p_brand IS NOT NULL) ON p_brand USING sum(p_size) GROUP BY p_type)")
 def s25_all_samples(spark, sf):
-    """A column for every brand that occurs; ``S25_stacked_samples`` and its SQL have two of them."""
+    """A column for every brand that occurs."""
     p = read(spark, sf, "part").withColumnRenamed("p_type", "gene").filter("p_brand IS NOT NULL")
     return tb.stacked_samples(p, "gene", "p_brand", "p_size", attributes_of(p.select(F.col("p_brand").alias("attribute"))))

@@ -61,14 +61,6 @@ def d04_uncorrelated_components(spark, sf):
     return spark.createDataFrame([(i,) for i in mx.without_correlated(c, "components", 5, "rate")], "component int")
 
 
-_MEANS = "m AS (SELECT label, i AS dim, avg(embedding[i]::DOUBLE) AS v FROM embeddings, generate_series(1, 8) t(i) GROUP BY 1, 2)"
-
-
-def _label_means(spark, sf):
-    e = read(spark, sf, "embeddings").select("label", F.posexplode("embedding").alias("dim", "v")).filter("dim < 8")
-    return e.groupBy("label", "dim").agg(F.avg(F.col("v").cast("double")).alias("v"))
-
-
 def _in_one(spark, sf):
     """All vectors in one group, which ``on_groups`` and ``split_groups`` bound."""
     return read(spark, sf, "embeddings").withColumn("part", F.lit(0))
@@ -104,15 +96,6 @@ def d07_shared_neighbour_clusters(spark, sf):
     return mx.on_groups(_in_one(spark, sf), "part", "vec_id", "embedding", lambda x: mx.shared_neighbour_clusters(mx.correlation_distance(x)))
 
 
-@query(
-    f"""WITH {_MEANS} SELECT a.label AS row_a, b.label AS row_b, round(sum(abs(a.v - b.v)), 6) AS manhattan, round(sum((a.v - b.v) * (a.v - b.v)), 6) AS euclidean_2, round(1 - corr(a.v, b.v), 6) AS correlation
-FROM m a JOIN m b ON a.dim = b.dim AND a.label < b.label GROUP BY 1, 2"""
-)
-def d06_pair_distances(spark, sf):
-    p = mx.pair_distances(_label_means(spark, sf), "label", "dim", "v")
-    return p.select("row_a", "row_b", *[F.round(c, 6).alias(c) for c in ("manhattan", "euclidean_2", "correlation")])
-
-
 _WHOLE_MEANS = "m AS (SELECT label, i AS dim, avg(embedding[i]::DOUBLE) AS v FROM embeddings, unnest(range(1, len(embedding) + 1)) t(i) GROUP BY 1, 2)"
 
 
@@ -127,7 +110,6 @@ def _whole_distances(spark, sf):
 FROM m a JOIN m b ON a.dim = b.dim AND a.label < b.label GROUP BY 1, 2"""
 )
 def d06_whole_distances(spark, sf):
-    """Over all dimensions; ``D06_pair_distances`` and its SQL have the first eight."""
     return _whole_distances(spark, sf)
 
 
@@ -159,13 +141,6 @@ def d10_dendro_merge(spark, sf):
     return mx.split_groups(_in_one(spark, sf), "part", "vec_id", "embedding", 4.0)
 
 
-@query(f"WITH {_MEANS} SELECT a.label AS row_no, min_by(b.label, (abs(a.v - b.v), b.label)) AS label, min(abs(a.v - b.v)) AS distance FROM m a JOIN m b ON a.dim = 1 AND b.dim = 1 AND a.label <> b.label GROUP BY 1")
-def d11_nearest_label(spark, sf):
-    m = _label_means(spark, sf).filter("dim = 0")
-    d = m.select(F.col("label").alias("row_no"), F.col("v").alias("a"), F.lit(0).alias("k")).join(m.select(F.col("label").alias("other"), "label", F.col("v").alias("b"), F.lit(0).alias("k")), "k").filter("row_no != other")
-    return mx.nearest_label(d.withColumn("distance", F.abs(F.col("a") - F.col("b"))), "row_no", "other", "label", "distance")
-
-
 _OUTLIERS = 0.5
 
 
@@ -175,7 +150,7 @@ n AS (SELECT row_no, min_by(other, (distance, other)) AS label, min(distance) AS
 SELECT row_no, CASE WHEN distance <= (SELECT quantile_cont(distance, {_OUTLIERS}) FROM n) THEN label END AS label, distance FROM n"""
 )
 def d11_whole_nearest_label(spark, sf):
-    """By correlation distance over all dimensions, none beyond the median of nearest distances; ``D11_nearest_label`` and its SQL have the first dimension."""
+    """By correlation distance over all dimensions, none beyond the median of nearest distances."""
     p = _whole_distances(spark, sf)
     side = lambda a, b: p.select(F.col(f"row_{a}").alias("row_no"), F.col(f"row_{b}").alias("other"), F.col(f"row_{b}").alias("label"), F.col("correlation").alias("distance"))
     return mx.nearest_label(side("a", "b").union(side("b", "a")), "row_no", "other", "label", "distance", _OUTLIERS)
@@ -322,10 +297,17 @@ def e04_overlap_counts(spark, sf):
     return c.toDF("set_id", "k", "k_set", "n", "n_all")
 
 
-@query()
+@query(
+    """WITH c AS (SELECT p_brand AS set_id, count(*) FILTER (p_size > 40) AS k, count(*) AS k_set, (SELECT count(*) FROM part WHERE p_size > 40) AS n, (SELECT count(*) FROM part) AS n_all FROM part GROUP BY 1),
+t AS (SELECT *, unnest(range(k, least(n, k_set) + 1)) AS i FROM c WHERE k > 0),
+h AS (SELECT set_id, k, k_set, n, n_all, least(1.0, sum(CASE WHEN n - i <= n_all - k_set THEN exp(lgamma(k_set + 1) - lgamma(i + 1) - lgamma(k_set - i + 1) + lgamma(n_all - k_set + 1) - lgamma(n - i + 1)
+  - lgamma(n_all - k_set - n + i + 1) - lgamma(n_all + 1) + lgamma(n + 1) + lgamma(n_all - n + 1)) ELSE 0 END)) AS p FROM t GROUP BY 1, 2, 3, 4, 5),
+r AS (SELECT *, p * count(*) OVER () / (rank() OVER (ORDER BY p) + count(*) OVER (PARTITION BY p) - 1) AS raw FROM h)
+SELECT set_id, k, k_set, n, n_all, round(p, 7) AS p, round((k / n) / (k_set / n_all), 9) AS fold, round(least(1.0, min(raw) OVER (ORDER BY p DESC)), 7) AS q FROM r"""
+)
 def e04_enrichment(spark, sf):
     q, s, b = _parts(spark, sf)
-    return st.enrichment(q, s, "set_id", "gene", b).toDF("set_id", "k", "k_set", "n", "n_all", "p", "fold", "q")
+    return st.enrichment(q, s, "set_id", "gene", b).toDF("set_id", "k", "k_set", "n", "n_all", "p", "fold", "q").withColumns({"p": F.round("p", 7), "fold": F.round("fold", 9), "q": F.round("q", 7)})
 
 
 @query(
@@ -419,7 +401,12 @@ def e14_spearman(spark, sf):
     return st.sample_correlations(_by_cluster(spark, sf), "cluster", "gene", "v", "spearman").withColumn("r", F.round("r", 6))
 
 
-@query()
+@query(
+    f"""WITH {_CG}, p AS (SELECT a.cluster AS sample_a, b.cluster AS sample_b, a.gene, a.v AS va, b.v AS vb FROM cg a JOIN cg b ON a.gene = b.gene AND a.cluster < b.cluster),
+q AS (SELECT x.sample_a, x.sample_b, sum(sign(x.va - y.va) * sign(x.vb - y.vb))::DOUBLE AS s, count(*) FILTER (x.va <> y.va)::DOUBLE AS na, count(*) FILTER (x.vb <> y.vb)::DOUBLE AS nb
+  FROM p x JOIN p y ON x.sample_a = y.sample_a AND x.sample_b = y.sample_b AND x.gene < y.gene GROUP BY 1, 2)
+SELECT sample_a, sample_b, round(s / sqrt(na * nb), 9) AS tau FROM q"""
+)
 def e14_kendall(spark, sf):
     """Between clusters, over all genes that both have: one group per pair of the four clusters."""
     ship(spark)
@@ -429,7 +416,7 @@ def e14_kendall(spark, sf):
     def run(g):
         import pandas as pd
 
-        return pd.DataFrame({"sample_a": [g["sample_a"].iloc[0]], "sample_b": [g["sample_b"].iloc[0]], "tau": [st.kendall([*g["va"]], [*g["vb"]])]})
+        return pd.DataFrame({"sample_a": [g["sample_a"].iloc[0]], "sample_b": [g["sample_b"].iloc[0]], "tau": [round(st.kendall([*g["va"]], [*g["vb"]]), 9)]})
 
     return p.groupBy("sample_a", "sample_b").applyInPandas(run, "sample_a int, sample_b int, tau double")
 
@@ -437,7 +424,7 @@ def e14_kendall(spark, sf):
 @query()
 def e15_bootstrap_shares(spark, sf):
     n = read(spark, sf, "orders").groupBy("o_orderstatus", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
-    return st.bootstrap_shares(n, "o_orderstatus", "o_orderpriority", "n", 200)
+    return st.bootstrap_shares(n, "o_orderstatus", "o_orderpriority", "n")
 
 
 @query(f"WITH {_CG} SELECT gene, avg(v) AS mean, stddev_samp(v) / sqrt(count(v)) AS se FROM cg GROUP BY gene".replace("stddev_samp(v) / sqrt(count(v))", "round(stddev_samp(v) / sqrt(count(v)), 9)"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.labels import label_to_index
+from ..functions.text import sql_digest_number
 from ..operators import aggregates as ag, joins, sets, windows as wi
 from ..operators.wide import attributes_of
 from ..session import materialize
@@ -77,7 +78,7 @@ SELECT kind, min(total) AS min_total, max(total) AS max_total, avg(total) AS mea
   min(n_genes) AS min_n_genes, max(n_genes) AS max_n_genes, avg(n_genes) AS mean_n_genes, median(n_genes) AS median_n_genes, sum(n_genes)::BIGINT AS sum_n_genes FROM d GROUP BY kind"""
 )
 def a06_cell_metrics(spark, sf):
-    x = _indexed(spark, sf)
+    x = materialize(_indexed(spark, sf), "cell-genes")
     top = x.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 5").select("cell").union(called_cells(spark, sf).select("cell")).distinct()
     return ag.cell_metrics(x, top, "cell", "kind", ["mrna", "protein"], "rsec_mols")
 
@@ -121,7 +122,7 @@ _GS = f"""gs AS (SELECT gene, sum(raw_reads)::BIGINT AS raw_reads, count(*) FILT
 SELECT *, CASE WHEN raw_reads IS NULL THEN 'not_detected' WHEN rsec_depth_multi >= 4 THEN 'pass' ELSE 'low_depth' END AS status FROM d"""
 )
 def a10_gene_summary(spark, sf):
-    m = molecules(spark, sf)
+    m = materialize(molecules(spark, sf), "molecules")
     panel = m.select("gene").distinct().union(spark.createDataFrame([("absent",)], "gene string"))
     return ag.gene_summary(m, panel=panel)
 
@@ -393,7 +394,11 @@ def w21_clipped(spark, sf):
     return wi.clipped(read(spark, sf, "customer"), "c_acctbal").select("c_custkey", "clipped")
 
 
-@query()
+@query(
+    f"""WITH {SQL_MOL}, c AS (SELECT ({sql_digest_number("mol_id", seed=7)} % 100)::INTEGER AS step, gene, count(*) AS n FROM mol GROUP BY 1, 2), d AS (SELECT step, sum(n) AS n FROM c GROUP BY 1),
+g AS (SELECT step, count(*) AS g FROM (SELECT gene, min(step) AS step FROM c WHERE gene IS NOT NULL GROUP BY 1) GROUP BY 1)
+SELECT step, sum(coalesce(n, 0)) OVER (ORDER BY step)::BIGINT AS depth, sum(coalesce(g, 0)) OVER (ORDER BY step)::BIGINT AS detected FROM d FULL JOIN g USING (step)"""
+)
 def w22_saturation(spark, sf):
     return wi.saturation_curve(molecules(spark, sf), "mol_id", "gene")
 
@@ -429,7 +434,7 @@ def o05_sample_exactly(spark, sf):
     return sets.sample_exactly(read(spark, sf, "orders"), ["o_orderkey"], 500).agg(F.count(F.lit(1)).cast("int").alias("n"), F.count_distinct("o_orderkey").cast("int").alias("distinct_ids"))
 
 
-@query()
+@query(f"SELECT * FROM orders WHERE {sql_digest_number('o_orderkey', seed=42)} < {int(0.2 * 2**32)}")
 def o06_sample_share(spark, sf):
     return sets.sample_share(read(spark, sf, "orders"), ["o_orderkey"], 0.2)
 
@@ -439,14 +444,9 @@ def o07_sample_by_group(spark, sf):
     return sets.sample_by_group(read(spark, sf, "customer"), "c_mktsegment", ["c_custkey"], 0.1).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"WITH {SQL_TAGS} SELECT cell, coalesce(avg(reads) FILTER (tag = 'SampleTag01_hs'), 0) AS SampleTag01_hs, coalesce(avg(reads) FILTER (tag = 'SampleTag02_hs'), 0) AS SampleTag02_hs FROM tags GROUP BY cell")
-def o08_pivot_wide(spark, sf):
-    return sets.pivot(tag_counts(spark, sf), "cell", "tag", ["SampleTag01_hs", "SampleTag02_hs"], F.avg("reads"), 0.0)
-
-
 @query(f"SELECT cell, coalesce(COLUMNS(* EXCLUDE (cell)), 0) FROM (PIVOT (WITH {SQL_TAGS} SELECT cell, tag, reads FROM tags) ON tag USING avg(reads) GROUP BY cell)")
 def o08_pivot_all_tags(spark, sf):
-    """A column for every tag that occurs; ``O08_pivot_wide`` and its SQL have two of them."""
+    """A column for every tag that occurs."""
     t = materialize(tag_counts(spark, sf), "tags")
     return sets.pivot(t, "cell", "tag", attributes_of(t.select(F.col("tag").alias("attribute"))), F.avg("reads"), 0.0)
 

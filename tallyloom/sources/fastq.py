@@ -7,6 +7,8 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import digest_number
+
 from ..operators.joins import join_by_id
 from .files import open_bytes, stream
 
@@ -70,4 +72,4 @@ def subsample(reads: DataFrame, target: float, total: int | None = None, seed: i
         if total is None or target > total:
             raise ValueError("more reads are asked for than there are")
         target = target / total
-    return reads.filter(F.pmod(F.xxhash64(read_id, F.lit(seed)), F.lit(1_000_000)) < int(target * 1_000_000))
+    return reads.filter(digest_number(read_id, seed=seed) < int(target * 2**32))

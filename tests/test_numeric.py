@@ -96,6 +96,10 @@ def test_bootstrap_shares(spark):
     r = got[("a", "x")]
     assert r.share == 0.4 and 0.34 < r.low < 0.39 and 0.41 < r.high < 0.46
     assert got[("b", "x")].share == got[("b", "x")].low == got[("b", "x")].high == 1.0
+    assert 0.34 < r.bca_low < 0.39 and 0.41 < r.bca_high < 0.46 and got[("b", "x")].bca_low == 1.0
+    # Of a rare kind the corrected limits lie above the plain ones: its draws are skewed to the right.
+    rare = {q.k: q for q in stats.bootstrap_shares(spark.createDataFrame([("a", "x", 4), ("a", "y", 196), ("b", None, 0)], "g string, k string, n long"), "g", "k", "n", 20_000).collect()}
+    assert rare["x"].bca_low > rare["x"].low and rare["x"].bca_high > rare["x"].high and rare[None].share != rare[None].share
 
 
 def test_rank_sum_by_hand(spark):

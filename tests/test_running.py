@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.operators import joins, matrix, running, sets, windows
+from tallyloom.operators import joins, matrix, running, sets, splits, windows
 
 
 @pytest.fixture(scope="module")
@@ -87,3 +87,22 @@ def test_salted_join(spark):
     for tasks in (1, 4, 50):
         assert sorted(map(tuple, joins.salted_join(a, b, ["k"], tasks).collect())) == want
     assert joins.salted_join(a.limit(0), b, ["k"]).collect() == []
+
+
+def test_splits(spark):
+    rows = [(k, "hot" if k % 2 else f"k{k % 7}" if k % 10 else None) for k in range(101)]
+    df = spark.createDataFrame(rows, "id int, key string")
+    sizes = [r["count"] for r in splits.chunks(df, ["id"], 30).groupBy("chunk_no").count().orderBy("chunk_no").collect()]
+    assert sizes == [30, 30, 30, 11]
+    half = splits.chunks(df, ["id"], 10, 0.5).collect()
+    assert 30 < len(half) < 70 and [r.chunk_no for r in sorted(half)] == [k // 10 + 1 for k in range(len(half))]
+    sizes = [r["count"] for r in splits.parts_of(df, ["id"], 4).groupBy("part_no").count().collect()]
+    assert sorted(sizes) == [25, 25, 25, 26]
+    got = splits.on_key_boundaries(df, "key", F.lit(1), 20).collect()
+    assert len(got) == 101
+    parts = {}
+    for r in got:
+        parts.setdefault(r.key, set()).add(r.part_no)
+    assert all(len(p) == 1 for p in parts.values())  # a key is never cut
+    assert parts[None] == {1} and [min(parts[k]) for k in sorted(k for k in parts if k)] == sorted(min(parts[k]) for k in parts if k)
+    assert splits.chunks(df.limit(0), ["id"], 5).collect() == [] == splits.parts_of(df.limit(0), ["id"], 5).collect() == splits.on_key_boundaries(df.limit(0), "key", F.lit(1), 5).collect()
