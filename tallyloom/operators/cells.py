@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import materialize, ship
 from . import windows as wi
 
+# Parameters of the curve and of the refinement.
 STEP, MASKED, MOST_WINDOW = 0.1, 20, 500
 RANGE = (25, 60_000)
 DEPTH = -0.3
@@ -82,13 +83,18 @@ def inferred_cells(totals: np.ndarray, expected: int | None = None) -> int:
 # ---------------------------------------------------------------- on tables
 
 
-def count_cells(totals: DataFrame, value: str, expected: int | None = None) -> int:
+MOST_LABELS = 2_000_000
+
+
+def count_cells(totals: DataFrame, value: str, expected: int | None = None, limit: int = MOST_LABELS) -> int:
     """``inferred_cells`` of a table of totals per cell label.
 
-    Only the histogram of totals goes to Python: one row per distinct total, whatever the number of labels (at most
-    884,736 by the label scheme).
+    Only the histogram of totals goes to Python: one row per distinct total. There the curve has one number for each label, of which the
+    label scheme has 884,736; more than ``limit`` are an error.
     """
     ship(totals.sparkSession)
+    if totals.filter(F.col(value) > 1).limit(limit + 1).count() > limit:
+        raise ValueError(f"more than {limit} labels")
     bars = totals.filter(F.col(value) > 1).groupBy(F.col(value).cast("bigint").alias("v")).agg(F.count(F.lit(1)).alias("n"))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:

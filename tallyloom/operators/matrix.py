@@ -18,6 +18,9 @@ from ..session import ship
 from .joins import bounded
 from .running import accumulated, join_groups, ranges
 
+#: Items of a group whose distances are held as one matrix of doubles: 288 MB.
+MOST_ITEMS = 6_000
+
 # ---------------------------------------------------------------- genes and normalising
 
 
@@ -369,7 +372,7 @@ def dendro_merge(values: np.ndarray, labels: np.ndarray, threshold: float = 10.0
     return out
 
 
-def split_groups(vectors: DataFrame, group: str, item: str, column: str, threshold: float = 10.0, merge: bool = True, limit: int = 20_000) -> DataFrame:
+def split_groups(vectors: DataFrame, group: str, item: str, column: str, threshold: float = 10.0, merge: bool = True, limit: int = MOST_ITEMS) -> DataFrame:
     """``group, item, cluster``: ``dendro_split`` (and merge) within each group of at most ``limit`` items; larger groups are an error."""
     ship(vectors.sparkSession)
     size = vectors.groupBy(group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
@@ -388,7 +391,7 @@ def split_groups(vectors: DataFrame, group: str, item: str, column: str, thresho
     return vectors.select(group, item, column).groupBy(group).applyInPandas(run, f"{group} {types[group]}, {item} {types[item]}, cluster int")
 
 
-def split_sweep(vectors: DataFrame, group: str, item: str, column: str, thresholds: list[float], limit: int = 20_000) -> DataFrame:
+def split_sweep(vectors: DataFrame, group: str, item: str, column: str, thresholds: list[float], limit: int = MOST_ITEMS) -> DataFrame:
     """``group, threshold, clusters``: the number of clusters (single rows aside) that ``dendro_split`` gives at each threshold.
 
     Each group of at most ``limit`` items has one linkage and one history of splits, cut at every threshold; larger groups are an error.
@@ -538,7 +541,52 @@ def shared_neighbour_clusters(distance: np.ndarray, k: int = 10, least: float =
     return labels
 
 
-def on_groups(vectors: DataFrame, group: str, item: str, column: str, kernel, limit: int = 20_000, out: str = "label int") -> DataFrame:
+def affinity_clusters(distance: np.ndarray, damping: float = 0.9, rounds: int = 400, patience: int = 30, preference: float | None = None) -> np.ndarray:
+    """Labels by affinity propagation: rows choose exemplars by messages of responsibility and availability between near rows.
+
+    Likeness is the negative squared distance; ``preference``, how likely each row is to be an exemplar, is by default its median. It ends when the
+    exemplars haven't changed for ``patience`` rounds. Ties are broken by the rows' order. Without exemplars all rows are one cluster.
+    """
+    n = len(distance)
+    if n < 2:
+        return np.zeros(n, dtype=int)
+    s = -np.asarray(distance, dtype=float) ** 2
+    off = s[~np.eye(n, dtype=bool)]
+    np.fill_diagonal(s, np.median(off) if preference is None else preference)
+    s -= np.arange(n)[None, :] * 1e-12 * max(1.0, float(np.abs(off).max()))  # one order among equals
+    r, a = np.zeros((n, n)), np.zeros((n, n))
+    index, last, same = np.arange(n), None, 0
+    for _ in range(rounds):
+        both = a + s
+        best = both.argmax(axis=1)
+        first = both[index, best]
+        both[index, best] = -np.inf
+        second = both.max(axis=1)
+        new = s - first[:, None]
+        new[index, best] = s[index, best] - second
+        r = damping * r + (1 - damping) * new
+        gain = np.maximum(r, 0)
+        gain[index, index] = r[index, index]
+        total = gain.sum(axis=0)
+        new = total[None, :] - gain
+        own = new[index, index].copy()
+        new = np.minimum(new, 0)
+        new[index, index] = own
+        a = damping * a + (1 - damping) * new
+        exemplars = (a + r)[index, index] > 0
+        same = same + 1 if last is not None and (exemplars == last).all() else 0
+        last = exemplars
+        if same >= patience and exemplars.any():
+            break
+    chosen = np.flatnonzero(last)
+    if not len(chosen):
+        return np.zeros(n, dtype=int)
+    label = s[:, chosen].argmax(axis=1)
+    label[chosen] = np.arange(len(chosen))
+    return label
+
+
+def on_groups(vectors: DataFrame, group: str, item: str, column: str, kernel, limit: int = MOST_ITEMS, out: str = "label int") -> DataFrame:
     """``group, item`` and what ``kernel`` gives for the matrix of each group of at most ``limit`` items, in order of the items; larger groups are an error."""
     ship(vectors.sparkSession)
     size = vectors.groupBy(group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import digest_number
+from ..session import materialize
 from .joins import bounded
 from .running import join_groups, numbered
 
@@ -51,14 +52,13 @@ def combinations(members: DataFrame, set_id: str, item: str) -> DataFrame:
 def jaccard(members: DataFrame, set_id: str, item: str, limit: int = 5_000) -> DataFrame:
     """``set_a < set_b, both, jaccard`` of the sets that share an item.
 
-    By an inverted index: each item gives the pairs of the sets that hold it. It is for few sets (clusters, conditions,
+    By an inverted index: a join on the item gives the pairs of the sets that hold it. It is for few sets (clusters, conditions,
     gene lists), which bounds the pairs of an item: more than ``limit`` are an error. Sets are made distinct and sized by aggregates.
     """
     bounded(members, set_id, limit)
-    m = members.select(F.col(set_id).alias("s"), F.col(item).alias("i")).dropna().distinct()
-    holders = m.groupBy("i").agg(F.sort_array(F.collect_set("s")).alias("h")).filter(F.size("h") > 1)
-    pairs = holders.select(F.explode(F.flatten(F.transform("h", lambda a: F.transform(F.filter("h", lambda b: b > a), lambda b: F.struct(a.alias("a"), b.alias("b")))))).alias("p"))
-    both = pairs.groupBy(F.col("p.a").alias("set_a"), F.col("p.b").alias("set_b")).agg(F.count(F.lit(1)).alias("both"))
+    m = materialize(members.select(F.col(set_id).alias("s"), F.col(item).alias("i")).dropna().distinct(), "members")
+    held = m.select("i", F.col("s").alias("set_a")).join(m.select("i", F.col("s").alias("set_b")), "i").filter("set_a < set_b")
+    both = held.groupBy("set_a", "set_b").agg(F.count(F.lit(1)).alias("both"))
     size = m.groupBy("s").agg(F.count(F.lit(1)).alias("n"))
     out = both.join(size.select(F.col("s").alias("set_a"), F.col("n").alias("n_a")), "set_a").join(size.select(F.col("s").alias("set_b"), F.col("n").alias("n_b")), "set_b")
     return out.select("set_a", "set_b", "both", (F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both"))).alias("jaccard"))

@@ -11,6 +11,7 @@ from ..session import materialize
 from .joins import sized_broadcast
 from .windows import without_outliers
 
+# Parameters of the tag call.
 GOOD_SHARE, GOOD_COUNT = 0.75, 30
 NOISE_MADS, SIGNAL_MADS = 12.0, 4.0
 LOWEST, SLACK, LIFT = 100, 0.75, 1.5

@@ -91,6 +91,11 @@ def d07_hierarchical_clusters(spark, sf):
     return mx.on_groups(_in_one(spark, sf), "part", "vec_id", "embedding", lambda x: mx.cut_tree(mx.correlation_distance(x), 8))
 
 
+@query()
+def d07_affinity_clusters(spark, sf):
+    return mx.on_groups(_in_one(spark, sf), "part", "vec_id", "embedding", lambda x: mx.affinity_clusters(mx.correlation_distance(x)))
+
+
 @query()
 def d07_shared_neighbour_clusters(spark, sf):
     return mx.on_groups(_in_one(spark, sf), "part", "vec_id", "embedding", lambda x: mx.shared_neighbour_clusters(mx.correlation_distance(x)))

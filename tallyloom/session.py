@@ -7,12 +7,14 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from contextlib import suppress
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
 _SHIPPED: set[str] = set()
+_RELEASED: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -48,6 +50,7 @@ def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None
     """
     spark = df.sparkSession
     path = shared_path(spark, label)
+    _release_at_exit(spark)
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -62,8 +65,23 @@ def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None
     return reader.parquet(path)
 
 
+def _release_at_exit(spark: SparkSession) -> None:
+    """Once for each application: what it wrote is deleted when the driver's Python ends, if the application still runs then."""
+    app = spark.sparkContext.applicationId
+    if app in _RELEASED:
+        return
+    _RELEASED.add(app)
+
+    def run() -> None:
+        with suppress(Exception):  # the application may have ended, and its connection with it
+            if spark.sparkContext._jsc is not None and spark.sparkContext.applicationId == app:
+                release(spark)
+
+    atexit.register(run)
+
+
 def release(spark: SparkSession) -> None:
-    """Delete what this application wrote into the shared folder."""
+    """Delete what this application wrote into the shared folder. Call it when the results that were made from it are read or written."""
     sc = spark.sparkContext
     path = sc._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tallyloom-{sc.applicationId}")
     path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)

@@ -22,6 +22,7 @@ def _one(spark, value, f, kind="string"):
 @pytest.mark.parametrize(
     ("seq", "passes"),
     [
+        # Golden cases.
         ("GCGCAATCAACTGGCCTGCGACCGACAAGAGGTAGCGGTGACGAAGGGTCAGCGTAATTTTTTTTTTTTTTTTTTT", True),
         ("AGAACTTCCACTGGCCTGCGACAGAAATCGGGTAGCGGTGACACAGGGAGGGATCAATAATTTTTTTTTTCCATTG", True),
         ("TAGCTTGTAACTGGCCTTTTTTTTTTTTTTTTTTTTTTTAGAACAGGGTAATTTTTTTTTTGTAAAAACAACTGTG", False),
