@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import labels, reads as rd
-from ..operators import joins, labels as lb, molecules as mo
+from ..operators import joins, labels as lb, molecules as mo, rollups as ro
 from ..session import materialize
 from .bindings import SQL_CALLED, SQL_CELL_GENE, SQL_MOL, SQL_READS, called_cells, cell_gene, molecules, reads
 from .registry_helpers import book
@@ -172,9 +172,7 @@ SELECT read, CASE WHEN n_genes = 0 THEN 'no_feature' WHEN nh = 1 THEN '1' WHEN n
 )
 def r16_status_of_read(spark, sf):
     h = read(spark, sf, "pyir_hits").select(F.trim("sequence_id").alias("read"), F.when(F.trim("gene") != "", F.col("gene")).alias("gene")).filter("read != ''")
-    g = h.groupBy("read").agg(F.count(F.lit(1)).alias("nh"), F.count_distinct("gene").alias("n_genes"))
-    status = F.when(F.col("n_genes") == 0, "no_feature").when(F.col("nh") == 1, "1").when(F.col("n_genes") == 1, "MAcorrected").otherwise("alignment_not_unique")
-    return g.select("read", status.alias("status"))
+    return ro.status_of_reads(h, "read", "gene")
 
 
 @query(
@@ -182,9 +180,8 @@ def r16_status_of_read(spark, sf):
   coalesce(avg(CASE WHEN length(r2_seq) * 20 < 1000 THEN length(r2_seq) * 20 END), avg(length(r2_seq) * 20)) AS mean_fragment FROM reads WHERE target LIKE '%VDJ' GROUP BY library, position"""
 )
 def r17_transcript_summary(spark, sf):
-    size = F.length("r2_seq") * 20
     r = reads(spark, sf).filter(F.endswith("target", F.lit("VDJ")))
-    return r.groupBy("library", "position").agg(F.array_join(F.sort_array(F.collect_set("target")), "|").alias("transcripts"), F.coalesce(F.avg(F.when(size < 1000, size)), F.avg(size)).alias("mean_fragment"))
+    return ro.transcript_summary(r, ["library", "position"], "target", F.length("r2_seq") * 20)
 
 
 @query(f"WITH {SQL_READS} SELECT read_id, 1000 + library[4:4]::INTEGER - position AS distance FROM reads WHERE is_control")
@@ -360,8 +357,8 @@ def j16_umi_neighbours(spark, sf):
 
 @query(f"WITH {SQL_MOL} SELECT mol_id, CASE WHEN gene LIKE '%1' THEN raw_reads ELSE rsec_reads END AS rsec_reads, CASE WHEN gene LIKE '%1' THEN NULL ELSE corrected_umi END AS parent_umi FROM mol")
 def m03_tag_bypass(spark, sf):
-    tag = F.endswith("gene", F.lit("1"))
-    return molecules(spark, sf).select("mol_id", F.when(tag, F.col("raw_reads")).otherwise(F.col("rsec_reads")).alias("rsec_reads"), F.when(~tag, F.col("corrected_umi")).alias("parent_umi"))
+    m = molecules(spark, sf)
+    return m.select("mol_id", *[c.alias(k) for k, c in ro.without_correction(m, F.endswith("gene", F.lit("1"))).items()])
 
 
 @query(
@@ -435,8 +432,8 @@ def j01_pair_by_id(spark, sf):
 
 @query(f"WITH {SQL_READS}, a AS (SELECT read_id, status FROM reads WHERE status <> 'alignment_not_unique') SELECT reads.read_id, a.status FROM reads LEFT JOIN a USING (read_id)")
 def j02_primary_alignments(spark, sf):
-    r = reads(spark, sf)
-    return r.select("read_id").join(r.filter("status != 'alignment_not_unique'").select("read_id", "status"), "read_id", "left")
+    r = materialize(reads(spark, sf), "reads")
+    return ro.primary_alignments(r, r, "read_id", F.col("status") != "alignment_not_unique", ["status"])
 
 
 @query(f"WITH {SQL_MOL} SELECT mol_id, coalesce(CASE WHEN length(corrected_umi) >= 8 THEN corrected_umi END, umi) AS umi FROM mol")
@@ -462,7 +459,7 @@ def j04_cell_to_tag(spark, sf):
 def j05_summary_lookup(spark, sf):
     h = read(spark, sf, "pyir_hits")
     s = h.filter("e_value < 1e-10").groupBy("sequence_id").agg(F.count(F.lit(1)).alias("n_hits"))
-    return h.select("sequence_id", "gene", "loaded_at").join(s, "sequence_id", "left")
+    return joins.lookup(h.select("sequence_id", "gene", "loaded_at"), s, ["sequence_id"])
 
 
 @query(f"WITH {SQL_CALLED} SELECT cell IN (SELECT cell FROM called) AS is_called, count(*) AS n FROM molecule WHERE cell IS NOT NULL GROUP BY 1")
@@ -475,7 +472,7 @@ def j06_semi_and_anti(spark, sf):
 @query("SELECT o.o_orderkey, c.n, c.total FROM orders o LEFT JOIN (SELECT l_orderkey, count(*) AS n, sum(l_quantity) AS total FROM lineitem GROUP BY 1) c ON o.o_orderkey = c.l_orderkey")
 def j07_counts_per_parent(spark, sf):
     c = read(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("total"))
-    return read(spark, sf, "orders").select("o_orderkey").join(c, "o_orderkey", "left")
+    return joins.to_domain(c, read(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], {})
 
 
 @query(f"WITH {SQL_CALLED}, {SQL_MOL} SELECT DISTINCT mol.cell, coalesce(called.algorithm, 'Unknown') AS kind FROM mol LEFT JOIN called ON called.cell = (split_part(mol.cell, '-', 1)::BIGINT - 1) * 9216 + (split_part(mol.cell, '-', 2)::BIGINT - 1) * 96 + split_part(mol.cell, '-', 3)::BIGINT")
@@ -506,8 +503,7 @@ def j11_outer_index_join(spark, sf):
 
 @query(f"WITH {SQL_READS}, a AS (SELECT library, count(*) AS n FROM reads GROUP BY 1), b AS (SELECT library, count(*) AS mapped FROM reads WHERE status = '1' GROUP BY 1) SELECT library, n, mapped FROM a JOIN b USING (library)")
 def j12_sections_by_library(spark, sf):
-    r = materialize(reads(spark, sf), "reads")
-    return r.groupBy("library").agg(F.count(F.lit(1)).alias("n")).join(r.filter("status = '1'").groupBy("library").agg(F.count(F.lit(1)).alias("mapped")), "library")
+    return ro.counts_and_part(reads(spark, sf), "library", F.col("status") == "1", "mapped")
 
 
 @query("SELECT c.c_custkey, n.n_name, r.r_name FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN region r ON n.n_regionkey = r.r_regionkey")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import reads as rd
-from ..operators import aggregates as ag, matrix as mx, stats as st, windows as wi
+from ..operators import aggregates as ag, matrix as mx, rollups as ro, stats as st, windows as wi
 from ..session import materialize, ship
 from .bindings import SQL_CELL_GENE, SQL_MOL, SQL_READS, cell_gene, molecules, reads
 from .registry_helpers import book
@@ -465,7 +465,7 @@ def e20_qc_gates(spark, sf):
 @query("SELECT sample, metric, value FROM (SELECT o_orderstatus AS sample, count(*)::DOUBLE AS orders, max(o_totalprice) AS top FROM orders GROUP BY 1) UNPIVOT (value FOR metric IN (orders, top))")
 def e22_stacked_metrics(spark, sf):
     m = read(spark, sf, "orders").groupBy(F.col("o_orderstatus").alias("sample")).agg(F.count(F.lit(1)).cast("double").alias("orders"), F.max("o_totalprice").alias("top"))
-    return m.unpivot(["sample"], ["orders", "top"], "metric", "value")
+    return ro.stacked_metrics(m, "sample", ["orders", "top"])
 
 
 @query(f"WITH {_CG} SELECT cluster, gene, v FROM cg WHERE gene LIKE 'QT3%'")
@@ -475,13 +475,10 @@ def e23_target_gene_query(spark, sf):
 
 @query(f"WITH {SQL_MOL} SELECT mol_id, cell AS CB, coalesce(CASE WHEN length(corrected_umi) >= 8 THEN corrected_umi END, umi) AS UB FROM mol WHERE rsec_reads > 0")
 def e24_velocity_input(spark, sf):
-    return molecules(spark, sf).filter("rsec_reads > 0").select("mol_id", F.col("cell").alias("CB"), F.coalesce(F.when(F.length("corrected_umi") >= 8, F.col("corrected_umi")), F.col("umi")).alias("UB"))
+    return ro.velocity_input(molecules(spark, sf)).select("mol_id", "CB", "UB")
 
 
 @query(f"WITH {_CG}, l AS (SELECT cluster, gene, log2((v + 1) / (avg(v) OVER (PARTITION BY gene) + 1)) AS lfc FROM cg) SELECT cluster, gene, round(lfc, 6) AS lfc, abs(lfc) > 1 AS is_outlier, split_part(gene, 'G', 1) AS block FROM l")
 def e25_heatmap_input(spark, sf):
-    from pyspark.sql import Window
-
-    x = _by_cluster(spark, sf)
-    lfc = F.log2((F.col("v") + 1) / (F.avg("v").over(Window.partitionBy("gene")) + 1))
-    return x.withColumn("l", lfc).select("cluster", "gene", F.round("l", 6).alias("lfc"), (F.abs("l") > 1).alias("is_outlier"), F.split_part("gene", F.lit("G"), F.lit(1)).alias("block"))
+    x = ro.heatmap_input(_by_cluster(spark, sf), "cluster", "gene", "v")
+    return x.select("cluster", "gene", F.round("lfc", 6).alias("lfc"), "is_outlier", F.split_part("gene", F.lit("G"), F.lit(1)).alias("block"))

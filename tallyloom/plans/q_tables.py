@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import label_to_index
 from ..functions.text import sql_digest_number
-from ..operators import aggregates as ag, joins, sets, windows as wi
-from ..operators.wide import attributes_of
+from ..operators import aggregates as ag, joins, rollups as ro, sets, windows as wi
+from ..operators.wide import attributes_of, unpivot
 from ..session import materialize
 from .bindings import SQL_CALLED, SQL_CELL_GENE, SQL_MOL, SQL_READS, SQL_TAGS, called_cells, cell_gene, molecules, reads, tag_counts
 from .registry_helpers import book
@@ -199,12 +199,12 @@ def a18_summary_report(spark, sf):
 
 @query(f"WITH {SQL_CELL_GENE} SELECT cell, sum(rsec_mols)::BIGINT AS n_count, count(DISTINCT gene) AS n_features FROM cell_gene WHERE rsec_mols > 0 GROUP BY cell")
 def a19_cell_qc(spark, sf):
-    return cell_gene(spark, sf).filter("rsec_mols > 0").groupBy("cell").agg(F.sum("rsec_mols").alias("n_count"), F.count(F.lit(1)).alias("n_features"))
+    return ro.cell_quality(cell_gene(spark, sf), "cell", "rsec_mols")
 
 
 @query(f"WITH {SQL_MOL} SELECT cell, 100.0 * count(*) FILTER (raw_reads > 1) / count(*) AS pct_deep FROM mol GROUP BY cell")
 def a20_pct_deep_molecules(spark, sf):
-    return molecules(spark, sf).groupBy("cell").agg(ag.percent(F.count_if(F.col("raw_reads") > 1), F.count(F.lit(1))).alias("pct_deep"))
+    return ro.percent_above(molecules(spark, sf), ["cell"], "raw_reads", 1, "pct_deep")
 
 
 @query("SELECT o_orderstatus, o_orderpriority, count(*) AS n, count(DISTINCT o_custkey) AS customers, max(o_orderdate) AS last FROM orders GROUP BY 1, 2")
@@ -219,15 +219,13 @@ def a22_unique_text(spark, sf):
 
 @query("SELECT n_regionkey, list(n_name ORDER BY n_name) AS names FROM nation GROUP BY 1")
 def a23_list_aggregate(spark, sf):
-    return read(spark, sf, "nation").groupBy("n_regionkey").agg(F.sort_array(F.collect_list("n_name")).alias("names"))
+    return ro.lists_by(read(spark, sf, "nation"), ["n_regionkey"], "n_name", "names")
 
 
 @query("SELECT sample_name, lang, count(*) AS n, 1.0 * count(*) / sum(count(*)) OVER (PARTITION BY sample_name) AS share FROM documents GROUP BY 1, 2")
 def a24_cluster_shares(spark, sf):
-    from pyspark.sql import Window
-
     n = read(spark, sf, "documents").groupBy("sample_name", "lang").agg(F.count(F.lit(1)).alias("n"))
-    return n.withColumn("share", (F.col("n") / F.sum("n").over(Window.partitionBy("sample_name"))).cast("double"))
+    return ro.shares_within(n, "sample_name", "n")
 
 
 @query(
@@ -358,9 +356,7 @@ def w16_scaled_rows(spark, sf):
 
 @query("SELECT o_custkey, count(*) AS n, max(o_orderdate) AS last, string_agg(strftime(o_orderdate, '%Y-%m-%d'), ';' ORDER BY o_orderdate, o_orderkey) AS dates FROM orders GROUP BY 1")
 def w17_ordered_series(spark, sf):
-    o = read(spark, sf, "orders")
-    dates = F.transform(F.array_sort(F.collect_list(F.struct("o_orderdate", "o_orderkey"))), lambda x: F.date_format(x["o_orderdate"], "yyyy-MM-dd"))
-    return o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.max("o_orderdate").alias("last"), F.array_join(dates, ";").alias("dates"))
+    return ro.ordered_series(read(spark, sf, "orders"), "o_custkey", "o_orderdate", "o_orderkey")
 
 
 @query(
@@ -408,12 +404,12 @@ def w22_saturation(spark, sf):
 
 @query(f"WITH {SQL_CELL_GENE} SELECT gene, cell, reads FROM cell_gene")
 def o01_sorted_by_gene_and_cell(spark, sf):
-    return cell_gene(spark, sf).select("gene", "cell", "reads").repartitionByRange("gene", "cell").sortWithinPartitions("gene", "cell")
+    return ro.range_sorted(cell_gene(spark, sf).select("gene", "cell", "reads"), ["gene", "cell"])
 
 
 @query(f"WITH {SQL_MOL} SELECT cell, gene, umi, raw_reads FROM mol")
 def o02_sorted_by_cell_gene_umi(spark, sf):
-    return molecules(spark, sf).select("cell", "gene", "umi", "raw_reads").repartitionByRange("cell", "gene", "umi").sortWithinPartitions("cell", "gene", "umi")
+    return ro.range_sorted(molecules(spark, sf).select("cell", "gene", "umi", "raw_reads"), ["cell", "gene", "umi"])
 
 
 @query("SELECT c_custkey AS key, c_name AS name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier")
@@ -423,10 +419,7 @@ def o03_concatenate(spark, sf):
 
 @query(f"WITH {SQL_CELL_GENE} SELECT gene, gene LIKE 'QT1%' AS is_protein, row_number() OVER (ORDER BY gene LIKE 'QT1%' DESC, gene)::INTEGER AS place FROM (SELECT DISTINCT gene FROM cell_gene)")
 def o04_gene_order(spark, sf):
-    from pyspark.sql import Window
-
-    g = cell_gene(spark, sf).select("gene").distinct().withColumn("is_protein", F.startswith("gene", F.lit("QT1")))
-    return g.withColumn("place", F.row_number().over(Window.orderBy(F.desc("is_protein"), "gene")))
+    return ro.gene_order(cell_gene(spark, sf), "gene", F.startswith("gene", F.lit("QT1"))).withColumnRenamed("is_first", "is_protein")
 
 
 @query("SELECT 500 AS n, 500 AS distinct_ids")
@@ -453,7 +446,7 @@ def o08_pivot_all_tags(spark, sf):
 
 @query(f"WITH {SQL_TAGS} SELECT cell, tag, name, value FROM (SELECT cell, tag, reads, dbec_reads, raw_mols FROM tags) UNPIVOT (value FOR name IN (reads, dbec_reads, raw_mols))")
 def o09_unpivot_long(spark, sf):
-    return tag_counts(spark, sf).unpivot(["cell", "tag"], ["reads", "dbec_reads", "raw_mols"], "name", "value")
+    return unpivot(tag_counts(spark, sf), ["cell", "tag"], ["reads", "dbec_reads", "raw_mols"])
 
 
 @query(f"WITH {SQL_TAGS} SELECT c.cell, t.tag, coalesce(x.reads, 0) AS reads FROM (SELECT DISTINCT cell FROM tags) c CROSS JOIN (SELECT DISTINCT tag FROM tags) t LEFT JOIN tags x ON x.cell = c.cell AND x.tag = t.tag")
@@ -498,6 +491,4 @@ def o15_fixed_order(spark, sf):
 
 @query(f"WITH {SQL_CELL_GENE} SELECT cell, map_from_entries(list((gene, rsec_mols) ORDER BY gene))::VARCHAR AS counts FROM cell_gene WHERE rsec_mols > 0 GROUP BY cell")
 def o16_sparse_rows(spark, sf):
-    entries = F.array_sort(F.collect_list(F.struct("gene", "rsec_mols")))
-    text = F.concat(F.lit("{"), F.array_join(F.transform(entries, lambda e: F.concat_ws("=", e["gene"], e["rsec_mols"])), ", "), F.lit("}"))
-    return cell_gene(spark, sf).filter("rsec_mols > 0").groupBy("cell").agg(text.alias("counts"))
+    return ro.sparse_rows(cell_gene(spark, sf), "cell", "gene", "rsec_mols")
