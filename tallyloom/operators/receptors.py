@@ -17,6 +17,20 @@ from .windows import best_per_group, most_frequent
 CHAINS = {"TCR_Alpha": "T", "TCR_Beta": "T", "TCR_Gamma": "T", "TCR_Delta": "T", "BCR_Heavy": "B", "BCR_Kappa": "B", "BCR_Lambda": "B"}
 
 
+# The names of the chain codes.
+CHAIN_NAMES = {"VA": "TCR_Alpha", "VB": "TCR_Beta", "VH": "BCR_Heavy", "VL": "BCR_Lambda", "VK": "BCR_Kappa", "VG": "TCR_Gamma", "VD": "TCR_Delta", "NON": "NON", "N/A": "N/A"}
+
+
+def normalised_records(records: DataFrame) -> DataFrame:
+    """The columns that later steps use of complete records (``shred.record_table``), renamed, with the chain's code as its name.
+
+    A code that isn't known is null.
+    """
+    names = F.create_map(*[F.lit(x) for pair in CHAIN_NAMES.items() for x in pair])
+    kept = records.filter("is_complete")
+    return kept.select("record_id", "sequence_id", F.try_element_at(names, F.col("chain_type")).alias("chain"), F.col("cdr3_nt").alias("cdr3_nucleotide"), "productive", "sequence_length", "n_hits")
+
+
 def valid_reads(reads: DataFrame, v_limit: float = 1e-10, j_limit: float = 1e-10, ignore: tuple[str, ...] = ()) -> DataFrame:
     """Reads with a CDR3 in both forms, a chain, and V and J e-values below the limits. A missing e-value isn't below."""
     ok = F.col("cdr3_nt").isNotNull() & F.col("cdr3_aa").isNotNull() & F.col("chain").isNotNull() & ~F.col("chain").isin("NON", "N/A", *ignore)

@@ -125,6 +125,9 @@ hit_table AS (
   SELECT record_id, hit_no, {_sql_text("$.gene")} AS gene, {_sql_number("$.bit_score")} AS bit_score, {_sql_number("$.e_value")} AS e_value, {_sql_text("$.gene_type")} AS gene_type,
     {_sql_number("$.percent_identity")} AS percent_identity, {_sql_text("$.percent_fraction")} AS percent_fraction, {_sql_int("$.alignment_start")} AS alignment_start, {_sql_int("$.alignment_end")} AS alignment_end
   FROM hits),
+segment_table AS (
+  SELECT record_id, hit_no, CAST(segment_no AS INTEGER) AS segment_no, {_sql_text("$.region")} AS region, {_sql_int("$.span.from")} AS span_from, {_sql_int("$.span.to")} AS span_to, {_sql_int("$.matches")} AS matches
+  FROM (SELECT record_id, hit_no, unnest(CAST(json_extract(j, '$.segments') AS JSON[])) AS j, generate_subscripts(CAST(json_extract(j, '$.segments') AS JSON[]), 1) AS segment_no FROM hits WHERE json_type(j, '$.segments') = 'ARRAY')),
 record_table AS (
   SELECT record_id, c.record_id = r.record_id IS TRUE AS is_complete, {_sql_text('$."Sequence ID"')} AS sequence_id, {_sql_int('$."Sequence Length"')} AS sequence_length, {_sql_text('$."Domain Classification"')} AS domain,
     {_sql_text('$."Chain type"')} AS chain_type, {_sql_text("$.Productive")} AS productive, {_sql_text("$.CDR3.NT")} AS cdr3_nt, {_sql_int('$.CDR3.Quality."Lowest Phred"')} AS lowest_phred,
@@ -186,6 +189,7 @@ SQL = {
     "p1_counts": f"{SQL_P1} SELECT * FROM marked",
     "p3_found": f"{SQL_RECORDS} SELECT record_id, hit_no, gene FROM hit_table WHERE gene IS NOT NULL AND bit_score IS NOT NULL",
     "p3_hits": f"{SQL_RECORDS} SELECT h.*, sequence_id FROM hit_table h JOIN record_table USING (record_id)",
+    "p3_segments": f"{SQL_RECORDS} SELECT * FROM segment_table",
     "p3_records": f"{SQL_RECORDS} SELECT * FROM record_table",
     "p4_found": f"SELECT cell, tag FROM ({SQL_TAGS}) WHERE reads IS NOT NULL AND raw_mols IS NOT NULL",
     "p4_wide": SQL_P4_WIDE,

@@ -9,7 +9,7 @@ from ..operators import cells as ce, receptors as re_, shred, tags as tg, window
 from ..operators.wide import attributes_of
 from ..session import materialize
 from .bindings import HEX, LETTERS, SQL_CALLED, SQL_CELL_GENE, SQL_TAGS, called_cells, cell_gene, tag_counts
-from .problems import _tag_rows
+from .problems import SQL_RECORDS, _tag_rows
 from .registry_helpers import book
 from .tables import read
 
@@ -193,9 +193,12 @@ vr0 AS (SELECT s, v[2] AS vg, v[3] AS ve, j[2] AS jg, j[3] AS je, translate(md5(
 vr AS (SELECT split_part(s, ',', 2)::INTEGER AS cell, substr(vg, 1, 3) AS chain, split_part(s, ',', 3) AS umi, vg AS v_gene, ve AS v_e_value, jg AS j_gene, je AS j_e_value, substr(dna, 1, 9) AS cdr3_nt, translate(substr(dna, 1, 3), 'ACGT', 'KLMN') AS cdr3_aa, substr(dna, 10, 1) < 'G' AS productive FROM vr0)"""
 
 
-@query()
+_CHAIN = f"CASE chain_type {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in re_.CHAIN_NAMES.items())} END"
+
+
+@query(f"{SQL_RECORDS} SELECT record_id, sequence_id, {_CHAIN} AS chain, cdr3_nt AS cdr3_nucleotide, productive, sequence_length, n_hits FROM record_table WHERE is_complete")
 def v01_normalised_records(spark, sf):
-    return shred.record_table(read(spark, sf, "pyir_records"))
+    return re_.normalised_records(shred.record_table(read(spark, sf, "pyir_records")))
 
 
 @query(f"WITH {_VR} SELECT * FROM vr WHERE v_e_value < 1e-20 AND j_e_value < 1e-10 AND chain <> 'TRZ'")
