@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import sql_strip, strip
+from ..functions.text import digest_number, sql_strip, strip
 from ..operators import cells as ce, receptors as re_, shred, tags as tg, windows as wi
 from ..operators.wide import attributes_of
 from ..session import materialize
@@ -42,14 +42,21 @@ def c03_top_cells(spark, sf):
     return ce.top_cells(_totals(spark, sf), "cell", "total", 150)
 
 
+def _with_knee(spark, sf):
+    """The lab's table with a knee, which it lacks itself: about every seventh label, by digest, has 50 times the reads and molecules."""
+    x = materialize(cell_gene(spark, sf), "cell-genes")
+    is_cell = F.pmod(digest_number("cell", seed=3), F.lit(7)) == 0
+    return x.withColumns({c: F.when(is_cell, F.col(c) * 50).otherwise(F.col(c)) for c in ("dbec_reads", "dbec_mols")})
+
+
 @query()
 def c04_refined_cells(spark, sf):
-    return ce.call_cells(cell_gene(spark, sf), 1000, "WTA")
+    return ce.call_cells(_with_knee(spark, sf), 1000, "WTA")
 
 
 @query()
 def c05_refined_targeted(spark, sf):
-    return ce.call_cells(cell_gene(spark, sf), 1000, "Targeted")
+    return ce.call_cells(_with_knee(spark, sf), 1000, "Targeted")
 
 
 @query(
